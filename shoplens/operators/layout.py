@@ -12,21 +12,25 @@ from pyspark.sql import DataFrame, functions as F
 class Layout:
     """How the rows of a table lie in its files.
 
-    Rows are range-partitioned and sorted by ``partition_by``, ``cluster_by`` and ``spread_by``.
-    ``spread_by`` must be (nearly) unique: it lets a month, category or segment with a third of
-    all rows span many tasks and files, each still narrow in the cluster keys.
+    Without ``locate_by``, rows are hashed by ``partition_by`` and ``cluster_by``, and AQE cuts
+    every group beyond the advisory partition size into several tasks. A month or category with a
+    third of all rows thus fills many files, each of them narrow in the cluster keys, and the plan
+    below is evaluated once.
+
+    With ``locate_by``, a nearly unique key that readers look up, rows are partitioned by ranges
+    that end in this key. Files are narrow in it too, at the price of sampling the plan first.
     """
 
-    spread_by: tuple[str, ...]
-    cluster_by: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-
-    @property
-    def order(self) -> list[str]:
-        return [*self.partition_by, *self.cluster_by, *self.spread_by]
+    cluster_by: tuple[str, ...] = ()
+    locate_by: tuple[str, ...] = ()
 
     def arrange(self, df: DataFrame) -> DataFrame:
-        return df.repartitionByRange(*self.order).sortWithinPartitions(*self.order)
+        groups = [*self.partition_by, *self.cluster_by]
+        if self.locate_by:
+            order = [*groups, *self.locate_by]
+            return df.repartitionByRange(*order).sortWithinPartitions(*order)
+        return df.hint("rebalance", *groups).sortWithinPartitions(*groups)
 
     def write(self, df: DataFrame, path: str, only_partitions_present: bool = False) -> None:
         """Overwrite the table, or only those of its partitions that ``df`` has rows for."""

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.operators.layout import Layout
 from shoplens.session import scratch_path
-from shoplens.sources import read_table
 from shoplens.sources.storage import delete_folder
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
@@ -37,58 +36,70 @@ def align(df: DataFrame, like: DataFrame) -> DataFrame:
     )
 
 
-def _types(df: DataFrame) -> dict[str, str]:
-    return {f.name: f.dataType.simpleString() for f in df.schema}
-
-
 def upsert_table(
-    spark: SparkSession, path: str, batch: DataFrame, key: str, layout: Layout
+    spark: SparkSession,
+    path: str,
+    target: DataFrame | None,
+    batch: DataFrame,
+    key: str,
+    layout: Layout,
 ) -> None:
-    """Put ``batch`` into the table at ``path``, which is created where it does not exist.
+    """Put ``batch`` into ``target``, the table at ``path``.
+
+    Where nothing is stored yet, the batch becomes the table.
 
     The batch is written to the shared scratch folder first: it is used several times, its size
     is then known to the planner, and a lost executor repeats a scan instead of the whole plan.
     Rewritten partitions replace the old ones when the job commits, one rename each.
     """
-    (partition,) = layout.partition_by
+    if target is None or target.isEmpty():
+        layout.write(batch, path)
+        return
     staged_path = scratch_path(spark, "batch")
     batch.write.parquet(staged_path)
     try:
-        staged = spark.read.parquet(staged_path)
-        if staged.groupBy(key).count().filter("count > 1").limit(1).count():
-            raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
-        target = read_table(spark, path)
-        if target is None or target.isEmpty():
-            layout.write(staged, path)
-            return
-
-        # one pass over two columns; one row per partition reaches the driver
-        marked = staged.select(key, F.lit(True).alias("replaced"))
-        hits = (
-            target.select(key, partition)
-            .join(marked, key, "left")
-            .groupBy(partition)
-            .agg(F.count("*").alias("rows"), F.count("replaced").alias("replaced"))
-            .collect()
-        )
-        arriving = {r[0] for r in staged.select(partition).distinct().collect()}
-        left = {r[partition] for r in hits if r["replaced"]}
-        emptied = {r[partition] for r in hits if r["replaced"] == r["rows"]} - arriving
-        if _types(target) == _types(staged):
-            if not arriving:
-                return
-            target = target.filter(_any_of(partition, arriving | left))
-        # other columns than before: every partition is rewritten to the new ones
-        merged = upsert(align(target, staged), staged, key)
-        layout.write(merged, path, only_partitions_present=True)
-        for value in emptied:
-            folder = HIVE_NULL if value is None else value
-            delete_folder(spark, f"{path.rstrip('/')}/{partition}={folder}")
+        _put(spark, path, target, spark.read.parquet(staged_path), key, layout)
     finally:
         delete_folder(spark, staged_path)
 
 
+def _put(
+    spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, key: str, layout: Layout
+) -> None:
+    (partition,) = layout.partition_by
+    if not batch.groupBy(key).count().filter("count > 1").isEmpty():
+        raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
+
+    # one pass over two columns of the table; one row per partition reaches the driver
+    marked = batch.select(key, F.lit(True).alias("replaced"))
+    hits = (
+        target.select(key, partition)
+        .join(marked, key, "left")
+        .groupBy(partition)
+        .agg(F.count("*").alias("rows"), F.count("replaced").alias("replaced"))
+        .filter(F.col("replaced") > 0)
+        .collect()
+    )
+    losing = {r[partition] for r in hits}
+    gaining = {r[partition] for r in batch.select(partition).distinct().collect()}
+    emptied = {r[partition] for r in hits if r["replaced"] == r["rows"]} - gaining
+
+    if _types(target) == _types(batch):
+        if not gaining:
+            return
+        target = target.filter(_any_of(partition, gaining | losing))
+    # with other columns than before, every partition is rewritten to the new ones
+    merged = upsert(align(target, batch), batch, key)
+    layout.write(merged, path, only_partitions_present=True)
+    for value in emptied:
+        folder = HIVE_NULL if value is None else value
+        delete_folder(spark, f"{path.rstrip('/')}/{partition}={folder}")
+
+
+def _types(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema}
+
+
 def _any_of(name: str, values: set) -> Column:
-    known = [v for v in values if v is not None]
-    chosen = F.col(name).isin(known)
+    chosen = F.col(name).isin([v for v in values if v is not None])
     return chosen | F.col(name).isNull() if None in values else chosen

@@ -15,13 +15,9 @@ from shoplens.plans import attribution, checks, customers, revenue, staging
 from shoplens.plans.orders import LOAD_TIME, update_orders
 
 CUSTOMER_LAYOUT = Layout(
-    cluster_by=("customer_segment", "churn_risk"), spread_by=("customer_id",)
-)
-REVENUE_LAYOUT = Layout(
-    partition_by=("order_month",),
-    cluster_by=("category",),
-    spread_by=tuple(k for k in revenue.DAILY_KEYS if k not in ("order_month", "category")),
+    cluster_by=("customer_segment", "churn_risk"), locate_by=("customer_id",)
 )
+REVENUE_LAYOUT = Layout(partition_by=("order_month",), cluster_by=("category",))
 
 
 class RawTables(Protocol):

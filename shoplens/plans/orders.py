@@ -13,9 +13,7 @@ from shoplens.operators.upsert import upsert_table
 from shoplens.plans.revenue import PRODUCT_COLUMNS, with_products
 from shoplens.sources import read_table
 
-ORDERS_LAYOUT = Layout(
-    partition_by=("order_month",), cluster_by=("category",), spread_by=("order_id",)
-)
+ORDERS_LAYOUT = Layout(partition_by=("order_month",), cluster_by=("category",))
 LOAD_TIME = "dbt_loaded_at"
 
 
@@ -84,7 +82,7 @@ def update_orders(
     if statuses is not None:
         orders = orders.filter(F.col("status").isin(*statuses))
     batch = with_run_time(orders_enriched(orders, products, customers), run_ts, LOAD_TIME)
-    if mark is None and full_refresh:
+    if full_refresh:
         ORDERS_LAYOUT.write(batch, path)
     else:
-        upsert_table(spark, path, batch, "order_id", ORDERS_LAYOUT)
+        upsert_table(spark, path, target, batch, "order_id", ORDERS_LAYOUT)

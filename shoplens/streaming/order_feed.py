@@ -14,7 +14,7 @@ from shoplens.operators.layout import with_run_time
 from shoplens.operators.upsert import upsert_table
 from shoplens.plans.orders import LOAD_TIME, ORDERS_LAYOUT, orders_enriched
 from shoplens.plans.staging import stg_orders
-from shoplens.sources import LOADED_AT, RAW_SCHEMAS
+from shoplens.sources import LOADED_AT, RAW_SCHEMAS, read_table
 
 
 def latest_versions(raw_orders: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def follow_orders(
     def put(batch: DataFrame, _: int) -> None:
         orders = stg_orders(latest_versions(batch))
         rows = with_run_time(orders_enriched(orders, products, customers), name=LOAD_TIME)
-        upsert_table(spark, table_path, rows, "order_id", ORDERS_LAYOUT)
+        target = read_table(spark, table_path)
+        upsert_table(spark, table_path, target, rows, "order_id", ORDERS_LAYOUT)
 
     arriving = spark.readStream.schema(schema).parquet(raw_path)
     return (
