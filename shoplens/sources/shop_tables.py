@@ -15,6 +15,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.functions import MONEY
 
+# fixed values: the stored columns that are used, so that no job has to read them off the files
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
 
 @dataclass(frozen=True)
 class ShopTables:
@@ -24,7 +36,7 @@ class ShopTables:
     folder: str
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
 
     @cached_property
     def orders(self) -> DataFrame:
