@@ -16,8 +16,8 @@ TOTAL = DecimalType(20, 2)
 
 
 def money(c: Column) -> Column:
-    """Round half away from zero to cents."""
-    return F.round(c, 2).cast(MONEY)
+    """Round half away from zero to cents, which is how Spark casts to a decimal."""
+    return c.cast(MONEY)
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
@@ -31,7 +31,7 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def cents_to_dollars(c: Column) -> Column:
-    return F.round(c / F.lit(Decimal("100.0")), 2).cast(MONEY)
+    return money(c / F.lit(Decimal("100.0")))
 
 
 def money_sum(c: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shoplens.functions import percent
 from shoplens.operators.layout import Layout, with_run_time
 from shoplens.operators.upsert import upsert_table
-from shoplens.plans.revenue import PRODUCT_COLUMNS, with_products
+from shoplens.plans.revenue import PRODUCT_COLUMNS, with_dimensions
 from shoplens.sources import read_table
 
 ORDERS_LAYOUT = Layout(partition_by=("order_month",), cluster_by=("category",))
@@ -20,19 +20,13 @@ LOAD_TIME = "dbt_loaded_at"
 def orders_enriched(orders: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with product and customer columns, profit and margin."""
     buyers = customers.select("customer_id", "country", "customer_segment")
-    margin = percent(
-        F.col("net_amount") - F.col("cost_price") * F.col("quantity"), F.col("net_amount")
-    )
-    return (
-        with_products(orders, products)
-        .withColumn("order_profit_margin_pct", margin)
-        .join(buyers, "customer_id", "left")
-        .select(
-            "order_id", "customer_id", "order_date", "order_month", "order_week", "status",
-            "is_completed", "gross_amount", "net_amount", "discount_amount", "shipping_cost",
-            "total_amount", "quantity", *PRODUCT_COLUMNS, "order_profit",
-            "order_profit_margin_pct", "country", "customer_segment",
-        )
+    net = F.col("net_amount")
+    margin = percent(net - F.col("cost_price") * F.col("quantity"), net)
+    return with_dimensions(orders, buyers, products).select(
+        "order_id", "customer_id", "order_date", "order_month", "order_week", "status",
+        "is_completed", "gross_amount", "net_amount", "discount_amount", "shipping_cost",
+        "total_amount", "quantity", *PRODUCT_COLUMNS, "order_profit",
+        margin.alias("order_profit_margin_pct"), "country", "customer_segment",
     )
 
 

@@ -20,30 +20,32 @@ DAILY_KEYS = (
 MONTHLY_KEYS = ("order_month", "category")
 
 
-def with_products(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Orders with the columns of their product and the profit made.
-
-    No broadcast is forced, as a catalogue grows with the shop: Spark broadcasts it while it is
-    below the threshold. Beyond that the join is sorted, and AQE cuts up the partition of a best
-    seller or of the orders without product, which a left join allows on the order side.
+def with_dimensions(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Orders with the columns of their customer and product and the profit made.
+
+    Unmatched orders keep NULL there. Customers come first: they are the side that has to be
+    shuffled at scale, and orders are still narrow then. No broadcast is forced, as a catalogue
+    grows with the shop; Spark broadcasts either side while it is below the threshold. Beyond
+    that AQE cuts up the partition of a hot customer, a best seller or the orders without product,
+    which a left join allows on the order side.
     """
+    catalogue = products.select("product_id", *PRODUCT_COLUMNS)
     profit = F.col("net_amount") - F.col("cost_price") * F.col("quantity")
-    dimension = products.select("product_id", *PRODUCT_COLUMNS)
-    return orders.join(dimension, "product_id", "left").withColumn("order_profit", money(profit))
+    return (
+        orders.join(customers, "customer_id", "left")
+        .join(catalogue, "product_id", "left")
+        .withColumn("order_profit", money(profit))
+    )
 
 
 def order_enriched(orders: DataFrame, products: DataFrame, customer_360: DataFrame) -> DataFrame:
-    """Orders with product and customer columns; unmatched orders keep NULL there."""
+    """Orders with product and customer columns, profit and the customer's churn risk."""
     customers = customer_360.select("customer_id", "country", "customer_segment", "churn_risk")
-    return (
-        with_products(orders, products)
-        .join(customers, "customer_id", "left")
-        .select(
-            "order_id", "order_date", "order_month", "order_week", "order_day_of_week", "status",
-            "is_completed", "gross_amount", "net_amount", "discount_amount", "shipping_cost",
-            "total_amount", "quantity", *PRODUCT_COLUMNS, "order_profit", "country",
-            "customer_segment", "churn_risk",
-        )
+    return with_dimensions(orders, customers, products).select(
+        "order_id", "order_date", "order_month", "order_week", "order_day_of_week", "status",
+        "is_completed", "gross_amount", "net_amount", "discount_amount", "shipping_cost",
+        "total_amount", "quantity", *PRODUCT_COLUMNS, "order_profit", "country",
+        "customer_segment", "churn_risk",
     )
 
 
