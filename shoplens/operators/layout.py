@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, functions as F
 class Layout:
     """How the rows of a table lie in its files.
 
-    Without ``locate_by``, rows are hashed by ``partition_by`` and ``cluster_by``, and AQE cuts
-    every group beyond the advisory partition size into several tasks. A month or category with a
-    third of all rows thus fills many files, each of them narrow in the cluster keys, and the plan
-    below is evaluated once.
+    Without ``locate_by``, rows are hashed by ``partition_by`` alone, so that a small partition is
+    one file, and sorted by ``cluster_by``, so that readers skip row groups and pages. AQE cuts a
+    partition beyond the advisory size into several tasks, such as a month with a third of all
+    rows. The plan below is evaluated once.
 
     With ``locate_by``, a nearly unique key that readers look up, rows are partitioned by ranges
-    that end in this key. Files are narrow in it too, at the price of sampling the plan first.
+    of ``cluster_by`` that end in this key. Every file is narrow in all of them, at the price of
+    sampling the plan first.
     """
 
     partition_by: tuple[str, ...] = ()
@@ -26,11 +27,10 @@ class Layout:
     locate_by: tuple[str, ...] = ()
 
     def arrange(self, df: DataFrame) -> DataFrame:
-        groups = [*self.partition_by, *self.cluster_by]
+        order = [*self.partition_by, *self.cluster_by, *self.locate_by]
         if self.locate_by:
-            order = [*groups, *self.locate_by]
             return df.repartitionByRange(*order).sortWithinPartitions(*order)
-        return df.hint("rebalance", *groups).sortWithinPartitions(*groups)
+        return df.hint("rebalance", *self.partition_by).sortWithinPartitions(*order)
 
     def write(self, df: DataFrame, path: str, only_partitions_present: bool = False) -> None:
         """Overwrite the table, or only those of its partitions that ``df`` has rows for."""

@@ -50,7 +50,9 @@ def upsert_table(
 
     The batch is written to the shared scratch folder first: it is used several times, its size
     is then known to the planner, and a lost executor repeats a scan instead of the whole plan.
-    Rewritten partitions replace the old ones when the job commits, one rename each.
+    Rewritten partitions replace the old ones when the job commits, one rename each. Partitions
+    that lost all their rows go last, so a run cut off there leaves a row twice, which the check
+    of the key shows, and never none.
     """
     if target is None or target.isEmpty():
         layout.write(batch, path)
@@ -70,19 +72,12 @@ def _put(
     if not batch.groupBy(key).count().filter("count > 1").isEmpty():
         raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
 
-    # one pass over two columns of the table; one row per partition reaches the driver
-    marked = batch.select(key, F.lit(True).alias("replaced"))
-    hits = (
-        target.select(key, partition)
-        .join(marked, key, "left")
-        .groupBy(partition)
-        .agg(F.count("*").alias("rows"), F.count("replaced").alias("replaced"))
-        .filter(F.col("replaced") > 0)
-        .collect()
-    )
-    losing = {r[partition] for r in hits}
-    gaining = {r[partition] for r in batch.select(partition).distinct().collect()}
-    emptied = {r[partition] for r in hits if r["replaced"] == r["rows"]} - gaining
+    losing = _partitions_holding(target, batch, key, partition)
+    gaining = _values(batch, partition)
+    emptied = losing - gaining
+    if emptied:
+        left = target.filter(_any_of(partition, emptied))
+        emptied -= _values(left.join(batch.select(key), key, "left_anti"), partition)
 
     if _types(target) == _types(batch):
         if not gaining:
@@ -96,6 +91,24 @@ def _put(
         delete_folder(spark, f"{path.rstrip('/')}/{partition}={folder}")
 
 
+def _partitions_holding(
+    target: DataFrame, batch: DataFrame, key: str, partition: str
+) -> set:
+    """Partitions with rows of the batch's keys.
+
+    The whole key column is looked through, as a row may have moved from anywhere. Keys travel as
+    64-bit hashes: a collision only rewrites a partition in vain.
+    """
+    hashed = F.xxhash64(key).alias("hashed")
+    found = target.select(hashed, partition).join(batch.select(hashed), "hashed", "left_semi")
+    return _values(found, partition)
+
+
+def _values(df: DataFrame, column: str) -> set:
+    """Distinct partition values, of which a table has few."""
+    return {r[0] for r in df.select(column).distinct().collect()}
+
+
 def _types(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema}
 

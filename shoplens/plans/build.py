@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import cached_property
 from typing import Protocol
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplens.operators.layout import Layout, with_run_time
 from shoplens.operators.quality import report
 from shoplens.plans import attribution, checks, customers, revenue, staging
-from shoplens.plans.orders import LOAD_TIME, update_orders
+from shoplens.plans.orders import update_orders
 
 CUSTOMER_LAYOUT = Layout(
     cluster_by=("customer_segment", "churn_risk"), locate_by=("customer_id",)
@@ -103,6 +104,10 @@ class Models:
 
 
 STAGING = ("stg_orders", "stg_customers", "stg_products", "stg_sessions")
+MARTS = (
+    "mart_customer_360", "mart_revenue", "mart_channel_attribution", "mart_channel_first_touch",
+    "mart_orders_incremental",
+)
 
 
 def register_views(models: Models, run_ts: dt.datetime | None = None) -> None:
@@ -119,50 +124,57 @@ def build_all(
     run_ts: dt.datetime | None = None,
     full_refresh: bool = False,
     lookback: dt.timedelta | None = None,
+    select: Collection[str] = MARTS,
 ) -> dict[str, DataFrame]:
-    """Write all marts below ``root`` and return every model by name.
+    """Write the selected marts below ``root`` and return every model by name.
 
-    Marts that depend on customer 360 read the stored table back.
+    All models become temporary views as well: staging is computed whenever it is read, marts are
+    read from their files. Marts that depend on customer 360 read the stored table, also when it
+    is not among the selected ones.
     """
     models = Models(raw, as_of)
     register_views(models, run_ts)
+    built = {name: getattr(models, name) for name in STAGING}
+
+    def stored(name: str) -> DataFrame:
+        built[name] = spark.read.parquet(table_path(root, "marts", name))
+        built[name].createOrReplaceTempView(name)
+        return built[name]
 
     def store(name: str, df: DataFrame, layout: Layout | None = None) -> DataFrame:
-        path = table_path(root, "marts", name)
-        timed = with_run_time(df, run_ts)
-        if layout:
-            layout.write(timed, path)
-        else:
-            timed.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        if name in select:
+            timed, path = with_run_time(df, run_ts), table_path(root, "marts", name)
+            if layout:
+                layout.write(timed, path)
+            else:
+                timed.write.mode("overwrite").parquet(path)
+        return stored(name)
 
-    built = {name: getattr(models, name) for name in STAGING}
     customer_360 = store("mart_customer_360", models.mart_customer_360, CUSTOMER_LAYOUT)
     enriched = revenue.order_enriched(models.stg_orders, models.stg_products, customer_360)
-    daily = revenue.revenue_daily(enriched)
+    store("mart_revenue", revenue.revenue_daily(enriched), REVENUE_LAYOUT)
     sessions = models.stg_sessions
     any_touch = attribution.channel_attribution_any_touch(sessions, customer_360)
+    store("mart_channel_attribution", any_touch)
     first_touch = attribution.channel_attribution_first_touch(sessions, customer_360)
-    orders_path = table_path(root, "marts", "mart_orders_incremental")
-    update_orders(
-        spark, orders_path, models.stg_orders, models.stg_products, models.stg_customers,
-        full_refresh=full_refresh, lookback=lookback, run_ts=run_ts,
-    )
-    return built | {
-        "mart_customer_360": customer_360,
-        "mart_revenue": store("mart_revenue", daily, REVENUE_LAYOUT),
-        "mart_channel_attribution": store("mart_channel_attribution", any_touch),
-        "mart_channel_first_touch": store("mart_channel_first_touch", first_touch),
-        "mart_orders_incremental": spark.read.parquet(orders_path),
-    }
+    store("mart_channel_first_touch", first_touch)
+    if "mart_orders_incremental" in select:
+        update_orders(
+            spark, table_path(root, "marts", "mart_orders_incremental"), models.stg_orders,
+            models.stg_products, models.stg_customers,
+            full_refresh=full_refresh, lookback=lookback, run_ts=run_ts,
+        )
+    stored("mart_orders_incremental")
+    return built
+
+
+def read_all(
+    spark: SparkSession, raw: RawTables, root: str, as_of: dt.date | None = None
+) -> dict[str, DataFrame]:
+    """Every model by name, with the marts as they are stored."""
+    return build_all(spark, raw, root, as_of, select=())
 
 
 def check_all(tables: dict[str, DataFrame]) -> DataFrame:
     """Failures of the declared checks and of the keys nothing declares."""
     return report([*checks.DECLARED, *checks.KEYS_OF_OTHERS], tables)
-
-
-__all__ = [
-    "CUSTOMER_LAYOUT", "LOAD_TIME", "Models", "REVENUE_LAYOUT", "RawTables", "StoredRaw",
-    "build_all", "check_all", "register_views", "table_path",
-]

@@ -36,6 +36,7 @@ def local_session(cores: int = 8, driver_memory: str = "8g", **extra: str) -> Sp
     builder = SparkSession.builder.master(f"local[{cores}]").appName("shoplens")
     conf = settings_for(0, cores) | {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         # without the Python line of every column in error messages, plans are built faster
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": driver_memory,

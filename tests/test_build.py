@@ -1,9 +1,11 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from shoplens.plans.build import StoredRaw, build_all, check_all, table_path
+from shoplens.__main__ import main
+from shoplens.plans.build import MARTS, StoredRaw, build_all, check_all, table_path
 from shoplens.plans.customers import customer_lookup
 from shoplens.plans.revenue import dashboard_month_category
 from shoplens.sources import LOADED_AT, RAW_SCHEMAS, load_raw, read_csv, read_parquet, read_table
@@ -69,6 +71,39 @@ def test_building_again_changes_nothing(spark, warehouse):
     assert sorted(again["mart_orders_incremental"].collect()) == sorted(before)
 
 
+def test_only_selected_marts_are_written(spark, warehouse):
+    root, built = warehouse
+
+    def written(name):
+        return {p.name for p in Path(table_path(root, "marts", name)).rglob("*.parquet")}
+
+    before = {name: written(name) for name in MARTS}
+    later = build_all(spark, StoredRaw(spark, root), root, AS_OF, RUN, select=["mart_revenue"])
+    after = {name: written(name) for name in MARTS}
+    assert [name for name in MARTS if before[name] != after[name]] == ["mart_revenue"]
+    assert set(later) == set(built)
+    sums = spark.sql("select sum(total_orders) from mart_revenue").first()
+    assert sums[0] == 1500
+
+
+def test_command_line(spark, raw, tmp_path, capsys):
+    root = str(tmp_path / "w")
+    seeds = []
+    for table in RAW_SCHEMAS:
+        path = str(tmp_path / table)
+        raw(table, {}).write.option("header", True).csv(path)
+        seeds.append(f"{table}={path}")
+    assert main(["seed", "--root", root, *seeds]) == 0
+    assert main(["run", "--root", root, "--as-of", "2024-07-01"]) == 0
+    assert main(["test", "--root", root]) == 0
+    pending = raw("raw_orders", {"status": "lost"})
+    load_raw(pending, "raw_orders", table_path(root, "raw", "raw_orders"))
+    assert main(["test", "--root", root]) == 1
+    assert "accepted_values" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["seed", "--root", root, "raw_things=x.csv"])
+
+
 def test_csv(spark, tmp_path):
     header = "product_id,product_name,category,sub_category,unit_price,cost_price\n"
     good = tmp_path / "good.csv"
