@@ -42,6 +42,8 @@ def _band(x: str, sign: str, bounds: tuple[int, ...]) -> str:
     return f"cast(1 + {met} as int)"
 
 
+_SEGMENT = """case c_mktsegment when 'AUTOMOBILE' then 'VIP' when 'BUILDING' then 'regular'
+    when 'FURNITURE' then ' new' when 'HOUSEHOLD' then 'at-risk' else 'churned' end"""
 _DIMENSIONS = """p.product_name, p.category, p.sub_category, cast(p.unit_price as double) unit_price,
     cast(p.cost_price as double) cost_price, p.gross_margin_pct, p.price_tier"""
 
@@ -80,9 +82,7 @@ _STEPS = {
           {_title('n_name')} country, first_day signup_date,
           cast(date_diff('day', first_day, date '{AS_OF}') as int) days_since_signup,
           cast(date_diff('month', first_day, date '{AS_OF}') as int) months_since_signup,
-          {_title('''case c_mktsegment when 'AUTOMOBILE' then 'VIP' when 'BUILDING' then 'regular'
-            when 'FURNITURE' then ' new' when 'HOUSEHOLD' then 'at-risk'
-            else 'churned' end''')} customer_segment
+          {_title(_SEGMENT)} customer_segment
         from customer join nation on n_nationkey = c_nationkey
           left join first_days on o_custkey = c_custkey""",
     "prices": """
@@ -231,9 +231,7 @@ _RISKS = "'High Risk', 'Medium Risk', 'Low Risk'"
 _CHANNELS = _credit("touches")
 _REVENUE = f"select {_DAILY}, {_SUMMARY} from e group by all"
 _LINES = "select concat(l_orderkey, '-', l_linenumber) line_key from lineitem"
-_RAW_SEGMENTS = """select case c_mktsegment when 'AUTOMOBILE' then 'VIP' when 'BUILDING' then 'regular'
-    when 'FURNITURE' then ' new' when 'HOUSEHOLD' then 'at-risk' else 'churned' end segment
-    from customer"""
+_RAW_SEGMENTS = f"select {_SEGMENT} segment from customer"
 _UNIQUE = [
     ("stg_orders", "order_id", "from o"),
     ("stg_customers", "customer_id", "from c"),

@@ -93,14 +93,15 @@ class Relationship:
     def failing_rows(self, tables: Mapping[str, DataFrame]) -> DataFrame:
         """Orphaned values with their number of rows.
 
-        Values are counted before the join, so one that fills a third of the table is one row.
+        Both sides are reduced to distinct values before they meet, so one that fills a third of
+        either table is one row. The parents' reduction shuffles as the join needs it.
         """
         value = F.col(self.column)
         children = (
             tables[self.table].filter(value.isNotNull())
             .groupBy(value.alias("value")).agg(F.count("*").alias("rows"))
         )
-        parents = tables[self.parent].select(F.col(self.parent_column).alias("value"))
+        parents = tables[self.parent].select(F.col(self.parent_column).alias("value")).distinct()
         return children.join(parents, "value", "left_anti")
 
 
