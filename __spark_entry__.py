@@ -83,7 +83,7 @@ def _orders_merged(m: Models) -> DataFrame:
     orders.update_orders(
         spark, path, m.stg_orders, m.stg_products, m.stg_customers, lookback=LOOKBACK
     )
-    return spark.read.parquet(path).drop(orders.LOAD_TIME)
+    return spark.read.parquet(path).drop(orders.MART_LOADED_AT)
 
 
 def _date_spine(m: Models) -> DataFrame:

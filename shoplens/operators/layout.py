@@ -7,6 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+# fixed values: columns with the time of the run
+UPDATED_AT = "dbt_updated_at"
+MART_LOADED_AT = "dbt_loaded_at"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -40,7 +44,7 @@ class Layout:
 
 
 def with_run_time(
-    df: DataFrame, run_ts: dt.datetime | None = None, name: str = "dbt_updated_at"
+    df: DataFrame, run_ts: dt.datetime | None = None, name: str = UPDATED_AT
 ) -> DataFrame:
     """Adds the time of the run. Transforms leave it out, so that their results are repeatable."""
     return df.withColumn(name, F.current_timestamp() if run_ts is None else F.lit(run_ts))

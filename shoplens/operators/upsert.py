@@ -54,7 +54,7 @@ def upsert_table(
     that lost all their rows go last, so a run cut off there leaves a row twice, which the check
     of the key shows, and never none.
     """
-    if target is None or target.isEmpty():
+    if target is None:
         layout.write(batch, path)
         return
     staged_path = scratch_path(spark, "batch")

@@ -8,13 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.functions import percent
-from shoplens.operators.layout import Layout, with_run_time
+from shoplens.operators.layout import MART_LOADED_AT, Layout, with_run_time
 from shoplens.operators.upsert import upsert_table
 from shoplens.plans.revenue import PRODUCT_COLUMNS, with_dimensions
 from shoplens.sources import read_table
 
 ORDERS_LAYOUT = Layout(partition_by=("order_month",), cluster_by=("category",))
-LOAD_TIME = "dbt_loaded_at"
 
 
 def orders_enriched(orders: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def update_orders(
         orders = orders_after(orders, mark - lookback if lookback else mark)
     if statuses is not None:
         orders = orders.filter(F.col("status").isin(*statuses))
-    batch = with_run_time(orders_enriched(orders, products, customers), run_ts, LOAD_TIME)
+    batch = with_run_time(orders_enriched(orders, products, customers), run_ts, MART_LOADED_AT)
     if full_refresh:
         ORDERS_LAYOUT.write(batch, path)
     else:

@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 << 20
+MIB = 1 << 20
+SCAN_WAVES = 24
 
 
-def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+def settings_for(input_bytes: int, cores: int, shuffled_share: float = 0.2) -> dict[str, str]:
     """Settings sized from the bytes a job reads and the cores it runs on.
 
-    AQE merges shuffle partitions that turn out small but never adds any, so the starting number
-    is what must not be too low: one per 128 MiB read, and never fewer than the cores.
+    AQE merges shuffle partitions that turn out small but never adds any, so their first number
+    must not be too low: one per 512 MiB of the share of the input that is left after pruning
+    columns, and never fewer than the cores. It must not be too high either, as every scan task
+    writes a block for each of them; scans of very large inputs therefore use larger splits.
     """
-    partitions = max(cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    split = min(512 * MIB, max(128 * MIB, input_bytes // (cores * SCAN_WAVES)))
+    partitions = max(cores, math.ceil(input_bytes * shuffled_share / (512 * MIB)))
     return {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
         # one customer, product or NULL key may hold a third of the orders: such a shuffle
         # partition is cut into pieces, also where that costs one more exchange afterwards
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
     }
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType, TimestampNTZType
 
-from shoplens.operators.layout import with_run_time
+from shoplens.operators import layout
 from shoplens.operators.upsert import upsert_table
-from shoplens.plans.orders import LOAD_TIME, ORDERS_LAYOUT, orders_enriched
+from shoplens.plans.orders import ORDERS_LAYOUT, orders_enriched
 from shoplens.plans.staging import stg_orders
 from shoplens.sources import LOADED_AT, RAW_SCHEMAS, read_table
 
@@ -39,7 +39,8 @@ def follow_orders(
 
     def put(batch: DataFrame, _: int) -> None:
         orders = stg_orders(latest_versions(batch))
-        rows = with_run_time(orders_enriched(orders, products, customers), name=LOAD_TIME)
+        enriched = orders_enriched(orders, products, customers)
+        rows = layout.with_run_time(enriched, name=layout.MART_LOADED_AT)
         target = read_table(spark, table_path)
         upsert_table(spark, table_path, target, rows, "order_id", ORDERS_LAYOUT)
 

@@ -31,6 +31,11 @@ def test_a_local_session_gets_a_folder_once():
 
 
 def test_partitions_follow_the_input():
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert settings_for(0, 8)[name] == "8"
-    assert settings_for(100 << 40, 8000)[name] == str(100 << 13)
+    def sizes(input_bytes, cores):
+        conf = settings_for(input_bytes, cores)
+        split = int(conf["spark.sql.files.maxPartitionBytes"])
+        return split >> 20, int(conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"])
+
+    assert sizes(0, 8) == (128, 8)
+    assert sizes(1 << 40, 800) == (128, 800)
+    assert sizes(100 << 40, 8000) == (512, 40960)
