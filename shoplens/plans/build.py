@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Collection
 from dataclasses import dataclass
 from functools import cached_property
@@ -14,6 +15,7 @@ from shoplens.operators.layout import Layout, with_run_time
 from shoplens.operators.quality import report
 from shoplens.plans import attribution, checks, customers, revenue, staging
 from shoplens.plans.orders import update_orders
+from shoplens.session import skew_risks
 
 CUSTOMER_LAYOUT = Layout(
     cluster_by=("customer_segment", "churn_risk"), locate_by=("customer_id",)
@@ -132,6 +134,8 @@ def build_all(
     read from their files. Marts that depend on customer 360 read the stored table, also when it
     is not among the selected ones.
     """
+    for risk in skew_risks(spark):
+        warnings.warn(f"hot keys will not be cut up: {risk}", stacklevel=2)
     models = Models(raw, as_of)
     register_views(models, run_ts)
     built = {name: getattr(models, name) for name in STAGING}

@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 
 MIB = 1 << 20
 SCAN_WAVES = 24
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SKEWED_BLOCKS = "spark.shuffle.accurateBlockSkewedFactor"
+AVERAGED_ABOVE = 2000
 
 
 def settings_for(input_bytes: int, cores: int, shuffled_share: float = 0.2) -> dict[str, str]:
@@ -27,15 +30,35 @@ def settings_for(input_bytes: int, cores: int, shuffled_share: float = 0.2) -> d
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        INITIAL_PARTITIONS: str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
         # one customer, product or NULL key may hold a third of the orders: such a shuffle
         # partition is cut into pieces, also where that costs one more exchange afterwards
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # beyond 2000 partitions block sizes are averaged, which hides that key, unless they stick
+        # out by this factor
+        SKEWED_BLOCKS: "5.0",
     }
 
 
+def skew_risks(spark: SparkSession) -> list[str]:
+    """What keeps AQE from cutting up hot keys and large groups in this session."""
+
+    def off(name: str) -> bool:
+        return spark.conf.get(name, "true").lower() != "true"
+
+    switches = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    risks = [f"{name} is off" for name in switches if off(name)]
+    partitions = spark.conf.get(
+        INITIAL_PARTITIONS, spark.conf.get("spark.sql.shuffle.partitions", "200")
+    )
+    factor = spark.sparkContext.getConf().get(SKEWED_BLOCKS, "-1")
+    if int(partitions) > AVERAGED_ABOVE and float(factor) <= 0:
+        risks.append(f"{partitions} shuffle partitions without {SKEWED_BLOCKS}")
+    return risks
+
+
 def local_session(cores: int = 8, driver_memory: str = "8g", **extra: str) -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("shoplens")

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from shoplens.session import scratch_path, settings_for
+from shoplens.session import scratch_path, settings_for, skew_risks
 
 
 def session(master, folder=None):
@@ -39,3 +39,16 @@ def test_partitions_follow_the_input():
     assert sizes(0, 8) == (128, 8)
     assert sizes(1 << 40, 800) == (128, 800)
     assert sizes(100 << 40, 8000) == (512, 40960)
+
+
+def test_settings_that_hide_hot_keys_are_named(spark):
+    assert skew_risks(spark) == []
+
+    def risks(sql, core):
+        context = SimpleNamespace(getConf=lambda: core)
+        return skew_risks(SimpleNamespace(conf=sql, sparkContext=context))
+
+    assert risks({"spark.sql.adaptive.enabled": "false"}, {}) == ["spark.sql.adaptive.enabled is off"]
+    many = {"spark.sql.shuffle.partitions": "40000"}
+    assert len(risks(many, {})) == 1
+    assert risks(many, {"spark.shuffle.accurateBlockSkewedFactor": "5.0"}) == []

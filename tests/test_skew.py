@@ -80,6 +80,14 @@ def test_hot_products_and_customers_are_cut_up(small_threshold, orders, products
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_hot_keys_show_among_thousands_of_partitions(spark, small_threshold, orders, products):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "2500")
+    counted = orders.join(products.select("product_id", "category"), "product_id", "left")
+    rows, plan = executed(counted.groupBy("category").agg(F.count("*"), F.max("order_id")))
+    assert sum(r[1] for r in rows) == ROWS
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_a_hot_customer_is_one_row_per_month_before_it_is_grouped(small_threshold, orders):
     rows, plan = executed(customers.customer_orders(orders, AS_OF))
     hot = next(r for r in rows if r.customer_id == "hot")
