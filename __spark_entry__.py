@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType
 
-import oracle
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import expected_sql
 from shoplens.functions import cents_to_dollars, safe_divide
 from shoplens.operators.calendar import calendar_between
 from shoplens.operators.quality import (
@@ -26,10 +30,10 @@ from shoplens.session import scratch_path
 from shoplens.sources.shop_tables import ShopTables
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
-AS_OF = dt.date.fromisoformat(oracle.AS_OF)
-FIRST_LOAD_BEFORE = dt.datetime.fromisoformat(oracle.FIRST_LOAD_BEFORE)
+AS_OF = dt.date.fromisoformat(expected_sql.AS_OF)
+FIRST_LOAD_BEFORE = dt.datetime.fromisoformat(expected_sql.FIRST_LOAD_BEFORE)
 LOOKBACK = dt.timedelta(days=31)
-DASHBOARD_SINCE = dt.date.fromisoformat(oracle.DASHBOARD_SINCE)
+DASHBOARD_SINCE = dt.date.fromisoformat(expected_sql.DASHBOARD_SINCE)
 
 
 def _models(spark: SparkSession, folder: str) -> Models:
@@ -123,7 +127,7 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "customer_sessions": lambda m: customers.customer_sessions(m.stg_sessions),
     "mart_customer_360": _model("mart_customer_360"),
     "customer_lookup": lambda m: customers.customer_lookup(
-        m.mart_customer_360, oracle.LOOKUP_CUSTOMER, "Vip"
+        m.mart_customer_360, expected_sql.LOOKUP_CUSTOMER, "Vip"
     ),
     "order_enriched": _model("order_enriched"),
     "mart_revenue": _model("mart_revenue"),
@@ -182,4 +186,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL."""
-    return oracle.all_sql()
+    return expected_sql.all_sql()

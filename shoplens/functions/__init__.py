@@ -3,10 +3,10 @@
 from shoplens.functions.choice import first_match, true_or_false
 from shoplens.functions.dates import (
     as_of_date,
+    day_boundaries,
     day_of_week,
-    days_between,
+    month_boundaries,
     month_start,
-    months_between,
     quarter_start,
     week_start,
 )
@@ -26,8 +26,8 @@ from shoplens.functions.money import (
 from shoplens.functions.text import clean, title_case
 
 __all__ = [
-    "MONEY", "RAW_MONEY", "TOTAL", "as_of_date", "cents_to_dollars", "clean", "day_of_week",
-    "days_between", "decimal_mean", "exact_mean", "first_match", "money", "money_mean", "money_sum",
-    "month_start", "months_between", "percent", "quarter_start", "safe_divide", "title_case",
+    "MONEY", "RAW_MONEY", "TOTAL", "as_of_date", "cents_to_dollars", "clean", "day_boundaries",
+    "day_of_week", "decimal_mean", "exact_mean", "first_match", "money", "money_mean", "money_sum",
+    "month_boundaries", "month_start", "percent", "quarter_start", "safe_divide", "title_case",
     "true_or_false", "week_start",
 ]

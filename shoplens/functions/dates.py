@@ -34,9 +34,9 @@ def day_of_week(c: Column) -> Column:
     return F.dayofweek(c.cast("date")) - 1
 
 
-def days_between(start: Column, end: Column) -> Column:
+def day_boundaries(start: Column, end: Column) -> Column:
     return F.datediff(end.cast("date"), start.cast("date"))
 
 
-def months_between(start: Column, end: Column) -> Column:
+def month_boundaries(start: Column, end: Column) -> Column:
     return (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplens.functions import (
     as_of_date,
-    days_between,
+    day_boundaries,
     first_match,
     money_mean,
     money_sum,
@@ -66,8 +66,8 @@ def customer_orders(orders: DataFrame, as_of: dt.date | None = None) -> DataFram
         money_mean(F.col("net_amount")).alias("avg_order_value"),
         first.alias("first_order_date"),
         last.alias("last_order_date"),
-        days_between(last, as_of_date(as_of)).alias("days_since_last_order"),
-        days_between(first, last).alias("customer_lifespan_days"),
+        day_boundaries(last, as_of_date(as_of)).alias("days_since_last_order"),
+        day_boundaries(first, last).alias("customer_lifespan_days"),
         F.count_distinct("order_month").alias("active_months"),
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shoplens.functions import month_start, months_between
+from shoplens.functions import month_start, month_boundaries
 from shoplens.plans.customers import completed_orders
 
 
@@ -33,7 +33,7 @@ def cohort_retention(orders: DataFrame) -> DataFrame:
     # months are distinct per customer, so counting rows counts customers
     grid = (
         active.select("month", cohort.alias("cohort"))
-        .groupBy("cohort", months_between(F.col("cohort"), F.col("month")).alias("later"))
+        .groupBy("cohort", month_boundaries(F.col("cohort"), F.col("month")).alias("later"))
         .agg(F.count("*").alias("active_customers"))
     )
     # every member is active in the first month, which therefore counts the cohort

@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shoplens.functions import (
     as_of_date,
     clean,
+    day_boundaries,
     day_of_week,
-    days_between,
     first_match,
     money,
+    month_boundaries,
     month_start,
-    months_between,
     percent,
     title_case,
     true_or_false,
@@ -87,8 +87,8 @@ def stg_customers(raw_customers: DataFrame, as_of: dt.date | None = None) -> Dat
         clean(F.col("email")).alias("email"),
         title_case(F.col("country")).alias("country"),
         signup.alias("signup_date"),
-        days_between(signup, today).alias("days_since_signup"),
-        months_between(signup, today).alias("months_since_signup"),
+        day_boundaries(signup, today).alias("days_since_signup"),
+        month_boundaries(signup, today).alias("months_since_signup"),
         title_case(F.col("segment")).alias("customer_segment"),
     )
 

@@ -39,7 +39,7 @@ def test_calendar_boundaries(spark):
     ]
     df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
     got = df.select(
-        fn.days_between(F.col("a"), F.col("b")), fn.months_between(F.col("a"), F.col("b"))
+        fn.day_boundaries(F.col("a"), F.col("b")), fn.month_boundaries(F.col("a"), F.col("b"))
     ).collect()
     assert [tuple(r) for r in got] == [(1, 1), (1, 1), (-29, -1)]
 
@@ -78,3 +78,10 @@ def test_money_sum_is_exact(spark, partitions):
         fn.money_sum(F.when(F.lit(False), F.col("m"))),
     ).first()
     assert (str(total), mean, empty) == ("1000.00", 0.01, None)
+
+
+def test_means_ignore_missing_values(spark):
+    df = spark.createDataFrame([(0.1,), (0.2,), (None,)], "x double")
+    x, none = F.col("x"), F.when(F.lit(False), F.col("x"))
+    got = df.agg(fn.exact_mean(x, 1), fn.decimal_mean(x), fn.exact_mean(none, 1)).first()
+    assert [got[0], got[1], got[2]] == [0.15, 0.15, None]
