@@ -1,7 +1,7 @@
 """Command line: load seeds, build the marts, run the checks.
 
     python -m shoplens seed --root R raw_products=products.csv ...
-    python -m shoplens run --root R [--as-of DAY] [--select MART ...]
+    python -m shoplens run --root R [--as-of DAY] [--select MART ...] [--check-keys]
     python -m shoplens test --root R
 """
 
@@ -25,6 +25,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--select", nargs="+", choices=MARTS, default=MARTS)
     run.add_argument("--full-refresh", action="store_true")
     run.add_argument("--lookback-days", type=int, default=0)
+    run.add_argument("--check-keys", action="store_true", help="refuse repeated dimension keys")
     test = commands.add_parser("test", help="print failed checks; status 1 if there are any")
     for command in (seed, run, test):
         command.add_argument("--root", required=True, help="folder of the warehouse")
@@ -48,6 +49,7 @@ def main(argv: list[str] | None = None) -> int:
         build_all(
             spark, raw, args.root, args.as_of, full_refresh=args.full_refresh,
             lookback=dt.timedelta(args.lookback_days) or None, select=args.select,
+            check_keys=args.check_keys,
         )
         return 0
     # one row per check

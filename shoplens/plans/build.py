@@ -127,12 +127,14 @@ def build_all(
     full_refresh: bool = False,
     lookback: dt.timedelta | None = None,
     select: Collection[str] = MARTS,
+    check_keys: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the selected marts below ``root`` and return every model by name.
 
     All models become temporary views as well: staging is computed whenever it is read, marts are
     read from their files. Marts that depend on customer 360 read the stored table, also when it
-    is not among the selected ones.
+    is not among the selected ones. A product or customer that occurs twice would double its
+    orders; ``check_keys`` looks for that first and raises.
     """
     for risk in skew_risks(spark):
         warnings.warn(f"hot keys will not be cut up: {risk}", stacklevel=2)
@@ -140,6 +142,12 @@ def build_all(
     register_views(models, run_ts)
     built = {name: getattr(models, name) for name in STAGING}
 
+    if check_keys:
+        found = report(checks.JOIN_KEYS, built).collect()
+        repeated = [f"{r['model']}.{r['column_name']}" for r in found if r["failures"]]
+        if repeated:
+            raise ValueError(f"not unique: {', '.join(repeated)}")
+
     def stored(name: str) -> DataFrame:
         built[name] = spark.read.parquet(table_path(root, "marts", name))
         built[name].createOrReplaceTempView(name)

@@ -46,6 +46,9 @@ DECLARED: list[Check] = [
     *UNIQUE, *NOT_NULL, *ACCEPTED_VALUES, *RELATIONSHIPS, NET_WITHIN_GROSS,
 ]
 
+# keys that orders are joined on
+JOIN_KEYS = [Unique("stg_products", "product_id"), Unique("stg_customers", "customer_id")]
+
 # keys of the two models that no declared check looks at
 KEYS_OF_OTHERS: list[Check] = [
     Unique("stg_sessions", "session_id"),

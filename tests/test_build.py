@@ -1,5 +1,6 @@
 import datetime as dt
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,36 @@ def test_csv(spark, tmp_path):
         read_csv(spark, str(wrong), "raw_products").collect()
 
 
+def test_csv_dates_and_booleans(spark, tmp_path):
+    orders, visits = tmp_path / "o.csv", tmp_path / "s.csv"
+    orders.write_text(
+        ",".join(RAW_SCHEMAS["raw_orders"].names) + "\n"
+        "1,c,2024-01-05 10:11:12,Completed,10.5,,0,p,2\n"
+        "2,c,2024-01-05,Completed,10.5,1,0,,2\n"
+        "3,c,2024-01-05T10:11:12.5,Completed,10.5,1,0,p,2\n"
+    )
+    rows = {r.order_id: r for r in read_csv(spark, str(orders), "raw_orders").collect()}
+    assert rows["1"].order_date == dt.datetime(2024, 1, 5, 10, 11, 12)
+    assert (rows["2"].order_date, rows["2"].product_id) == (dt.datetime(2024, 1, 5), None)
+    assert (rows["3"].order_date.microsecond, rows["1"].discount) == (500000, None)
+    visits.write_text(
+        ",".join(RAW_SCHEMAS["raw_sessions"].names) + "\n"
+        "1,c,2024-01-05,email,1,2,True\n2,,2024-01-06,email,1,2,false\n"
+    )
+    got = [(r.session_date.day, r.customer_id, r.converted)
+           for r in read_csv(spark, str(visits), "raw_sessions").orderBy("session_id").collect()]
+    assert got == [(5, "c", True), (6, None, False)]
+
+
+def test_repeated_dimension_keys_can_be_refused(spark, raw, tmp_path):
+    tables = SimpleNamespace(
+        orders=raw("raw_orders", {}), customers=raw("raw_customers", {}),
+        products=raw("raw_products", {}, {}), sessions=raw("raw_sessions", {}),
+    )
+    with pytest.raises(ValueError, match="stg_products.product_id"):
+        build_all(spark, tables, str(tmp_path / "w"), AS_OF, RUN, check_keys=True)
+
+
 def test_parquet_of_floats(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.sql(
