@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import tempfile
 import uuid
@@ -76,6 +77,11 @@ def local_session(cores: int = 8, driver_memory: str = "8g", **extra: str) -> Sp
     return session
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shoplens-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below ``spark.checkpoint.dir``, the folder all executors share.
 
@@ -85,6 +91,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="shoplens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

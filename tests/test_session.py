@@ -8,7 +8,7 @@ from shoplens.session import scratch_path, settings_for, skew_risks
 def session(master, folder=None):
     conf = {"spark.checkpoint.dir": folder} if folder else {}
     return SimpleNamespace(
-        conf=SimpleNamespace(get=conf.get, set=conf.__setitem__),
+        conf=SimpleNamespace(get=conf.get),
         sparkContext=SimpleNamespace(master=master),
     )
 
