@@ -7,12 +7,11 @@ their surviving rows and the batch; all others keep their files.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from shoplens.operators.layout import Layout
 from shoplens.session import scratch_path
-from shoplens.sources.storage import delete_folder
-
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+from shoplens.sources.storage import delete_folder, partition_folder
 
 
 class DuplicateKeys(ValueError):
@@ -72,6 +71,7 @@ def _put(
     if not batch.groupBy(key).count().filter("count > 1").isEmpty():
         raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
 
+    target = _as_partitioned(spark, path, target, batch.schema[partition])
     losing = _partitions_holding(target, batch, key, partition)
     gaining = _values(batch, partition)
     emptied = losing - gaining
@@ -87,8 +87,20 @@ def _put(
     merged = upsert(align(target, batch), batch, key)
     layout.write(merged, path, only_partitions_present=True)
     for value in emptied:
-        folder = HIVE_NULL if value is None else value
-        delete_folder(spark, f"{path.rstrip('/')}/{partition}={folder}")
+        delete_folder(spark, f"{path.rstrip('/')}/{partition_folder(spark, partition, value)}")
+
+
+def _as_partitioned(
+    spark: SparkSession, path: str, target: DataFrame, partition: StructField
+) -> DataFrame:
+    """The table with the partition column of that type.
+
+    Folder names carry no types: read without a schema, the text ``007`` becomes a number.
+    """
+    if target.schema[partition.name].dataType == partition.dataType:
+        return target
+    fields = [partition if f.name == partition.name else f for f in target.schema]
+    return spark.read.schema(StructType(fields)).parquet(path)
 
 
 def _partitions_holding(

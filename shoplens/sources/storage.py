@@ -1,4 +1,4 @@
-"""Removing folders on whatever file system a path names."""
+"""Folders of tables on whatever file system a path names."""
 
 from __future__ import annotations
 
@@ -10,3 +10,10 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder = jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     folder.getFileSystem(conf).delete(folder, True)
+
+
+def partition_folder(spark: SparkSession, column: str, value: object) -> str:
+    """The folder name Spark gives to a partition; special characters are escaped."""
+    text = None if value is None else str(value)
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(column, text)

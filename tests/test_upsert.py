@@ -66,6 +66,14 @@ def test_rows_without_partition_value(table):
     assert table.rows() == [("1", "A", "x"), ("2", "b", "x"), ("3", "C", "x")]
 
 
+def test_partition_values_that_folders_cannot_show(spark, table):
+    table([("1", "a", "x y/z: 50%"), ("2", "b", "007")])
+    table([("1", "A", "007"), ("3", "c", "7")])
+    stored = spark.read.schema("id string, v string, part string").parquet(table.path)
+    assert sorted(map(tuple, stored.collect())) == [
+        ("1", "A", "007"), ("2", "b", "007"), ("3", "c", "7")]
+
+
 def test_an_empty_batch_and_an_empty_table(table):
     table([])
     table([("1", "a", "x")])
