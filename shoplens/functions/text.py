@@ -7,7 +7,8 @@ from pyspark.sql import Column, functions as F
 # fixed values: characters after which a new word starts, besides white space
 WORD_DELIMITERS = r"""!?@"^#$&~_,.:;+-*%/|\[](){}<>"""
 
-_AFTER_DELIMITER = "([" + "".join("\\" + c for c in WORD_DELIMITERS) + r"\s])"
+# ``initcap`` starts words at spaces only
+_MISSED = "[" + "".join("\\" + c for c in WORD_DELIMITERS) + r"\t\n\x0B\f\r]"
 _BREAK = "\u0001 "
 
 
@@ -19,8 +20,10 @@ def clean(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Trimmed text with every word capitalised, also after punctuation: ``At-Risk``.
 
-    ``initcap`` starts words only at spaces, so a marked space is put behind each delimiter first
-    and taken out again afterwards.
+    Text with delimiters gets a marked space behind each of them, which is taken out again after
+    ``initcap``. Most names have none and are spared that.
     """
-    spaced = F.regexp_replace(F.trim(c), _AFTER_DELIMITER, "$1" + _BREAK)
-    return F.replace(F.initcap(spaced), F.lit(_BREAK), F.lit(""))
+    text = F.trim(c)
+    spaced = F.regexp_replace(text, f"({_MISSED})", "$1" + _BREAK)
+    punctuated = F.replace(F.initcap(spaced), F.lit(_BREAK), F.lit(""))
+    return F.when(text.rlike(_MISSED), punctuated).otherwise(F.initcap(text))
