@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import chat
+from shoplens.llm import chat, html_text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,8 +48,15 @@ select conv_id, n_turns, sha256(whole) as turns_sha256, cast(length(learnt) as b
 from folded
 """
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    texts = pages.select("page_id", "url", html_text.extract("html").alias("text"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
+    "op4_html_extraction": html_extraction,
 }
 
 ORACLES = {
