@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import chat, html_text
+from shoplens.llm import chat, html_text, language
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +54,22 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def _doc_hash(modulus: int):
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (_doc_hash(5) == 0).alias("held_out")
+    )
+    filters = language.fit(docs.filter(~F.col("held_out")))
+    return language.identify(docs.drop("lang"), filters).drop("text")
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op4_html_extraction": html_extraction,
+    "op8_language_id": language_id,
 }
 
 ORACLES = {
