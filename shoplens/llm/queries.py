@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import chat, html_text, language
+from shoplens.llm import chat, html_text, language, minhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,10 +66,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.drop("lang"), filters).drop("text")
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return minhash.near_duplicates(docs, n_words=3, least=(85, 100))
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op4_html_extraction": html_extraction,
     "op8_language_id": language_id,
+    "op10_minhash_near_dedup": minhash_near_dedup,
 }
 
 ORACLES = {
