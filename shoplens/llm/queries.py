@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import chat, html_text, language, minhash
+from shoplens.llm import chat, embeddings, html_text, language, minhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,8 +71,33 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, n_words=3, least=(85, 100))
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+EMBEDDING_SQL = """
+with recursive usable as (
+  select vec_id, embedding::double[] as x from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda v: v is null or isnan(v) or isinf(v))) = 0
+    and len(list_filter(embedding, lambda v: v <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on a.vec_id <> b.vec_id
+    and len(a.x) = len(b.x)
+  where list_cosine_similarity(a.x, b.x) >= 0.9
+), reached as (
+  select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a
+), parts as (select a, least(a, min(b)) as component_id from reached group by a
+), counted as (select a, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, vec_id) as component_id,
+  vec_id = coalesce(component_id, vec_id) as kept
+from embeddings left join parts on parts.a = vec_id left join counted on counted.a = vec_id
+"""
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
+    "op2_embedding_near_dedup": embedding_near_dedup,
     "op4_html_extraction": html_extraction,
     "op8_language_id": language_id,
     "op10_minhash_near_dedup": minhash_near_dedup,
@@ -80,4 +105,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_chat_formatting": CHAT_SQL,
+    "op2_embedding_near_dedup": EMBEDDING_SQL,
 }
