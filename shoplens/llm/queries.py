@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import chat, embeddings, html_text, language, minhash
+from shoplens.llm import chat, decontaminate, embeddings, html_text, language, minhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,10 +95,57 @@ from embeddings left join parts on parts.a = vec_id left join counted on counted
 """
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_leaks(docs, items, window=10)
+    as_strings = F.array_sort(F.col("item_ids").cast("array<string>"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]).alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(as_strings, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+DECONTAMINATION_SQL = r"""
+with doc_words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), item_words as (
+  select item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), phrases as (
+  select distinct item_id, least(len(w), 10) as n, w[k:k + least(len(w), 10) - 1] as phrase
+  from item_words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as t(k) where len(w) > 0
+), lengths as (select distinct n from phrases
+), doc_runs as (
+  select doc_id, k, n, w[k:k + n - 1] as phrase
+  from doc_words, lengths, unnest(range(1, len(w) - n + 2)) as t(k)
+), hits as (
+  select doc_id, k, r.n, item_id from doc_runs r join phrases p on r.n = p.n and r.phrase = p.phrase
+), covered as (
+  select doc_id, count(distinct place) as n_hit
+  from (select distinct doc_id, k, n from hits), unnest(range(k, k + n)) as t(place) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct doc_id, item_id from hits) group by doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from doc_words d left join covered c on c.doc_id = d.doc_id left join items i on i.doc_id = d.doc_id
+"""
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_embedding_near_dedup": embedding_near_dedup,
     "op4_html_extraction": html_extraction,
+    "op5_benchmark_decontamination": benchmark_decontamination,
     "op8_language_id": language_id,
     "op10_minhash_near_dedup": minhash_near_dedup,
 }
@@ -106,4 +153,5 @@ QUERIES = {
 ORACLES = {
     "op1_chat_formatting": CHAT_SQL,
     "op2_embedding_near_dedup": EMBEDDING_SQL,
+    "op5_benchmark_decontamination": DECONTAMINATION_SQL,
 }
