@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import chat, decontaminate, embeddings, html_text, language, minhash
+from shoplens.llm import (
+    chat, decontaminate, embeddings, html_text, language, minhash, packing, token_files,
+)
+from shoplens.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,11 +144,23 @@ from doc_words d left join covered c on c.doc_id = d.doc_id left join items i on
 """
 
 
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    token_files.write(_table(spark, sf_dir, "documents"), path, end_id=2)
+    return token_files.read_documents(spark, path)
+
+
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_embedding_near_dedup": embedding_near_dedup,
     "op4_html_extraction": html_extraction,
     "op5_benchmark_decontamination": benchmark_decontamination,
+    "op6_token_output": token_output,
+    "op7_best_fit_packing": best_fit_packing,
     "op8_language_id": language_id,
     "op10_minhash_near_dedup": minhash_near_dedup,
 }

@@ -62,9 +62,13 @@ class WaveletMatrix:
 def planes_of(values: np.ndarray, n_bits: int):
     """The planes as arrays of booleans, one after the other."""
     for k in range(n_bits - 1, -1, -1):
-        plane = ((values >> k) & 1).astype(bool)
+        plane = (values & values.dtype.type(1 << k)).astype(bool)
         yield plane
-        values = np.concatenate((values[~plane], values[plane]))
+        below = np.empty_like(values)
+        n_zeros = len(values) - np.count_nonzero(plane)
+        np.compress(~plane, values, out=below[:n_zeros])
+        np.compress(plane, values, out=below[n_zeros:])
+        values = below
 
 
 def values_of(planes: list[np.ndarray], dtype) -> np.ndarray:
