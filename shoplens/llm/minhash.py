@@ -3,9 +3,9 @@
 One permutation scatters the shingles, a second one, read at K successive circular shifts, gives
 all K coordinates of the signature (Li and Li, 2022). Documents that agree on a band of it meet in
 a bucket. Links are confirmed on the full sets. A bucket's documents are not paired with each other:
-they are compared with a centre, components are formed, and only members of different components
-are compared further, until every bucket holds one component or all its pairs across components
-have been compared.
+they are compared with a centre, twice, and components are formed. Where a bucket still holds
+several components, all its pairs across components are compared: one by one in small buckets, as
+blocks of sets in large ones.
 """
 
 from __future__ import annotations
@@ -23,9 +23,14 @@ from shoplens.llm.storage import Scratch
 from shoplens.llm.words import STEP, mixed, shingles
 
 BANDS = 32
+CENTRES = 2
 ROWS = 6
 UNIVERSE_BITS = 18
 SLICE = 2048
+SMALL_BUCKET = 32
+QUERY_ELEMENTS = 1 << 17
+ROW_ELEMENTS = 1 << 18
+COMPARED_ROWS = 128
 SEED = 20240
 
 
@@ -93,23 +98,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> Data
     return joined.filter(enough).select("a", "b")
 
 
-def _candidates(
-    members: DataFrame, everything: bool, least: tuple[int, int], turn: int
-) -> DataFrame:
-    """Pairs of one bucket and different components, with a centre or, at last, all of them."""
-    at = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component", "n_shingles")
-    if everything:
-        sizes = members.groupBy("bucket", "component").count()
-        largest = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")))
-        largest = largest.toDF("bucket", "largest")
-        others = members.join(largest, "bucket").filter("component <> largest")
-        centres = others.select("bucket", F.struct("doc_id", "component", "n_shingles").alias("c"))
-    else:
-        centres = members.groupBy("bucket").agg(F.min(at).alias("c"))
+def _pairs(members: DataFrame, others: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs of a bucket's ``members`` and the one or more ``others`` of different components."""
     small = F.least("n_shingles", "c.n_shingles").cast("long")
     large = F.greatest("n_shingles", "c.n_shingles").cast("long")
     return (
-        members.join(centres, "bucket")
+        members.join(others, "bucket")
         .filter("component <> c.component")
         .filter(small * least[1] >= large * least[0])
         .select(
@@ -119,6 +113,106 @@ def _candidates(
     )
 
 
+def _with_centres(members: DataFrame, turn: int, least: tuple[int, int]) -> DataFrame:
+    """Every member with one of its bucket: of most copies at first, by chance later."""
+    first = -F.col("copies") if turn == 0 else F.lit(0)
+    at = F.struct(first, F.xxhash64("doc_id", F.lit(turn)), "doc_id", "component", "n_shingles")
+    return _pairs(members, members.groupBy("bucket").agg(F.min(at).alias("c")), least)
+
+
+def _outside(members: DataFrame, group: str) -> DataFrame:
+    """The members that are not in the largest component of their group."""
+    sizes = members.groupBy(group, "component").count()
+    largest = sizes.groupBy(group).agg(
+        F.max_by("component", F.struct("count", "component")).alias("largest")
+    )
+    return members.join(largest, group).filter("component <> largest").drop("largest")
+
+
+def _compared(least: tuple[int, int]):
+    """Links between two blocks of sets: one for each row of the first and each component."""
+
+    def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(rows):
+            return pd.DataFrame({"a": [], "b": []})
+        columns = np.intersect1d(np.concatenate(queries["own"]), np.concatenate(rows["own"]))
+
+        def matrix(own) -> np.ndarray:
+            out = np.zeros((len(own), len(columns)), np.float32)
+            for k, items in enumerate(own):
+                at = np.searchsorted(columns, items)
+                at = np.minimum(at, max(len(columns) - 1, 0))
+                out[k, at[columns[at] == items] if len(columns) else []] = 1
+            return out
+
+        first = matrix(queries["own"])
+        n, component = queries["n_shingles"].to_numpy(), queries["component"].to_numpy()
+        out = []
+        for k in range(0, len(rows), COMPARED_ROWS):
+            some = rows.iloc[k : k + COMPARED_ROWS]
+            shared = np.rint(first @ matrix(some["own"]).T).astype(np.int64)
+            union = n[:, None] + some["n_shingles"].to_numpy()[None, :] - shared
+            linked = shared * least[1] >= union * least[0]
+            linked &= component[:, None] != some["component"].to_numpy()[None, :]
+            at = np.nonzero(linked)
+            found = pd.DataFrame(
+                {"a": queries["doc_id"].to_numpy()[at[0]], "b": some["doc_id"].to_numpy()[at[1]],
+                 "component": some["component"].to_numpy()[at[1]]}
+            )
+            out.append(found.drop_duplicates(["a", "component"])[["a", "b"]])
+        return pd.concat(out)
+
+    return run
+
+
+def _links_of_rest(
+    members: DataFrame, sets: DataFrame, scratch: Scratch, least: tuple[int, int]
+) -> DataFrame:
+    """All links between members of one bucket that are in different components.
+
+    In small buckets the members outside the largest component are paired with the others. Large
+    buckets that share documents are one group each, whose sets are compared block by block.
+    """
+    sizes = members.groupBy("bucket").count()
+    small = members.join(sizes.filter(F.col("count") <= SMALL_BUCKET), "bucket")
+    other = F.struct("doc_id", "component", "n_shingles").alias("c")
+    pairs = _pairs(small, _outside(small, "bucket").select("bucket", other), least)
+    links = _verified(pairs, sets, least)
+
+    large = members.join(sizes.filter(F.col("count") > SMALL_BUCKET), "bucket")
+    if large.isEmpty():
+        return links
+    meeting = large.groupBy("bucket").agg(F.min("doc_id").alias("b"))
+    meeting = large.join(meeting, "bucket").select(F.col("doc_id").alias("a"), "b")
+    group = components(meeting, scratch, "meeting").toDF("doc_id", "group")
+    columns = ["doc_id", "n_shingles", "component"]
+    grouped = scratch.store(large.select(*columns).distinct().join(group, "doc_id"), "grouped")
+    queries = _outside(grouped, "group")
+
+    def shape(rows: DataFrame, elements: int, name: str) -> DataFrame:
+        blocks = F.ceil(F.sum("n_shingles") / elements).cast("int")
+        return rows.groupBy("group").agg(blocks.alias(name))
+
+    shapes = shape(queries, QUERY_ELEMENTS, "n_q").join(shape(grouped, ROW_ELEMENTS, "n_r"), "group")
+
+    def dealt(rows: DataFrame, own: str, all_own: str, other: str, all_other: str) -> DataFrame:
+        return (
+            rows.join(shapes, "group")
+            .withColumn(own, F.pmod(F.xxhash64("doc_id"), F.col(all_own)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(all_other) - 1)))
+            .join(sets, "doc_id")
+            .select(*[F.col(c).alias(c) for c in ("group", "q", "r", *columns, "own")])
+        )
+
+    key = ["group", "q", "r"]
+    compared = (
+        dealt(queries, "q", "n_q", "r", "n_r").groupBy(*key)
+        .cogroup(dealt(grouped, "r", "n_r", "q", "n_q").groupBy(*key))
+        .applyInPandas(_compared(least), "a long, b long")
+    )
+    return links.unionAll(compared)
+
+
 def near_duplicates(
     docs: DataFrame,
     n_words: int = 5,
@@ -148,10 +242,11 @@ def near_duplicates(
     filled = sketches.filter("n_shingles > 0")
     classes = filled.groupBy("content").agg(
         F.min("doc_id").alias("doc_id"),
+        F.count("*").alias("copies"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"),
     )
-    hashed = classes.select("doc_id", "n_shingles", F.explode("bands").alias("bucket"))
+    hashed = classes.select("doc_id", "copies", "n_shingles", F.explode("bands").alias("bucket"))
     shared = hashed.groupBy("bucket").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     ).filter("low < high").select("bucket")
@@ -166,7 +261,7 @@ def near_duplicates(
 
     links = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
     found = links.select(F.col("a").alias("doc_id"), F.col("b").alias("component"))
-    for turn in range(3):
+    for turn in range(CENTRES + 1):
         members = buckets.join(found, "doc_id", "left").withColumn(
             "component", F.coalesce("component", "doc_id")
         )
@@ -176,11 +271,14 @@ def near_duplicates(
         members = scratch.store(members.join(mixed_buckets, "bucket"), "members")
         if members.isEmpty():
             break
-        pairs = _candidates(members, turn == 2, least, turn)
-        links = scratch.store(links.union(_verified(pairs, sets, least)), "links")
+        if turn < CENTRES:
+            new = _verified(_with_centres(members, turn, least), sets, least)
+        else:
+            new = _links_of_rest(members, sets, scratch, least)
+        links = scratch.store(links.unionAll(new), "links")
         found = components(links, scratch, "edges").toDF("doc_id", "component")
         found = scratch.store(found, "found")
-    scratch.drop("sets", "buckets", "members", "links", "edges")
+    scratch.drop("sets", "buckets", "members", "links", "edges", "meeting", "grouped")
 
     joined = sketches.join(
         classes.select("content", F.col("doc_id").alias("first")), "content", "left"
