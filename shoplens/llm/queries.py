@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.llm import (
-    chat, decontaminate, embeddings, html_text, language, minhash, packing, token_files,
+    chat, decontaminate, embeddings, html_text, language, language_model, minhash, packing,
+    token_files,
 )
 from shoplens.session import scratch_path
 
@@ -154,9 +155,17 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (_doc_hash(7) != 2).alias("train")
+    )
+    return language_model.score(docs).withColumn("held_out", _doc_hash(7) == 2)
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_embedding_near_dedup": embedding_near_dedup,
+    "op3_lm_scoring": lm_scoring,
     "op4_html_extraction": html_extraction,
     "op5_benchmark_decontamination": benchmark_decontamination,
     "op6_token_output": token_output,
