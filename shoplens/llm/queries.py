@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.llm import (
     chat, decontaminate, embeddings, html_text, language, language_model, minhash, packing,
-    token_files,
+    suffix_dedup, token_files,
 )
 from shoplens.session import scratch_path
 
@@ -162,6 +162,18 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs).withColumn("held_out", _doc_hash(7) == 2)
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), width=50)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+        .alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_embedding_near_dedup": embedding_near_dedup,
@@ -171,6 +183,7 @@ QUERIES = {
     "op6_token_output": token_output,
     "op7_best_fit_packing": best_fit_packing,
     "op8_language_id": language_id,
+    "op9_suffix_array_dedup": suffix_array_dedup,
     "op10_minhash_near_dedup": minhash_near_dedup,
 }
 
