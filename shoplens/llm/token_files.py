@@ -122,14 +122,15 @@ def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raw = ids_of(row).astype("<u4")
             ends = np.cumsum(row.lengths)
             starts = ends - row.lengths
-            yield pd.DataFrame(
+            found = pd.DataFrame(
                 {
                     "doc_id": pd.array(list(row.doc_ids), "Int64"),
-                    "start": row.first + starts,
+                    "inside": starts,
                     "n_tokens": row.lengths,
                     "ids_crc32": [crc32(raw[a:b]) for a, b in zip(starts, ends, strict=True)],
                 }
             )
+            yield found.assign(shard=row.shard, chunk=row.chunk)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -139,9 +140,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     unsigned little-endian 32-bit integers.
     """
     files = spark.read.parquet(path)
-    placed = files.join(_with_starts(files), ["shard", "chunk"])
-    return placed.mapInPandas(
-        _documents, "doc_id long, start long, n_tokens long, ids_crc32 long"
+    docs = files.mapInPandas(
+        _documents,
+        "doc_id long, inside long, n_tokens long, ids_crc32 long, shard int, chunk int",
+    )
+    return docs.join(_with_starts(files), ["shard", "chunk"]).select(
+        "doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 

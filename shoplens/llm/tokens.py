@@ -12,10 +12,38 @@ import public_tokenizers
 
 WORD_BPE = "word_bpe_49k.json"
 CACHED_WORDS = 1_000_000
-CHARS_AT_ONCE = 4 << 20
 # words of lower-case letters of ASCII and Latin-1, which the tokenizer only has to split
+PLAIN = re.compile(rb"[a-z]+")
 LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-STOPS = b".,"
+STOPPED = re.compile(LETTERS.pattern + rb"(?=[.,]+\Z)")
+
+
+class Words(dict):
+    """The ids of words as unsigned little-endian 32-bit integers, found when first asked for."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.split = self.tokenizer.model.tokenize
+        top = max(self.tokenizer.get_vocab().values())
+        self.packed = [struct.pack("<I", k) for k in range(top + 1)]
+
+    def __missing__(self, word: bytes) -> bytes:
+        if PLAIN.fullmatch(word):
+            found = [p.id for p in self.split(word.decode())]
+        elif stem := STOPPED.match(word):
+            # stops behind letters are a word of their own
+            self[word] = ids = self[stem[0]] + self[word[stem.end():]]
+            return ids
+        elif LETTERS.fullmatch(word):
+            found = [p.id for p in self.split(word.decode("latin-1").translate(BYTE_LEVEL))]
+        else:
+            found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        self[word] = ids = b"".join([self.packed[k] for k in found])
+        return ids
 
 
 class WordEncoder:
@@ -26,70 +54,28 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[bytes, bytes] = {}
+        self.ids = Words(path)
         self.cached = cached
 
     @staticmethod
     def words(text: str) -> list[bytes]:
         """The text's parts between ASCII white space, in lower case where that changes no id.
 
-        The tokenizer lowers letters itself, after composing them, but looks for its special
-        tokens first.
+        The tokenizer lowers letters itself, one by one, after composing them, but looks for its
+        special tokens first.
         """
-        raw = text.encode()
-        if b"<|" not in raw and unicodedata.is_normalized("NFC", text):
-            raw = raw.lower()
-        return raw.split()
-
-    def _letters(self, word: bytes) -> bytes:
-        """Ids of a word of ``LETTERS``: nothing but its split into pieces is left to be done."""
-        pieces = self.tokenizer.model.tokenize(word.decode("latin-1").translate(BYTE_LEVEL))
-        return _packed([p.id for p in pieces])
-
-    def _learn(self, unseen: set[bytes]) -> None:
-        """Adds the ids of new words; stops behind letters are a word of their own."""
-        ends = {w: w.rstrip(STOPS) for w in unseen}
-        plain = {stem for stem in ends.values() if LETTERS.fullmatch(stem)}
-        ids = self.ids
-        for stem in plain.difference(ids):
-            ids[stem] = self._letters(stem)
-        stops = {w[len(stem):] for w, stem in ends.items() if stem in plain}
-        others = [w for w, stem in ends.items() if stem not in plain]
-        others += stops.difference(ids, others, (b"",))
-        found = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in others], add_special_tokens=False
-        )
-        ids.update((w, _packed(e.ids)) for w, e in zip(others, found, strict=True))
-        for w, stem in ends.items():
-            if stem in plain and stem != w:
-                ids[w] = ids[stem] + ids[w[len(stem):]]
+        if "<|" not in text and "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
+            text = text.lower()
+        return text.encode().split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as unsigned little-endian 32-bit integers; NULL is empty."""
-        out: list[bytes] = []
-        held, chars = [], 0
+        ids, out = self.ids, []
         for text in texts:
-            held.append(self.words(text) if text else [])
-            chars += len(text or "")
-            if chars > CHARS_AT_ONCE:
-                out += self._encode(held)
-                held, chars = [], 0
-        return out + self._encode(held)
-
-    def _encode(self, own: list[list[bytes]]) -> list[bytes]:
-        if len(self.ids) > self.cached:
-            self.ids.clear()
-        ids = self.ids
-        self._learn(set().union(*own).difference(ids))
-        return [b"".join([ids[w] for w in words]) for words in own]
-
-
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+            if len(ids) > self.cached:
+                ids.clear()
+            out.append(b"".join(map(ids.__getitem__, self.words(text))) if text else b"")
+        return out
 
 
 def _byte_level() -> dict[int, int]:

@@ -64,20 +64,24 @@ def planes_of(values: np.ndarray, n_bits: int):
     for k in range(n_bits - 1, -1, -1):
         plane = (values & values.dtype.type(1 << k)).astype(bool)
         yield plane
-        below = np.empty_like(values)
-        n_zeros = len(values) - np.count_nonzero(plane)
-        np.compress(~plane, values, out=below[:n_zeros])
-        np.compress(plane, values, out=below[n_zeros:])
-        values = below
+        ones = np.flatnonzero(plane)
+        if k and len(ones):
+            n_zeros = len(values) - len(ones)
+            below = np.empty_like(values)
+            np.take(values, np.flatnonzero(~plane), out=below[:n_zeros], mode="clip")
+            np.take(values, ones, out=below[n_zeros:], mode="clip")
+            values = below
 
 
 def values_of(planes: list[np.ndarray], dtype) -> np.ndarray:
     """The whole sequence, from the lowest plane up."""
     values = np.zeros(len(planes[0]) if planes else 0, dtype)
     for k, plane in enumerate(reversed(planes)):
-        n_zeros = len(plane) - np.count_nonzero(plane)
-        above = np.empty_like(values)
-        above[~plane] = values[:n_zeros]
-        above[plane] = values[n_zeros:] | dtype(1 << k)
-        values = above
+        ones = np.flatnonzero(plane)
+        if len(ones):
+            n_zeros = len(plane) - len(ones)
+            above = np.empty_like(values)
+            above[np.flatnonzero(~plane)] = values[:n_zeros]
+            above[ones] = values[n_zeros:] | dtype(1 << k)
+            values = above
     return values
