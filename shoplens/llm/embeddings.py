@@ -196,7 +196,7 @@ def near_duplicates(
         "vec_id",
         F.coalesce(F.col("near") - 1, F.lit(0)).alias("n_links"),
         component.alias("component_id"),
-        (F.col("vec_id") == component).alias("kept"),
+        F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"),
     )
 
 

@@ -165,6 +165,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(map(held.value.predict, texts), columns=["lang_pred", "score"])
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.select(*kept, predict(docs["text"]).alias("_language"))
-    return found.select(*kept, "_language.lang_pred", "_language.score")
+    kept = [c for c in docs.columns if c not in PREDICTION.names]
+    free = max(kept, key=len, default="") + "_found"
+    found = docs.select(*kept, predict(docs["text"]).alias(free))
+    return found.select(*kept, *[F.col(free)[c].alias(c) for c in PREDICTION.names])

@@ -226,7 +226,8 @@ def near_duplicates(
     least ``least[0] / least[1]``. ``component_id`` is the smallest ``doc_id`` reachable by links,
     ``kept`` marks it. A text of fewer words is one shingle; NULL and empty texts have none and are
     linked with nothing. Equal sets are one class, of which only the smallest id is compared.
-    A repeated ``doc_id`` should not occur; its rows are separate documents that get one component.
+    Rows that repeat a ``doc_id`` are separate documents; where their texts differ, one of them is
+    compared. A document with a NULL id has the component of an equal one or NULL, and is kept then.
     A similarity of s is missed with probability (1 - s^rows)^n_bands: 6e-5 at 0.8, 3e-7 at 0.85.
     """
     spark = docs.sparkSession
@@ -285,7 +286,7 @@ def near_duplicates(
     ).withColumn("first", F.when(F.col("n_shingles") > 0, F.col("first")).otherwise(F.col("doc_id")))
     result = joined.join(found.withColumnRenamed("doc_id", "first"), "first", "left")
     component = F.coalesce("component", "first")
+    kept = F.coalesce(F.col("doc_id") == component, component.isNull())
     return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"),
+        "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept")
     )

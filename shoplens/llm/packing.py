@@ -138,6 +138,12 @@ def sequences(docs: DataFrame, placed: DataFrame, **options) -> DataFrame:
     """``sequence_id, ids``: the packed sequences themselves, for ``placed`` of ``pack``."""
     own = pieces(docs, with_ids=True, **options).select("doc_id", "piece", "ids_crc32", "ids")
     own = own.dropDuplicates(["doc_id", "piece", "ids_crc32"])
-    joined = placed.join(own, ["doc_id", "piece", "ids_crc32"])
+    own = own.toDF("own_doc", "own_piece", "own_crc32", "ids")
+    joined = placed.join(
+        own,
+        F.col("doc_id").eqNullSafe(F.col("own_doc"))
+        & (F.col("piece") == F.col("own_piece"))
+        & (F.col("ids_crc32") == F.col("own_crc32")),
+    )
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     return joined.groupBy("sequence_id").agg(F.flatten(parts["ids"]).alias("ids"))

@@ -1,0 +1,97 @@
+import importlib.util
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+import corpus_pipeline
+from shoplens.llm import decontaminate
+from shoplens.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_each_stage_takes_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    n = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), DOCS)
+        assert docs.columns == list(corpus_pipeline.COLUMNS), name
+        assert 0.7 * n < docs.count() <= n, name
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    assert decontaminate.find_leaks(docs, items).filter("size(spans) > 0").count() == 0
+    placed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert placed.select("doc_id").distinct().count() == docs.count()
+
+
+def test_run_packs_what_the_stages_keep(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    ids = [r.doc_id for r in rows if r.piece == 0]
+    assert len(ids) == len(set(ids)) > 100
+    assert all(r.offset + r.length <= corpus_pipeline.CAPACITY for r in rows)
+
+
+def test_planted_documents(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    base = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").limit(60)
+    plain = [f"word{k % 13} the other{k % 7} and some{k % 17} thing{k}" for k in range(200)]
+    passage = " ".join(plain[:15])
+    own = [
+        (10_001, f"Well {item} indeed"), (10_002, " ".join(plain[20:90])),
+        (10_003, " ".join(plain[20:90])), (10_004, f"{' '.join(plain[100:130])} {passage}"),
+        (10_005, f"{passage} {' '.join(plain[140:170])}"), (10_006, "12 34 !!"), (10_007, None),
+    ]
+    planted = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in own], DOCS)
+    docs, left = base.select(*corpus_pipeline.COLUMNS).unionAll(planted), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), DOCS)
+        left.append({r.doc_id for r in docs.filter("doc_id > 10000").select("doc_id").collect()})
+    assert left[0] == {10_001, 10_002, 10_003, 10_004, 10_005}
+    assert left[1] == left[2] == left[0] - {10_003}
+    assert left[3] == {10_002, 10_004, 10_005}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert passage in texts[10_004] and passage[:200] not in texts[10_005]
+    assert texts[10_002] == own[1][1]
+
+
+def test_stages_take_empty_tables(spark):
+    docs = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0, name
+
+
+def test_every_query_is_registered():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    assert {*QUERIES, "pipeline"} <= set(names)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
+        con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
+    got = QUERIES[name](spark, SF).toPandas()
+    want = con.execute(ORACLES[name]).df()[list(got.columns)]
+    key = list(got.columns)
+    assert got.sort_values(key).to_numpy().tolist() == want.sort_values(key).to_numpy().tolist()
+
+
+def test_the_library_does_without_this_part():
+    root = Path(importlib.util.find_spec("__spark_entry__").origin).parent
+    hide = (
+        "import sys, importlib.util as u; find = u.find_spec\n"
+        "u.find_spec = lambda n, *a: None if n in ('shoplens.llm', 'corpus_pipeline') else find(n, *a)\n"
+        "import __spark_entry__ as e; names = set(e.queries())\n"
+        "assert 'mart_revenue' in names and not any(n.startswith('op1') for n in names)\n"
+        "assert 'pipeline' not in names and set(e.oracle_sql()) <= names\n"
+        "assert not any('llm' in m for m in sys.modules if m.startswith('shoplens'))\n"
+    )
+    subprocess.run([sys.executable, "-c", hide], cwd=root, check=True, timeout=120)
