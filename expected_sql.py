@@ -1,7 +1,8 @@
 """SQL that DuckDB runs on the test tables to check the queries of ``__spark_entry__``.
 
 Each query is a body after the named steps it builds on; ``_STEPS`` holds the steps in order of
-dependence. Money is computed as decimals and returned as doubles, as the queries do.
+dependence. Money is computed as decimals and returned as doubles, as the queries do. Tiers, scores
+and the like are written in another form than in the library on purpose, to test one by the other.
 """
 
 from __future__ import annotations
@@ -202,8 +203,8 @@ def _credit(touches: str) -> str:
           count(distinct customer_id) acquired_customers,
           {_total('net')} / nullif(count(net), 0) avg_customer_ltv,
           avg(total_orders) avg_orders_per_customer,
-          {_total('cast(avg_order_value as decimal(28,8))')}
-            / nullif(count(avg_order_value), 0) avg_order_value,
+          cast(cast(sum(cast(cast(avg_order_value as varchar) as decimal(38,18))) as varchar)
+            as double) / nullif(count(avg_order_value), 0) avg_order_value,
           {_total('net')} total_attributed_revenue
         from {touches} left join c360 using (customer_id) group by all"""
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shoplens.functions import decimal_mean, exact_mean, money_mean, money_sum, percent
 
+# fixed values: output columns
 CREDIT_KEYS = ("first_touch_channel", "first_touch_channel_group")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shoplens.functions import money, money_mean, money_sum, percent
 
+# fixed values: output columns
 PRODUCT_COLUMNS = (
     "product_name", "category", "sub_category", "unit_price", "cost_price", "gross_margin_pct",
     "price_tier",

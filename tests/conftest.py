@@ -40,7 +40,8 @@ def raw(spark):
 
     def make(table, *rows):
         schema = RAW_SCHEMAS[table]
-        numbers = {f.name for f in schema if f.dataType.simpleString().startswith("decimal")}
+        money = ("decimal", "double")
+        numbers = {f.name for f in schema if f.dataType.simpleString().startswith(money)}
         loose = ", ".join(
             f"{f.name} {'string' if f.name in numbers else f.dataType.simpleString()}"
             for f in schema

@@ -57,7 +57,7 @@ def test_dashboard_reads_only_recent_partitions_and_two_columns(warehouse):
     df = dashboard_month_category(warehouse[1]["mart_revenue"], dt.date(2001, 2, 1))
     plan = final_plan(df)
     assert "PartitionFilters: [isnotnull(order_month" in plan
-    assert "ReadSchema: struct<category:string,net_revenue:decimal(20,2)>" in plan
+    assert "ReadSchema: struct<category:string,net_revenue:decimal(28,2)>" in plan
 
 
 def test_lookup_is_pushed_to_the_scan(warehouse):
@@ -110,7 +110,7 @@ def test_csv(spark, tmp_path):
     good = tmp_path / "good.csv"
     good.write_text(header + "p1,Pen,office,non-fiction,12.5,4\n")
     row = read_csv(spark, str(good), "raw_products").first()
-    assert (row.product_id, str(row.unit_price), str(row.cost_price)) == ("p1", "12.5000", "4.0000")
+    assert (row.product_id, str(row.unit_price), str(row.cost_price)) == ("p1", "12.5", "4.0000")
     bad = tmp_path / "bad.csv"
     bad.write_text(header + "p1,Pen,office,non-fiction,much,4\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
@@ -159,7 +159,7 @@ def test_parquet_of_floats(spark, tmp_path):
     ).write.parquet(path)
     df = read_parquet(spark, path, "raw_products")
     assert df.schema.names == RAW_SCHEMAS["raw_products"].names
-    assert str(df.first().unit_price) == "19.9900"
+    assert str(df.first().unit_price) == "19.99"
 
 
 def test_text_longer_than_declared_is_refused(spark, raw, tmp_path):

@@ -17,7 +17,7 @@ def plans(spark):
     spark.conf.set(name, "-1")
     found = {}
     for query, build in spark_entry.queries().items():
-        if query != WRITES:
+        if query in spark_entry.MODELS and query != WRITES:
             df = build(spark, FOLDER)
             found[query] = df._jdf.queryExecution().executedPlan().toString()
     spark.conf.set(name, before)
