@@ -30,11 +30,11 @@ from pyspark.sql.types import (
 from xxhash import xxh3_64_intdigest
 
 from shoplens.llm.elias_fano import pack, unpack
-from shoplens.llm.words import STEP, mixed
+from shoplens.llm.words import mixed
 
 WIDTH = 50
 SEGMENT_CHARS = 8 << 20
-PIECE = 1 << 18
+PIECE = 1 << 15
 POSITION_BITS = 24
 BATCH_WINDOWS = 1 << 14
 SPAN = StructType([StructField("start", LongType()), StructField("length", LongType())])
@@ -46,6 +46,9 @@ FOUND = StructType(
     ]
 )
 LAST = np.iinfo(np.int64).max
+BASE = 0x9E3779B97F4A7C15
+BYTE_HASHES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
+POSITION = np.uint64((1 << POSITION_BITS) - 1)
 
 
 def gram_length(width: int) -> int:
@@ -53,28 +56,31 @@ def gram_length(width: int) -> int:
     return max(width - 18, (width + 1) // 2)
 
 
-def rolling(raw: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of the ``n`` bytes from each position on."""
-    h = mixed(raw.astype(np.uint64) + STEP)
-    done, size, width = None, 0, 1
+def rolling(raw: np.ndarray, *lengths: int) -> list[np.ndarray]:
+    """For each length the hash of so many bytes from each position on.
+
+    The hash is a polynomial over random numbers for the bytes; that of twice as many bytes comes
+    from two of the shorter ones.
+    """
+    h = BYTE_HASHES[raw]
+    done: list[np.ndarray | None] = [None] * len(lengths)
+    sizes, width = [0] * len(lengths), 1
     while True:
-        if n & width:
-            if done is None:
-                done, size = h, width
-            else:
-                room = len(h) - size
-                done = _joined(done[:room], h[size : size + room]) if room > 0 else done[:0]
-                size += width
-        if width * 2 > n:
+        for k, n in enumerate(lengths):
+            if n & width:
+                done[k] = h if done[k] is None else _joined(done[k], sizes[k], h, width)
+                sizes[k] += width
+        if width * 2 > max(lengths):
             return done
-        room = len(h) - width
-        h = _joined(h[:room], h[width:]) if room > 0 else h[:0]
+        h = _joined(h, width, h, width)
         width *= 2
 
 
-def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    h = first * STEP + second
-    return h ^ (h >> np.uint64(29))
+def _joined(first: np.ndarray, size: int, second: np.ndarray, width: int) -> np.ndarray:
+    room = max(min(len(first), len(second) - size), 0)
+    out = first[:room] * np.uint64(pow(BASE, width, 1 << 64))
+    out += second[size : size + room]
+    return out
 
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -117,26 +123,27 @@ def find_anchors(raw: np.ndarray, ends: np.ndarray, width: int) -> Anchors:
     np.add.at(crossing, np.maximum(ends - width + 1, 0), 1)
     np.add.at(crossing, ends, -1)
     inside = np.cumsum(crossing[:-1]) == 0
+    place = np.arange(PIECE + width, dtype=np.uint64)
     parts = []
     for at in range(0, len(raw), PIECE):
         piece = raw[at : at + PIECE + width - 1]
         if len(piece) < width:
             break
-        hashed = rolling(piece, gram) >> np.uint64(POSITION_BITS) << np.uint64(POSITION_BITS)
-        least = sliding_min(hashed | np.arange(len(hashed), dtype=np.uint64), width - gram + 1)
+        hashed, full = rolling(piece, gram, width)
+        hashed &= ~POSITION
+        hashed |= place[: len(hashed)]
+        least = sliding_min(hashed, width - gram + 1)
         window = np.flatnonzero(inside[at : at + len(least)])
         if not len(window):
             continue
         least = least[window]
-        anchor = (least & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
-        edge = np.flatnonzero(np.diff(anchor, prepend=-1))
-        first = window[edge]
-        last = window[np.append(edge[1:], len(window)) - 1]
-        full = rolling(piece, width)
-        context = _joined(_joined(full[first], full[last]), (last - first).astype(np.uint64))
-        ahead = anchor[edge] - first
-        parts.append((first + at, last - first, ahead, least[edge] >> np.uint64(POSITION_BITS),
-                      _joined(context, ahead.astype(np.uint64))))
+        edge = np.flatnonzero(least[1:] != least[:-1]) + 1
+        begin = np.concatenate(([0], edge))
+        first, last = window[begin], window[np.append(edge, len(window)) - 1]
+        more, least = last - first, least[begin]
+        ahead = (least & POSITION).astype(np.int64) - first
+        context = mixed(full[first] + mixed(full[last])) + (more * 64 + ahead).astype(np.uint64)
+        parts.append((first + at, more, ahead, least >> np.uint64(POSITION_BITS), mixed(context)))
     if not parts:
         parts = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, "u8", "u8"))]
     first, more, ahead, key, context = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -193,32 +200,33 @@ class Segment:
         texts = [raw[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
         return cls(texts, pa.ipc.open_stream(zstandard.decompress(row["rest"])).read_all())
 
-    def keys(self, shards: int, width: int) -> tuple[Anchors, np.ndarray, np.ndarray]:
-        """The anchors, their different keys ordered by shard, and the shards of these."""
+    def keys(self, shards: int, width: int) -> Keys:
         anchors = find_anchors(self.raw, self.ends, width)
-        key = np.unique(anchors.key)
-        shard = _shards_of(key, shards)
-        order = np.argsort(shard, kind="stable")
-        return anchors, key[order], shard[order]
+        order = np.argsort(anchors.key)
+        ordered = anchors.key[order]
+        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+        shard = _shards_of(ordered[starts], shards).astype(np.uint32)
+        return Keys(anchors, order, starts, ordered[starts], np.argsort(shard, kind="stable"), shard)
 
     def classes(self, bits: pd.DataFrame, shards: int, width: int) -> Classes:
         """The runs of windows whose anchors other documents have, equal ones as one class."""
-        anchors, key, shard = self.keys(shards, width)
-        repeated = np.zeros(len(key), bool)
+        keys = self.keys(shards, width)
+        anchors = keys.anchors
         answers = dict(zip(bits["shard"], bits["answer"], strict=True))
-        for number, a, b in _by_shard(shard):
+        answered = np.zeros(len(keys.key), bool)
+        for number, a, b in _by_shard(keys.shard[keys.dealt]):
             (own,) = _expand(answers[number])
-            repeated[a:b] = np.unpackbits(own, count=b - a)
-        order = np.argsort(anchors.key, kind="stable")
-        starts = np.flatnonzero(np.diff(anchors.key[order], prepend=~anchors.key[order][:1]))
-        if len(starts):
-            docs = anchors.doc[order]
-            several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts)
-            local = anchors.key[order][starts][several]
-            repeated |= np.isin(key, local)
-        run = np.flatnonzero(np.isin(anchors.key, key[repeated]))
+            answered[a:b] = np.unpackbits(own, count=b - a)
+        repeated = np.zeros(len(keys.key), bool)
+        repeated[keys.dealt] = answered
+        if len(keys.starts):
+            docs = anchors.doc[keys.order]
+            first = np.minimum.reduceat(docs, keys.starts)
+            repeated |= first != np.maximum.reduceat(docs, keys.starts)
+        sizes = np.diff(keys.starts, append=len(keys.order))
+        run = keys.order[np.repeat(repeated, sizes)]
+        place = np.repeat(keys.shard[repeated], sizes[repeated])
         ids = self.ids[anchors.doc[run]]
-        place = _shards_of(anchors.key[run], shards)
         order = np.lexsort((ids, anchors.context[run], anchors.key[run], place))
         run, ids, place = run[order], ids[order], place[order]
         new = np.diff(anchors.key[run], prepend=~anchors.key[run][:1]) != 0
@@ -226,6 +234,22 @@ class Segment:
         return Classes(anchors, run, ids, np.cumsum(new) - 1, np.flatnonzero(new), place[new])
 
 
+@dataclass
+class Keys:
+    """A segment's anchors and their different keys.
+
+    ``order`` sorts the anchors by key, ``starts`` is where each of the keys ``key`` begins there,
+    and ``dealt`` orders the keys by ``shard``.
+    """
+
+    anchors: Anchors
+    order: np.ndarray
+    starts: np.ndarray
+    key: np.ndarray
+    dealt: np.ndarray
+    shard: np.ndarray
+
+
 @dataclass
 class Classes:
     """Runs ordered by class and id: ``heads`` are the first of each class, of shard ``place``."""
@@ -259,11 +283,12 @@ WHOLE = pa.schema([("name", pa.int64()), ("texts", pa.binary()), ("rest", pa.bin
 def _report_keys(shards: int, width: int, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment in _segments(batches, kept):
-            _, key, shard = segment.keys(shards, width)
+            keys = segment.keys(shards, width)
+            key = keys.key[keys.dealt]
             yield _emit(
                 [
                     {"name": segment.name, "shard": s, "block": _compress([_narrow(key[a:b])])}
-                    for s, a, b in _by_shard(shard)
+                    for s, a, b in _by_shard(keys.shard[keys.dealt])
                 ],
                 BLOCKS,
             )
@@ -287,9 +312,12 @@ def _whole_segments(kept: list[str]):
 def _repeated_keys(group: pd.DataFrame) -> pd.DataFrame:
     """For each segment's keys, which of them another segment has as well."""
     own = [np.cumsum(_expand(b)[0].astype(np.uint64)) for b in group["block"]]
-    key, number, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-    del key
-    several = times[number] > 1
+    key = np.concatenate(own)
+    order = np.argsort(key)
+    again = key[order[1:]] == key[order[:-1]]
+    several = np.zeros(len(key), bool)
+    several[order[1:][again]] = True
+    several[order[:-1][again]] = True
     ends = np.cumsum([len(k) for k in own])
     answers = [
         _compress([np.packbits(several[e - len(k) : e])]) for k, e in zip(own, ends, strict=True)
