@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from shoplens.session import scratch_path
+from shoplens.sources.storage import delete_folder, replace_table
+
 # fixed values: columns with the time of the run
 UPDATED_AT = "dbt_updated_at"
 MART_LOADED_AT = "dbt_loaded_at"
@@ -22,8 +26,7 @@ class Layout:
     rows. The plan below is evaluated once.
 
     With ``locate_by``, a nearly unique key that readers look up, rows are partitioned by ranges
-    of ``cluster_by`` that end in this key. Every file is narrow in all of them, at the price of
-    sampling the plan first.
+    of ``cluster_by`` that end in this key. Every file is narrow in all of them.
     """
 
     partition_by: tuple[str, ...] = ()
@@ -34,13 +37,34 @@ class Layout:
         order = [*self.partition_by, *self.cluster_by, *self.locate_by]
         if self.locate_by:
             return df.repartitionByRange(*order).sortWithinPartitions(*order)
+        if not order:
+            return df
         return df.hint("rebalance", *self.partition_by).sortWithinPartitions(*order)
 
-    def write(self, df: DataFrame, path: str, only_partitions_present: bool = False) -> None:
-        """Overwrite the table, or only those of its partitions that ``df`` has rows for."""
-        extent = "dynamic" if only_partitions_present else "static"
-        writer = self.arrange(df).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", extent).partitionBy(*self.partition_by).parquet(path)
+    def replace(
+        self, df: DataFrame, path: str, check: Callable[[DataFrame], None] | None = None
+    ) -> None:
+        """Put ``df`` in the place of the table once it is written and has passed ``check``.
+
+        To range rows, Spark samples them first; the plan is therefore stored and evaluated once.
+        """
+        spark, staged = df.sparkSession, None
+        if self.locate_by:
+            staged = scratch_path(spark, "ranged")
+            df.write.parquet(staged)
+            df = spark.read.schema(df.schema).parquet(staged)
+        try:
+            writer = self.arrange(df).write.partitionBy(*self.partition_by)
+            checked = check and (lambda fresh: check(spark.read.schema(df.schema).parquet(fresh)))
+            replace_table(spark, path, writer.parquet, checked)
+        finally:
+            if staged:
+                delete_folder(spark, staged)
+
+    def replace_partitions(self, df: DataFrame, path: str) -> None:
+        """Overwrite those partitions of the table that ``df`` has rows for."""
+        writer = self.arrange(df).write.mode("overwrite").partitionBy(*self.partition_by)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def with_run_time(

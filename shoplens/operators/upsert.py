@@ -6,12 +6,14 @@ their surviving rows and the batch; all others keep their files.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from shoplens.operators.layout import Layout
 from shoplens.session import scratch_path
-from shoplens.sources.storage import delete_folder, partition_folder
+from shoplens.sources.storage import delete_folder, delete_partition
 
 
 class DuplicateKeys(ValueError):
@@ -42,10 +44,15 @@ def upsert_table(
     batch: DataFrame,
     key: str,
     layout: Layout,
+    *,
+    removed: DataFrame | None = None,
+    newer: Sequence[str] = (),
 ) -> None:
     """Put ``batch`` into ``target``, the table at ``path``.
 
-    Where nothing is stored yet, the batch becomes the table.
+    Where nothing is stored yet, the batch becomes the table. Stored rows whose key is in
+    ``removed`` go. With ``newer``, columns that order the versions of a row (NULL comes first), a
+    row gives way only to one that is not older.
 
     The batch is written to the shared scratch folder first: it is used several times, its size
     is then known to the planner, and a lost executor repeats a scan instead of the whole plan.
@@ -54,40 +61,77 @@ def upsert_table(
     of the key shows, and never none.
     """
     if target is None:
-        layout.write(batch, path)
+        layout.replace(batch, path, lambda rows: _refuse_repeats(_summary(rows, key), key, path))
         return
-    staged_path = scratch_path(spark, "batch")
-    batch.write.parquet(staged_path)
+    staged: list[str] = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        staged.append(scratch_path(spark, "batch"))
+        df.write.parquet(staged[-1])
+        return spark.read.schema(df.schema).parquet(staged[-1])
+
     try:
-        _put(spark, path, target, spark.read.parquet(staged_path), key, layout)
+        batch = stage(batch)
+        known = [c for c in newer if c in target.columns]
+        if known:
+            batch = stage(_not_older(batch, target, key, known))
+        gone = None if removed is None else stage(removed.select(key).distinct())
+        _put(spark, path, target, batch, gone, key, layout)
     finally:
-        delete_folder(spark, staged_path)
+        for folder in staged:
+            delete_folder(spark, folder)
+
+
+def _summary(batch: DataFrame, key: str, partition: str | None = None) -> DataFrame:
+    """The partitions of a batch, each with the most rows that one of its keys has."""
+    place = F.first(partition) if partition else F.lit(None)
+    keys = batch.groupBy(key).agg(F.count("*").alias("n"), place.alias("place"))
+    return keys.groupBy("place").agg(F.max("n").alias("n"))
+
+
+def _refuse_repeats(summary: DataFrame, key: str, path: str) -> set:
+    """The partitions; raises if a key occurs twice."""
+    found = summary.collect()
+    if any(r["n"] > 1 for r in found):
+        raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
+    return {r["place"] for r in found}
+
+
+def _not_older(batch: DataFrame, target: DataFrame, key: str, newer: Sequence[str]) -> DataFrame:
+    stored = target.select(key, F.struct(*newer).alias("stored_version"))
+    older = (
+        batch.select(key, F.struct(*newer).alias("own_version")).join(stored, key)
+        .filter(F.col("stored_version") > F.col("own_version"))
+    )
+    return batch.join(older.select(key), key, "left_anti")
 
 
 def _put(
-    spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, key: str, layout: Layout
+    spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, gone: DataFrame | None,
+    key: str, layout: Layout,
 ) -> None:
     (partition,) = layout.partition_by
-    if not batch.groupBy(key).count().filter("count > 1").isEmpty():
-        raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
+    gaining = _refuse_repeats(_summary(batch, key, partition), key, path)
 
     target = _as_partitioned(spark, path, target, batch.schema[partition])
-    losing = _partitions_holding(target, batch, key, partition)
-    gaining = _values(batch, partition)
-    emptied = losing - gaining
+    keys = batch.select(key)
+    if gone is not None:
+        keys = keys.unionAll(gone)
+    holding = _partitions_holding(target, keys, key, partition)
+    emptied = holding - gaining
     if emptied:
         left = target.filter(_any_of(partition, emptied))
-        emptied -= _values(left.join(batch.select(key), key, "left_anti"), partition)
+        emptied -= _values(left.join(keys, key, "left_anti"), partition)
 
     if _types(target) == _types(batch):
-        if not gaining:
+        if not gaining and not holding:
             return
-        target = target.filter(_any_of(partition, gaining | losing))
+        target = target.filter(_any_of(partition, gaining | holding))
     # with other columns than before, every partition is rewritten to the new ones
-    merged = upsert(align(target, batch), batch, key)
-    layout.write(merged, path, only_partitions_present=True)
+    merged = align(target, batch).join(keys, key, "left_anti").unionByName(batch)
+    layout.replace_partitions(merged, path)
     for value in emptied:
-        delete_folder(spark, f"{path.rstrip('/')}/{partition_folder(spark, partition, value)}")
+        delete_partition(spark, path, partition, value)
 
 
 def _as_partitioned(
@@ -104,15 +148,15 @@ def _as_partitioned(
 
 
 def _partitions_holding(
-    target: DataFrame, batch: DataFrame, key: str, partition: str
+    target: DataFrame, keys: DataFrame, key: str, partition: str
 ) -> set:
-    """Partitions with rows of the batch's keys.
+    """Partitions with rows of these keys.
 
     The whole key column is looked through, as a row may have moved from anywhere. Keys travel as
     64-bit hashes: a collision only rewrites a partition in vain.
     """
     hashed = F.xxhash64(key).alias("hashed")
-    found = target.select(hashed, partition).join(batch.select(hashed), "hashed", "left_semi")
+    found = target.select(hashed, partition).join(keys.select(hashed), "hashed", "left_semi")
     return _values(found, partition)
 
 

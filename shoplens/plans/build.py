@@ -156,10 +156,7 @@ def build_all(
     def store(name: str, df: DataFrame, layout: Layout | None = None) -> DataFrame:
         if name in select:
             timed, path = with_run_time(df, run_ts), table_path(root, "marts", name)
-            if layout:
-                layout.write(timed, path)
-            else:
-                timed.write.mode("overwrite").parquet(path)
+            (layout or Layout()).replace(timed, path)
         return stored(name)
 
     customer_360 = store("mart_customer_360", models.mart_customer_360, CUSTOMER_LAYOUT)

@@ -12,6 +12,7 @@ from shoplens.operators.layout import MART_LOADED_AT, Layout, with_run_time
 from shoplens.operators.upsert import upsert_table
 from shoplens.plans.revenue import PRODUCT_COLUMNS, with_dimensions
 from shoplens.sources import read_table
+from shoplens.sources.storage import partition_texts
 
 ORDERS_LAYOUT = Layout(partition_by=("order_month",), cluster_by=("category",))
 
@@ -29,13 +30,15 @@ def orders_enriched(orders: DataFrame, products: DataFrame, customers: DataFrame
     )
 
 
-def high_water_mark(target: DataFrame) -> DataFrame:
+def high_water_mark(target: DataFrame, last_month: dt.date | None = None) -> DataFrame:
     """The latest order date of the table, as one row.
 
-    It lies in the last month, so only that partition's dates are read.
+    It lies in the last month, so only that partition's dates are read. Who knows the month, from
+    the table's folders, saves a look into all files.
     """
-    last_month = target.agg(F.max("order_month")).scalar()
-    return target.filter(F.col("order_month") == last_month).agg(
+    if last_month is None:
+        last_month = target.agg(F.max("order_month")).scalar()
+    return target.filter(F.col("order_month") == F.lit(last_month)).agg(
         F.max("order_date").alias("mark")
     )
 
@@ -66,16 +69,32 @@ def update_orders(
 
     By default an order is new when it is later than the latest one stored, so orders that arrive
     late, tie with the mark or change afterwards are missed. ``lookback`` reads a stretch before
-    the mark once more, which the key makes safe. ``statuses`` restricts what is stored.
+    the mark once more, which the key makes safe. ``statuses`` restricts what is stored; a stored
+    order that is read again and has left the list goes.
     """
     target = None if full_refresh else read_table(spark, path)
-    mark = None if target is None else high_water_mark(target).first()["mark"]
-    if mark is not None:
-        orders = orders_after(orders, mark - lookback if lookback else mark)
+    left = None
+    if target is not None:
+        months = [m for m in partition_texts(spark, path, "order_month") if m]
+        last = dt.date.fromisoformat(max(months)) if months else None
+        mark = high_water_mark(target, last).first()["mark"] if last else None
+        if mark is not None:
+            orders = orders_after(orders, mark - lookback if lookback else mark)
+            products, customers = _met_by(orders, products, customers)
     if statuses is not None:
-        orders = orders.filter(F.col("status").isin(*statuses))
+        wanted = F.coalesce(F.col("status").isin(*statuses), F.lit(False))
+        left, orders = orders.filter(~wanted), orders.filter(wanted)
     batch = with_run_time(orders_enriched(orders, products, customers), run_ts, MART_LOADED_AT)
-    if full_refresh:
-        ORDERS_LAYOUT.write(batch, path)
-    else:
-        upsert_table(spark, path, target, batch, "order_id", ORDERS_LAYOUT)
+    upsert_table(spark, path, target, batch, "order_id", ORDERS_LAYOUT, removed=left)
+
+
+def _met_by(orders: DataFrame, *dimensions: DataFrame) -> list[DataFrame]:
+    """Dimensions reduced to the keys of a few orders.
+
+    Only these keys travel; a left join of the orders alone would shuffle the whole dimension.
+    """
+    keys = ("product_id", "customer_id")
+    return [
+        rows.join(orders.select(key).distinct(), key, "left_semi")
+        for key, rows in zip(keys, dimensions, strict=True)
+    ]

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from shoplens.sources.schemas import LOADED_AT, RAW_SCHEMAS
+from shoplens.sources.storage import replace_table
+
+# raw rows lie in ranges of these columns, by which readers look for what is new
+ARRIVAL_ORDER = {"raw_orders": "order_date"}
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -37,8 +41,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def load_raw(df: DataFrame, table: str, path: str, run_ts: dt.datetime | None = None) -> None:
-    """Create or replace a raw table: declared columns, checked text lengths and a load time."""
+def load_raw(
+    df: DataFrame, table: str, path: str, run_ts: dt.datetime | None = None, append: bool = False
+) -> None:
+    """Create, replace or extend a raw table: declared columns, checked lengths and a load time.
+
+    A load that is refused leaves the table as it was.
+    """
     schema: StructType = RAW_SCHEMAS[table]
     columns = []
     for field in schema:
@@ -49,4 +58,11 @@ def load_raw(df: DataFrame, table: str, path: str, run_ts: dt.datetime | None =
             c = F.when(F.length(c) > limit, F.raise_error(message)).otherwise(c)
         columns.append(c.alias(field.name))
     loaded_at = F.localtimestamp() if run_ts is None else F.lit(run_ts).cast("timestamp_ntz")
-    df.select(*columns, loaded_at.alias(LOADED_AT)).write.mode("overwrite").parquet(path)
+    rows = df.select(*columns, loaded_at.alias(LOADED_AT))
+    if table in ARRIVAL_ORDER:
+        order = ARRIVAL_ORDER[table]
+        rows = rows.repartitionByRange(order).sortWithinPartitions(order)
+    if append:
+        rows.write.mode("append").parquet(path)
+    else:
+        replace_table(df.sparkSession, path, rows.write.parquet)

@@ -2,18 +2,85 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
+def _folder(spark: SparkSession, path: str):
+    """A folder and its file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folder.getFileSystem(conf).delete(folder, True)
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside one; none if it does not exist."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+
+
+def replace_table(
+    spark: SparkSession,
+    path: str,
+    write: Callable[[str], None],
+    check: Callable[[str], None] | None = None,
+) -> None:
+    """Puts what ``write`` writes in the place of the table at ``path``.
+
+    The new table is written to a folder beside the old one and checked there; what fails before leaves the old
+    table as it was. Then the old one is moved aside, the new one moved in and the old one deleted:
+    two renames, which no reader of a table that is opened later can fall between but for their
+    moment.
+    """
+    path = path.rstrip("/")
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    try:
+        write(fresh)
+        if check:
+            check(fresh)
+        folder, files = _folder(spark, path)
+        if files.exists(folder):
+            _rename(spark, path, old)
+        try:
+            _rename(spark, fresh, path)
+        except OSError:
+            if files.exists(_folder(spark, old)[0]):
+                _rename(spark, old, path)
+            raise
+    finally:
+        delete_folder(spark, fresh)
+    delete_folder(spark, old)
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> None:
+    folder, files = _folder(spark, path)
+    if not files.rename(folder, _folder(spark, to)[0]):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_texts(spark: SparkSession, path: str, column: str) -> list[str | None]:
+    """The values of a partition column as folder names give them, without opening a file."""
+    start = f"{column}="
+    names = [n.removeprefix(start) for n in folder_names(spark, path) if n.startswith(start)]
+    return [None if n == NULL_PARTITION else unquote(n) for n in names]
 
 
-def partition_folder(spark: SparkSession, column: str, value: object) -> str:
-    """The folder name Spark gives to a partition; special characters are escaped."""
+def delete_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
+    """Deletes the folder of one partition value."""
     text = None if value is None else str(value)
-    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return names.getPartitionPathString(column, text)
+    for name in folder_names(spark, path):
+        own, _, rest = name.partition("=")
+        if own == column and (None if rest == NULL_PARTITION else unquote(rest)) == text:
+            delete_folder(spark, f"{path.rstrip('/')}/{name}")

@@ -17,10 +17,22 @@ from shoplens.plans.staging import stg_orders
 from shoplens.sources import LOADED_AT, RAW_SCHEMAS, read_table
 
 
+# what orders the versions of an order in the table: the time of the load, then a digest, so that
+# versions of one load are told apart alike in whatever batches they arrive
+VERSION = (LOADED_AT, "_version")
+
+
 def latest_versions(raw_orders: DataFrame) -> DataFrame:
-    """The version of each order that was loaded last."""
-    version = F.max_by(F.struct(*raw_orders.columns), F.col(LOADED_AT))
-    return raw_orders.groupBy("order_id").agg(version.alias("version")).select("version.*")
+    """The version of each order that was loaded last, with the columns ``VERSION``.
+
+    A missing load time is the earliest. Of versions loaded at the same time, that with the greatest
+    MD5 digest of its columns is taken.
+    """
+    columns = [c for c in raw_orders.columns if c != LOADED_AT]
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
+    versions = raw_orders.withColumn("_version", digest)
+    latest = F.max_by(F.struct(*versions.columns), F.struct(*VERSION))
+    return versions.groupBy("order_id").agg(latest.alias("version")).select("version.*")
 
 
 def follow_orders(
@@ -33,16 +45,20 @@ def follow_orders(
 ) -> StreamingQuery:
     """Put all order files that have arrived into the table, then stop.
 
-    A batch repeated after a failure changes nothing, as rows are put in by key.
+    A batch repeated after a failure changes nothing, as rows are put in by key. Files may arrive
+    in any order and without load times: an older version never replaces a newer one.
     """
     schema = StructType([*RAW_SCHEMAS["raw_orders"].fields]).add(LOADED_AT, TimestampNTZType())
 
     def put(batch: DataFrame, _: int) -> None:
-        orders = stg_orders(latest_versions(batch))
-        enriched = orders_enriched(orders, products, customers)
-        rows = layout.with_run_time(enriched, name=layout.MART_LOADED_AT)
+        latest = latest_versions(batch)
+        enriched = orders_enriched(stg_orders(latest), products, customers)
+        versioned = enriched.join(latest.select("order_id", *VERSION), "order_id")
+        rows = layout.with_run_time(versioned, name=layout.MART_LOADED_AT)
         target = read_table(spark, table_path)
-        upsert_table(spark, table_path, target, rows, "order_id", ORDERS_LAYOUT)
+        upsert_table(
+            spark, table_path, target, rows, "order_id", ORDERS_LAYOUT, newer=VERSION
+        )
 
     arriving = spark.readStream.schema(schema).parquet(raw_path)
     return (

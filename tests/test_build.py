@@ -12,6 +12,7 @@ from shoplens.plans.revenue import dashboard_month_category
 from shoplens.sources import LOADED_AT, RAW_SCHEMAS, load_raw, read_csv, read_parquet, read_table
 from shoplens.sources.shop_tables import ShopTables
 from shoplens.streaming import follow_orders
+from shoplens.streaming.order_feed import latest_versions
 
 FOLDER = "/root/testdata/sf0.001"
 AS_OF = dt.date(2001, 8, 2)
@@ -110,7 +111,7 @@ def test_csv(spark, tmp_path):
     good = tmp_path / "good.csv"
     good.write_text(header + "p1,Pen,office,non-fiction,12.5,4\n")
     row = read_csv(spark, str(good), "raw_products").first()
-    assert (row.product_id, str(row.unit_price), str(row.cost_price)) == ("p1", "12.5", "4.0000")
+    assert (row.product_id, str(row.unit_price), str(row.cost_price)) == ("p1", "12.5", "4.0")
     bad = tmp_path / "bad.csv"
     bad.write_text(header + "p1,Pen,office,non-fiction,much,4\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
@@ -195,3 +196,55 @@ def test_order_feed(spark, raw, tmp_path, warehouse):
            at=first + dt.timedelta(2))
     assert follow() == {"1": "completed", "2": "completed", "3": "completed"}
     assert follow() == {"1": "completed", "2": "completed", "3": "completed"}
+
+
+def test_the_order_feed_keeps_every_order_and_its_newest_version(spark, raw, tmp_path, warehouse):
+    models, table = warehouse[1], str(tmp_path / "table")
+    incoming = str(tmp_path / "in")
+
+    def arrive(rows, at):
+        stamp = F.lit(at).cast("timestamp_ntz")
+        raw("raw_orders", *rows).withColumn(LOADED_AT, stamp).write.mode("append").parquet(incoming)
+        follow_orders(
+            spark, incoming, table, str(tmp_path / "cp"), models["stg_products"],
+            models["stg_customers"],
+        ).awaitTermination()
+        return {r.order_id: r.status for r in spark.read.parquet(table).collect()}
+
+    second, first = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1)
+    # without load times no order is lost
+    assert arrive([{"order_id": k} for k in "123"], None) == dict.fromkeys("123", "completed")
+    # a version that arrives late does not win
+    arrive([{"order_id": "1", "status": "returned"}], second)
+    assert arrive([{"order_id": "1", "status": "pending"}], first)["1"] == "returned"
+    # versions of one load are decided alike in one batch and in several
+    versions = [{"order_id": "2", "status": s} for s in ("pending", "returned", "cancelled")]
+    together = latest_versions(
+        raw("raw_orders", *versions).withColumn(LOADED_AT, F.lit(first).cast("timestamp_ntz"))
+    ).first().status
+    for version in versions:
+        got = arrive([version], first)
+    assert got["2"] == together
+
+
+def test_a_refused_load_leaves_the_table_and_appended_rows_add_up(spark, raw, tmp_path):
+    path = str(tmp_path / "p")
+    load_raw(raw("raw_products", {"product_id": "a"}), "raw_products", path)
+    for append in (False, True):
+        with pytest.raises(Exception, match="longer than 36"):
+            load_raw(raw("raw_products", {"product_id": "x" * 40}), "raw_products", path, append=append)
+        assert [r.product_id for r in spark.read.parquet(path).collect()] == ["a"]
+    load_raw(raw("raw_products", {"product_id": "b"}), "raw_products", path, append=True)
+    assert sorted(r.product_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert [p.name for p in tmp_path.iterdir()] == ["p"]
+
+
+def test_raw_orders_lie_in_ranges_of_their_dates(spark, raw, tmp_path):
+    path = str(tmp_path / "o")
+    days = [{"order_id": str(k), "order_date": dt.datetime(2024, 1 + k % 12, 1)} for k in range(240)]
+    with_partitions = raw("raw_orders", *days).repartition(4)
+    load_raw(with_partitions, "raw_orders", path)
+    spans = spark.read.parquet(path).groupBy(F.input_file_name()).agg(
+        F.min("order_date").alias("low"), F.max("order_date").alias("high")
+    ).orderBy("low").collect()
+    assert all(a.high < b.low for a, b in zip(spans, spans[1:]))

@@ -120,14 +120,14 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, small_threshold, ord
     path = str(tmp_path / "t")
     hot = orders.withColumn("order_month", F.when(F.col("customer_id") == "hot", F.lit("m"))
                             .otherwise(F.col("order_month").cast("string")))
-    Layout(partition_by=("order_month",), cluster_by=("status",)).write(hot, path)
+    Layout(partition_by=("order_month",), cluster_by=("status",)).replace(hot, path)
     assert len(list(Path(path, "order_month=m").glob("*.parquet"))) > 2
     assert spark.read.parquet(path).count() == ROWS
 
 
 def test_ranges_end_in_the_key_that_is_looked_up(spark, small_threshold, orders, tmp_path):
     path = str(tmp_path / "t")
-    Layout(cluster_by=("status",), locate_by=("order_id",)).write(orders, path)
+    Layout(cluster_by=("status",), locate_by=("order_id",)).replace(orders, path)
     per_file = (
         spark.read.parquet(path).groupBy(F.input_file_name().alias("f"))
         .agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).orderBy("lo").collect()

@@ -163,3 +163,63 @@ def test_increment_is_none_over_an_empty_table(shop):
     order, stage, _, _ = shop
     some = stage(order("1", dt.datetime(2024, 1, 10)))
     assert orders.orders_increment(some, some.filter(F.lit(False))).count() == 0
+
+
+def test_the_first_load_refuses_repeated_keys_too(table):
+    with pytest.raises(DuplicateKeys):
+        table([("1", "a", "x"), ("1", "b", "y")])
+    assert not Path(table.path).exists()
+
+
+def test_removed_keys_go_and_older_versions_stay_out(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id string, v string, part string, at int, tie string"
+
+    def put(rows, removed=()):
+        upsert_table(
+            spark, path, read_table(spark, path), spark.createDataFrame(rows, schema), "id",
+            LAYOUT, newer=("at", "tie"),
+            removed=spark.createDataFrame([(k,) for k in removed], "id string"),
+        )
+        return sorted((r.id, r.v) for r in spark.read.parquet(path).collect())
+
+    assert put([("1", "a", "x", 5, "m"), ("2", "b", "y", None, "m")]) == [("1", "a"), ("2", "b")]
+    assert put([("1", "old", "x", 4, "z"), ("2", "new", "y", 1, "a")]) == [("1", "a"), ("2", "new")]
+    assert put([("1", "lower", "x", 5, "a"), ("2", "none", "y", None, "z")]) == [("1", "a"), ("2", "new")]
+    assert put([("1", "higher", "z", 5, "n")], removed=["2", "9"]) == [("1", "higher")]
+    assert not files(path, "x") and not files(path, "y")
+
+
+def test_an_order_whose_status_leaves_the_list_goes(spark, raw, tmp_path):
+    path = str(tmp_path / "orders")
+    day = dt.datetime(2024, 1, 10)
+
+    def update(*rows):
+        orders.update_orders(
+            spark, path, staging.stg_orders(raw("raw_orders", *rows)),
+            staging.stg_products(raw("raw_products", {})),
+            staging.stg_customers(raw("raw_customers", {}), AS_OF),
+            lookback=dt.timedelta(31), statuses=("completed",),
+        )
+        return sorted(r.order_id for r in read_table(spark, path).collect())
+
+    first = [{"order_id": k, "order_date": day} for k in "abc"]
+    assert update(*first, {"order_id": "d", "order_date": day, "status": "pending"}) == ["a", "b", "c"]
+    later = [{"order_id": "a", "order_date": day, "status": "returned"},
+             {"order_id": "b", "order_date": day, "status": None},
+             {"order_id": "d", "order_date": day}]
+    assert update(*later) == ["c", "d"]
+
+
+def test_a_customer_is_found_by_an_increment(spark, raw, tmp_path):
+    path = str(tmp_path / "orders")
+    people = [{"customer_id": str(k), "country": f"land {k}"} for k in range(50)]
+    for day, customer in ((1, "3"), (2, "7")):
+        orders.update_orders(
+            spark, path,
+            staging.stg_orders(raw("raw_orders", {"order_id": customer, "customer_id": customer,
+                                                  "order_date": dt.datetime(2024, 1, day)})),
+            staging.stg_products(raw("raw_products", {})),
+            staging.stg_customers(raw("raw_customers", *people), AS_OF),
+        )
+    got = {r.order_id: (r.country, r.product_name) for r in read_table(spark, path).collect()}
+    assert got == {"3": ("Land 3", "pen"), "7": ("Land 7", "pen")}
