@@ -19,16 +19,18 @@ from shoplens.operators.calendar import calendar_between
 from shoplens.operators.quality import (
     AcceptedValues,
     Holds,
-    NotNull,
     Relationship,
     Unique,
+    missing_values,
     report,
     value_failures,
 )
 from shoplens.plans import attribution, checks, customers, orders, retention, revenue
 from shoplens.plans.build import Models
 from shoplens.session import scratch_path
+from shoplens.sources import LOADED_AT
 from shoplens.sources.shop_tables import ShopTables
+from shoplens.streaming.order_feed import latest_versions
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF = dt.date.fromisoformat(expected_sql.AS_OF)
@@ -91,6 +93,22 @@ def _orders_merged(m: Models) -> DataFrame:
     return spark.read.parquet(path).drop(orders.MART_LOADED_AT)
 
 
+def _order_versions(m: Models) -> DataFrame:
+    """The last of several versions of each order: tied, older and without a load time."""
+    orders = m.raw.orders.filter("order_id is not null")
+    key, placed = F.col("order_id").cast("bigint"), F.col("order_date")
+    shifted = placed + F.make_dt_interval((key % 3 - 1).cast("int"))
+    never = F.lit(None).cast("timestamp_ntz")
+    versions = (
+        orders.filter(key % 4 != 0).select("order_id", "status", placed, placed.alias(LOADED_AT))
+        .unionAll(orders.select("order_id", F.lit("pending"), placed, shifted))
+        .unionAll(orders.select("order_id", F.lit("cancelled"), placed, never))
+    )
+    return latest_versions(versions).select(
+        "order_id", "status", F.col(LOADED_AT).alias("loaded_at"), F.col("_version").alias("digest")
+    )
+
+
 def _date_spine(m: Models) -> DataFrame:
     """The calendar from the first order to the last."""
     day = F.col("order_date").cast("date")
@@ -143,6 +161,7 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "orders_incremental_full": _orders_full,
     "orders_incremental_batch": _orders_batch,
     "orders_incremental_merged": _orders_merged,
+    "order_versions": _order_versions,
     "customer_cohorts": lambda m: retention.customer_cohorts(m.stg_orders),
     "cohort_sizes": lambda m: retention.cohort_sizes(retention.customer_cohorts(m.stg_orders)),
     "cohort_retention": lambda m: retention.cohort_retention(m.stg_orders),
@@ -150,7 +169,7 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "safe_divide": _safe_divide,
     "cents_to_dollars": _cents_to_dollars,
     "dq_unique": lambda m: value_failures([*checks.UNIQUE, LINE_KEY], _Tables(m)),
-    "dq_not_null": lambda m: NotNull("mart_revenue", "gross_revenue").failing_rows(_Tables(m)),
+    "dq_not_null": lambda m: missing_values(checks.NOT_NULL, _Tables(m), checks.ROW_KEYS),
     "dq_accepted_values": lambda m: value_failures(
         [*checks.ACCEPTED_VALUES, RAW_STATUS, RAW_SEGMENT], _Tables(m)
     ),

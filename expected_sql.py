@@ -43,8 +43,9 @@ def _band(x: str, sign: str, bounds: tuple[int, ...]) -> str:
     return f"cast(1 + {met} as int)"
 
 
-_SEGMENT = """case c_mktsegment when 'AUTOMOBILE' then 'VIP' when 'BUILDING' then 'regular'
-    when 'FURNITURE' then ' new' when 'HOUSEHOLD' then 'at-risk' else 'churned' end"""
+_SEGMENT = """case when c_custkey % 59 <> 0 then case c_mktsegment when 'AUTOMOBILE' then 'VIP'
+    when 'BUILDING' then 'regular' when 'FURNITURE' then ' new' when 'HOUSEHOLD' then 'at-risk'
+    else 'churned' end end"""
 _DIMENSIONS = """p.product_name, p.category, p.sub_category, cast(p.unit_price as double) unit_price,
     cast(p.cost_price as double) cost_price, p.gross_margin_pct, p.price_tier"""
 
@@ -55,13 +56,18 @@ _STEPS = {
     "first_days": """
         select o_custkey, cast(min(o_orderdate) as date) first_day from orders group by o_custkey""",
     "orders_in": """
-        select cast(o_orderkey as varchar) order_id, cast(o_custkey as varchar) customer_id,
-          o_orderdate order_date, cast(first_part as varchar) product_id,
-          case when o_orderstatus = 'F' then ' Completed' when o_orderstatus = 'O' then 'PENDING'
+        select case when o_orderkey % 97 <> 0 then cast(o_orderkey as varchar) end order_id,
+          case when o_orderkey % 101 <> 0 then cast(o_custkey as varchar) end customer_id,
+          o_orderdate order_date, o_orderkey, cast(first_part as varchar) product_id,
+          case when o_orderkey % 89 = 0 then null when o_orderstatus = 'F' then ' Completed' when o_orderstatus = 'O' then 'PENDING'
                when o_orderkey % 2 = 0 then 'returned ' else 'Cancelled' end raw_status,
-          cast(round(cast(o_totalprice as decimal(18,2)) * cast(0.001 as decimal(4,3)), 2)
-               as decimal(18,2)) gross,
-          cast(o_orderkey % 5 as decimal(18,2)) discount,
+          cast(case when o_orderkey % 83 = 0 then 0 when o_orderkey % 73 = 0 then -1 else 1 end
+            * case when o_orderkey % 7 = 0
+              then round(cast(o_totalprice as decimal(18,2)) * cast(0.001 as decimal(4,3)), 4)
+              else round(cast(o_totalprice as decimal(18,2)) * cast(0.001 as decimal(4,3)), 2) end
+            as decimal(18,4)) amount,
+          cast(case when o_orderkey % 79 = 0 then -1 - o_orderkey % 5 else o_orderkey % 5 end
+               as decimal(18,2)) discount,
           cast(cast(o_orderkey % 3 as decimal(9,2)) * cast(2.5 as decimal(3,2))
                as decimal(18,2)) shipping,
           cast(coalesce(n_lines, 1) as int) quantity
@@ -70,11 +76,13 @@ _STEPS = {
         select order_id, customer_id, product_id, order_date, {_month('order_date')} order_month,
           cast(date_trunc('week', order_date) as date) order_week,
           cast(dayofweek(order_date) as int) order_day_of_week,
-          trim(lower(raw_status)) status, trim(lower(raw_status)) = 'completed' is_completed,
-          gross, discount, shipping, cast(gross - discount as decimal(18,2)) net,
-          cast(gross - discount + shipping as decimal(18,2)) total, quantity
+          trim(lower(raw_status)) status,
+          coalesce(trim(lower(raw_status)) = 'completed', false) is_completed,
+          cast(round(amount, 2) as decimal(18,2)) gross, discount, shipping,
+          cast(round(amount - discount, 2) as decimal(18,2)) net,
+          cast(round(amount - discount + shipping, 2) as decimal(18,2)) total, quantity
         from orders_in
-        where gross > 0 and order_id is not null and customer_id is not null""",
+        where amount > 0 and order_id is not null and customer_id is not null""",
     "paid": "select * from o where status = 'completed'",
     "c": f"""
         select cast(c_custkey as varchar) customer_id, {_title("' customer'")} first_name,
@@ -85,9 +93,11 @@ _STEPS = {
           cast(date_diff('month', first_day, date '{AS_OF}') as int) months_since_signup,
           {_title(_SEGMENT)} customer_segment
         from customer join nation on n_nationkey = c_nationkey
-          left join first_days on o_custkey = c_custkey""",
+          left join first_days on o_custkey = c_custkey
+        where c_custkey % 97 <> 0 and c_custkey % 53 <> 0""",
     "prices": """
-        select *, cast((cast(p_retailprice as decimal(9,2)) - 895) * 2 as decimal(18,2)) price,
+        select *, cast((cast(p_retailprice as decimal(9,2)) - 895) * 2 as decimal(18,2))
+            * case when p_partkey % 61 = 0 then 0 when p_partkey % 67 = 0 then -1 else 1 end price,
           cast(round((cast(p_retailprice as decimal(9,2)) - 895) * 2 * (50 + p_size)
                * cast(0.008 as decimal(4,3)), 2) as decimal(18,2)) cost
         from part""",
@@ -97,7 +107,7 @@ _STEPS = {
           cost cost_price, {_rate('price - cost', 'price')} gross_margin_pct,
           case when price >= 150 then 'Luxury' when price >= 75 then 'Premium'
                when price >= 25 then 'Mid-Range' else 'Budget' end price_tier
-        from prices where price > 0""",
+        from prices where price > 0 and p_partkey % 71 <> 0""",
     "s": """
         select *, case channel when 'organic_search' then 'Organic' when 'direct' then 'Organic'
             when 'paid_search' then 'Paid' when 'social' then 'Paid' when 'email' then 'Owned'
@@ -105,13 +115,15 @@ _STEPS = {
           round(time_on_site / 60, 1) time_on_site_mins,
           pages_visited = 1 and time_on_site < 10 is_bounce
         from (
-          select cast(event_id as varchar) session_id, cast(user_id as varchar) customer_id,
+          select cast(event_id as varchar) session_id,
+            case when event_id % 103 <> 0 then cast(user_id as varchar) end customer_id,
             cast(ts as date) session_date,
-            ['organic_search', 'direct', 'paid_search', 'social', 'email', 'referral']
-              [(user_id + event_id % (1 + user_id % 3)) % 6 + 1] channel,
+            case when event_id % 73 <> 0 then
+              ['organic_search', 'direct', 'paid_search', 'social', 'email', 'referral']
+                [(user_id + event_id % (1 + user_id % 3)) % 6 + 1] end channel,
             cast(floor("value") as int) % 5 + 1 pages_visited,
             cast(floor("value" * 3) as int) time_on_site, event_type = 'purchase' converted
-          from events)""",
+          from events where event_id % 97 <> 0)""",
     "per_buyer": f"""
         select customer_id, count(*) total_orders, sum(gross) gross, sum(net) net,
           sum(discount) discounts, cast(sum(net) as double) / count(net) avg_order_value,
@@ -221,6 +233,22 @@ def _repeated(table: str, column: str, rows: str) -> str:
     return _values("unique", table, column, where) + " having count(*) > 1"
 
 
+_IDS = {
+    "stg_orders": "order_id", "stg_customers": "customer_id", "stg_products": "product_id",
+    "mart_customer_360": "customer_id",
+    "mart_revenue": """revenue_date, order_month, order_week, category, sub_category, price_tier,
+        country, customer_segment""",
+    "mart_channel_attribution": "first_touch_channel, first_touch_channel_group",
+}
+
+
+def _missing(table: str, column: str, rows: str) -> str:
+    ids = ", ".join(f"cast({c.strip()} as varchar)" for c in _IDS[table].split(","))
+    return f"""
+        select '{table}' model, '{column}' column_name, 'not_null' test,
+          concat_ws('|', {ids}) row_key from ({rows}) where {column} is null"""
+
+
 def _outside(table: str, column: str, rows: str, accepted: str) -> str:
     where = f"select * from ({rows}) where {column} not in ({accepted})"
     return _values("accepted_values", table, column, where)
@@ -358,7 +386,23 @@ _QUERIES = {
     "dq_unique": " union all ".join(
         [_repeated(*u) for u in _UNIQUE[:6]] + [_repeated("lineitem", "line_key", _LINES)]
     ),
-    "dq_not_null": f"select * from ({_REVENUE}) where gross_revenue is null",
+    "dq_not_null": " union all ".join(_missing(*check) for check in _NOT_NULL[:12]),
+    "order_versions": """
+        select * exclude (nth) from (
+          select *, row_number() over (partition by order_id
+                                       order by loaded_at desc nulls last, digest desc) nth
+          from (
+            select order_id, status, loaded_at,
+              md5(concat_ws('|', order_id, status, cast(order_date as varchar))) digest
+            from (
+              select order_id, raw_status status, order_date, order_date loaded_at
+                from orders_in where o_orderkey % 4 <> 0
+              union all select order_id, 'pending', order_date,
+                  order_date + to_days(cast(o_orderkey % 3 - 1 as int))
+                from orders_in
+              union all select order_id, 'cancelled', order_date, null from orders_in)
+            where order_id is not null))
+        where nth = 1""",
     "dq_accepted_values": " union all ".join(
         [_outside(*a) for a in _ACCEPTED]
         + [

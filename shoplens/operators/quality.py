@@ -7,7 +7,7 @@ that compare rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -131,6 +131,18 @@ def value_failures(checks: Iterable[Check], tables: Mapping[str, DataFrame]) ->
     return union_all(frames)
 
 
+def missing_values(
+    checks: Iterable[NotNull], tables: Mapping[str, DataFrame], row_keys: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """The rows that fail ``NotNull`` checks, named by the columns that tell a table's rows apart."""
+    frames = []
+    for check in checks:
+        names = [F.col(c).cast("string") for c in row_keys[check.table]]
+        key = F.concat_ws("|", *names).alias("row_key")
+        frames.append(_label(check.failing_rows(tables), check, key))
+    return union_all(frames)
+
+
 def _row_check_counts(checks: list[RowCheck], table: DataFrame) -> DataFrame:
     """Failures of all row checks of one table from one aggregation."""
     counts = table.agg(*[F.count_if(c.fails()).alias(f"c{i}") for i, c in enumerate(checks)])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from shoplens.operators.quality import AcceptedValues, Check, Holds, NotNull, Relationship, Unique
+from shoplens.plans.attribution import CREDIT_KEYS
+from shoplens.plans.revenue import DAILY_KEYS
 
 # fixed values: the accepted values
 STATUSES = ("completed", "returned", "cancelled", "pending")
@@ -31,6 +33,12 @@ NOT_NULL = [
     NotNull("mart_revenue", "gross_revenue"),
     NotNull("mart_channel_attribution", "first_touch_channel"),
 ]
+# fixed values: the columns that tell the rows of a table apart
+ROW_KEYS = {
+    "stg_orders": ("order_id",), "stg_customers": ("customer_id",),
+    "stg_products": ("product_id",), "mart_customer_360": ("customer_id",),
+    "mart_revenue": DAILY_KEYS, "mart_channel_attribution": CREDIT_KEYS,
+}
 ACCEPTED_VALUES = [
     AcceptedValues("stg_orders", "status", values=STATUSES),
     AcceptedValues("stg_customers", "customer_segment", values=SEGMENTS),

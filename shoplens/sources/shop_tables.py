@@ -1,8 +1,9 @@
 """The raw tables derived from the star-schema test tables.
 
 ``orders``, ``lineitem``, ``customer``, ``nation``, ``part`` and ``events`` become orders,
-customers, products and sessions. Odd case and stray spaces are put in on purpose, so that staging
-has something to clean.
+customers, products and sessions. Odd case, stray spaces, missing ids, emails, statuses and
+channels, amounts and prices of zero and less, negative discounts and fractions of a cent are put in
+on purpose, so that staging has something to clean and the checks something to find.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.functions import MONEY
 
@@ -28,6 +29,11 @@ SCHEMAS = {
 }
 
 
+def _unless_nth(key: Column, n: int, value: Column) -> Column:
+    """NULL for every key that ``n`` divides."""
+    return F.when(key % n != 0, value)
+
+
 @dataclass(frozen=True)
 class ShopTables:
     """Raw tables below one folder of Parquet files."""
@@ -52,17 +58,20 @@ class ShopTables:
             .when(key % 2 == 0, "returned ")
             .otherwise("Cancelled")
         )
-        price = F.col("o_totalprice").cast(MONEY)
+        price = F.col("o_totalprice").cast(MONEY) * F.lit(Decimal("0.001"))
+        price = F.when(key % 7 == 0, F.round(price, 4)).otherwise(F.round(price, 2))
+        sign = F.when(key % 83 == 0, 0).when(key % 73 == 0, -1).otherwise(1)
+        discount = F.when(key % 79 == 0, -(key % 5) - 1).otherwise(key % 5)
         return (
             self.read("orders")
             .join(lines, "o_orderkey", "left")
             .select(
-                key.cast("string").alias("order_id"),
-                F.col("o_custkey").cast("string").alias("customer_id"),
+                _unless_nth(key, 97, key.cast("string")).alias("order_id"),
+                _unless_nth(key, 101, F.col("o_custkey").cast("string")).alias("customer_id"),
                 F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"),
-                status.alias("status"),
-                F.round(price * F.lit(Decimal("0.001")), 2).cast(MONEY).alias("amount"),
-                (key % 5).cast(MONEY).alias("discount"),
+                _unless_nth(key, 89, status).alias("status"),
+                (price * sign).cast("decimal(18,4)").alias("amount"),
+                discount.cast(MONEY).alias("discount"),
                 ((key % 3) * F.lit(Decimal("2.5"))).cast(MONEY).alias("shipping_cost"),
                 F.col("part").cast("string").alias("product_id"),
                 F.coalesce("lines", F.lit(1)).cast("int").alias("quantity"),
@@ -79,7 +88,8 @@ class ShopTables:
         nations = self.read("nation").select(
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
         )
-        market = F.col("c_mktsegment")
+        market, key = F.col("c_mktsegment"), F.col("c_custkey")
+        email = F.concat(F.lit(" "), F.upper("c_name"), F.lit("@Example.COM"))
         segment = (
             F.when(market == "AUTOMOBILE", "VIP")
             .when(market == "BUILDING", "regular")
@@ -92,13 +102,13 @@ class ShopTables:
             .join(nations, "c_nationkey")
             .join(first_order, "c_custkey", "left")
             .select(
-                F.col("c_custkey").cast("string").alias("customer_id"),
+                _unless_nth(key, 97, key.cast("string")).alias("customer_id"),
                 F.lit(" customer").alias("first_name"),
                 F.substr("c_name", F.lit(10)).alias("last_name"),
-                F.concat(F.lit(" "), F.upper("c_name"), F.lit("@Example.COM")).alias("email"),
+                _unless_nth(key, 53, email).alias("email"),
                 "country",
                 "signup_date",
-                segment.alias("segment"),
+                _unless_nth(key, 59, segment).alias("segment"),
             )
         )
 
@@ -106,12 +116,14 @@ class ShopTables:
     def products(self) -> DataFrame:
         price = (F.col("p_retailprice").cast("decimal(9,2)") - 895) * 2
         share = (F.col("p_size") + 50) * F.lit(Decimal("0.008"))
+        key = F.col("p_partkey")
+        sign = F.when(key % 61 == 0, 0).when(key % 67 == 0, -1).otherwise(1)
         return self.read("part").select(
-            F.col("p_partkey").cast("string").alias("product_id"),
+            _unless_nth(key, 71, key.cast("string")).alias("product_id"),
             F.concat(F.lit("  "), "p_name").alias("product_name"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("sub_category"),
-            price.cast(MONEY).alias("unit_price"),
+            (price * sign).cast(MONEY).alias("unit_price"),
             F.round(price * share, 2).cast(MONEY).alias("cost_price"),
         )
 
@@ -129,10 +141,10 @@ class ShopTables:
         )
         value = F.col("value")
         return self.read("events").select(
-            event.cast("string").alias("session_id"),
-            user.cast("string").alias("customer_id"),
+            _unless_nth(event, 97, event.cast("string")).alias("session_id"),
+            _unless_nth(event, 103, user.cast("string")).alias("customer_id"),
             F.col("ts").cast("date").alias("session_date"),
-            channel.alias("channel"),
+            _unless_nth(event, 73, channel).alias("channel"),
             (F.floor(value).cast("int") % 5 + 1).alias("pages_visited"),
             F.floor(value * 3).cast("int").alias("time_on_site"),
             (F.col("event_type") == "purchase").alias("converted"),
