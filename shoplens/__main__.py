@@ -1,6 +1,6 @@
 """Command line: load seeds, build the marts, run the checks.
 
-    python -m shoplens seed --root R raw_products=products.csv ...
+    python -m shoplens seed --root R [--append] raw_products=products.csv ...
     python -m shoplens run --root R [--as-of DAY] [--select MART ...] [--check-keys]
     python -m shoplens test --root R
 """
@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from shoplens.plans.build import MARTS, StoredRaw, build_all, check_all, read_all, table_path
+from shoplens.session import sized_session
 from shoplens.sources import RAW_SCHEMAS, load_raw, read_csv
 
 
@@ -21,6 +22,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
     seed = commands.add_parser("seed", help="load CSV files as raw tables")
     seed.add_argument("files", nargs="+", metavar="TABLE=CSV")
+    seed.add_argument("--append", action="store_true", help="keep the rows that are there")
     run = commands.add_parser("run", help="build marts")
     run.add_argument("--select", nargs="+", choices=MARTS, default=MARTS)
     run.add_argument("--full-refresh", action="store_true")
@@ -36,13 +38,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
-    spark = SparkSession.builder.appName("shoplens").getOrCreate()
+    builder = SparkSession.builder.appName("shoplens")
+    if args.command == "seed":
+        inputs = [item.partition("=")[2] for item in args.files]
+    else:
+        inputs = [table_path(args.root, "raw", table) for table in RAW_SCHEMAS]
+    spark = sized_session(builder, inputs)
     if args.command == "seed":
         for item in args.files:
             table, _, path = item.partition("=")
             if table not in RAW_SCHEMAS:
                 raise SystemExit(f"{table} is none of {', '.join(RAW_SCHEMAS)}")
-            load_raw(read_csv(spark, path, table), table, table_path(args.root, "raw", table))
+            rows = read_csv(spark, path, table)
+            load_raw(rows, table, table_path(args.root, "raw", table), append=args.append)
         return 0
     raw = StoredRaw(spark, args.root)
     if args.command == "run":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from functools import cached_property
 from typing import Protocol
@@ -16,6 +16,7 @@ from shoplens.operators.quality import report
 from shoplens.plans import attribution, checks, customers, revenue, staging
 from shoplens.plans.orders import update_orders
 from shoplens.session import skew_risks
+from shoplens.sources import read_table
 
 CUSTOMER_LAYOUT = Layout(
     cluster_by=("customer_segment", "churn_risk"), locate_by=("customer_id",)
@@ -129,12 +130,13 @@ def build_all(
     select: Collection[str] = MARTS,
     check_keys: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write the selected marts below ``root`` and return every model by name.
+    """Write the selected marts below ``root`` and return every model there is by name.
 
     All models become temporary views as well: staging is computed whenever it is read, marts are
-    read from their files. Marts that depend on customer 360 read the stored table, also when it
-    is not among the selected ones. A product or customer that occurs twice would double its
-    orders; ``check_keys`` looks for that first and raises.
+    read from their files; those neither selected nor stored before are left out. Marts that depend
+    on customer 360 read the stored table where there is one, and compute it where there is none. A
+    product or customer that occurs twice would double its orders; ``check_keys`` looks for that
+    first and raises.
     """
     for risk in skew_risks(spark):
         warnings.warn(f"hot keys will not be cut up: {risk}", stacklevel=2)
@@ -148,25 +150,36 @@ def build_all(
         if repeated:
             raise ValueError(f"not unique: {', '.join(repeated)}")
 
-    def stored(name: str) -> DataFrame:
-        built[name] = spark.read.parquet(table_path(root, "marts", name))
-        built[name].createOrReplaceTempView(name)
-        return built[name]
+    def stored(name: str) -> None:
+        table = read_table(spark, table_path(root, "marts", name))
+        if table is not None:
+            built[name] = table
+            table.createOrReplaceTempView(name)
 
-    def store(name: str, df: DataFrame, layout: Layout | None = None) -> DataFrame:
+    def store(name: str, plan: Callable[[], DataFrame], layout: Layout = Layout()) -> None:
         if name in select:
-            timed, path = with_run_time(df, run_ts), table_path(root, "marts", name)
-            (layout or Layout()).replace(timed, path)
-        return stored(name)
+            path = table_path(root, "marts", name)
+            layout.replace(with_run_time(plan(), run_ts), path)
+        stored(name)
 
-    customer_360 = store("mart_customer_360", models.mart_customer_360, CUSTOMER_LAYOUT)
-    enriched = revenue.order_enriched(models.stg_orders, models.stg_products, customer_360)
-    store("mart_revenue", revenue.revenue_daily(enriched), REVENUE_LAYOUT)
+    store("mart_customer_360", lambda: models.mart_customer_360, CUSTOMER_LAYOUT)
+    customer_360 = built.get("mart_customer_360", models.mart_customer_360)
     sessions = models.stg_sessions
-    any_touch = attribution.channel_attribution_any_touch(sessions, customer_360)
-    store("mart_channel_attribution", any_touch)
-    first_touch = attribution.channel_attribution_first_touch(sessions, customer_360)
-    store("mart_channel_first_touch", first_touch)
+    store(
+        "mart_revenue",
+        lambda: revenue.revenue_daily(
+            revenue.order_enriched(models.stg_orders, models.stg_products, customer_360)
+        ),
+        REVENUE_LAYOUT,
+    )
+    store(
+        "mart_channel_attribution",
+        lambda: attribution.channel_attribution_any_touch(sessions, customer_360),
+    )
+    store(
+        "mart_channel_first_touch",
+        lambda: attribution.channel_attribution_first_touch(sessions, customer_360),
+    )
     if "mart_orders_incremental" in select:
         update_orders(
             spark, table_path(root, "marts", "mart_orders_incremental"), models.stg_orders,
@@ -180,10 +193,14 @@ def build_all(
 def read_all(
     spark: SparkSession, raw: RawTables, root: str, as_of: dt.date | None = None
 ) -> dict[str, DataFrame]:
-    """Every model by name, with the marts as they are stored."""
+    """Every model there is by name, with the marts as they are stored."""
     return build_all(spark, raw, root, as_of, select=())
 
 
 def check_all(tables: dict[str, DataFrame]) -> DataFrame:
-    """Failures of the declared checks and of the keys nothing declares."""
-    return report([*checks.DECLARED, *checks.KEYS_OF_OTHERS], tables)
+    """Failures of the declared checks, and of the keys nothing declares, over the tables given."""
+    found = [
+        c for c in [*checks.DECLARED, *checks.KEYS_OF_OTHERS]
+        if c.table in tables and getattr(c, "parent", c.table) in tables
+    ]
+    return report(found, tables)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import functools
 import math
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -51,15 +54,39 @@ def skew_risks(spark: SparkSession) -> list[str]:
 
     switches = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
     risks = [f"{name} is off" for name in switches if off(name)]
-    partitions = spark.conf.get(
-        INITIAL_PARTITIONS, spark.conf.get("spark.sql.shuffle.partitions", "200")
-    )
+    unset = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    partitions = spark.conf.get(INITIAL_PARTITIONS, unset)
+    if partitions == "200":
+        # AQE adds no partitions to an aggregate
+        risks.append(f"{INITIAL_PARTITIONS} is not sized for the input")
     factor = spark.sparkContext.getConf().get(SKEWED_BLOCKS, "-1")
     if int(partitions) > AVERAGED_ABOVE and float(factor) <= 0:
         risks.append(f"{partitions} shuffle partitions without {SKEWED_BLOCKS}")
     return risks
 
 
+def sized_session(builder: SparkSession.Builder, folders: Sequence[str]) -> SparkSession:
+    """A session with the settings for all bytes below ``folders``.
+
+    What the submitter has set stays as it is, but for the time zone: days must not depend on the
+    machine.
+    """
+    spark = builder.getOrCreate()
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(hadoop)
+        if files.exists(path):
+            size += files.getContentSummary(path).getLength()
+    given = spark.sparkContext.getConf()
+    for name, value in settings_for(size, spark.sparkContext.defaultParallelism).items():
+        if name.startswith("spark.sql.session.") or not given.contains(name):
+            if spark.conf.isModifiable(name):
+                spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cores: int = 8, driver_memory: str = "8g", **extra: str) -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("shoplens")
@@ -85,11 +112,28 @@ def _local_folder() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below ``spark.checkpoint.dir``, the folder all executors share.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    What is still there when the driver ends is deleted then. Only a local session may go without that setting; it then gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _local_folder()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_delete_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def _delete_scratch() -> None:
+    from shoplens.sources.storage import delete_folder
+
+    for spark, path in _scratch:
+        # a session that has been stopped cannot delete any more
+        with contextlib.suppress(Exception):
+            delete_folder(spark, path)
+    _scratch.clear()

@@ -1,10 +1,13 @@
 import datetime as dt
+import re
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+import compare
+import expected_sql
 from shoplens.__main__ import main
 from shoplens.plans.build import MARTS, StoredRaw, build_all, check_all, table_path
 from shoplens.plans.customers import customer_lookup
@@ -36,12 +39,15 @@ def final_plan(df):
 
 def test_all_tables(spark, warehouse):
     root, built = warehouse
-    counts = {name: df.count() for name, df in built.items()}
-    assert counts == {
-        "stg_orders": 1500, "stg_customers": 150, "stg_products": 200, "stg_sessions": 1000,
-        "mart_customer_360": 150, "mart_revenue": 1500, "mart_channel_attribution": 6,
-        "mart_channel_first_touch": 5, "mart_orders_incremental": 1500,
+    sql, duck = expected_sql.all_sql(), compare.connect(FOLDER)
+    names = {
+        "mart_channel_attribution": "channel_attribution_any_touch",
+        "mart_channel_first_touch": "channel_attribution_first_touch",
+        "mart_orders_incremental": "orders_incremental_full",
     }
+    for name, df in built.items():
+        query = sql[names.get(name, name)]
+        assert df.count() == duck.execute(f"select count(*) from ({query})").fetchall()[0][0], name
     stored = StoredRaw(spark, root).orders
     assert stored.columns == [*RAW_SCHEMAS["raw_orders"].names, LOADED_AT]
     assert built["mart_revenue"].agg(F.min("dbt_updated_at")).first()[0] == RUN
@@ -49,9 +55,10 @@ def test_all_tables(spark, warehouse):
 
 
 def test_declared_checks(warehouse):
-    failed = {(r.model, r.column_name, r.test): r.failures
-              for r in check_all(warehouse[1]).collect() if r.failures}
-    assert failed == {("mart_revenue", "gross_revenue", "not_null"): 1007}
+    found = {(r.model, r.column_name, r.test): r.failures for r in check_all(warehouse[1]).collect()}
+    rows = compare.connect(FOLDER).execute(expected_sql.all_sql()["dq_report"]).fetchall()
+    assert found == {tuple(r[:3]): r[3] for r in rows}
+    assert sum(n > 0 for n in found.values()) == 4
 
 
 def test_dashboard_reads_only_recent_partitions_and_two_columns(warehouse):
@@ -85,7 +92,7 @@ def test_only_selected_marts_are_written(spark, warehouse):
     assert [name for name in MARTS if before[name] != after[name]] == ["mart_revenue"]
     assert set(later) == set(built)
     sums = spark.sql("select sum(total_orders) from mart_revenue").first()
-    assert sums[0] == 1500
+    assert sums[0] == built["stg_orders"].count()
 
 
 def test_command_line(spark, raw, tmp_path, capsys):
@@ -248,3 +255,28 @@ def test_raw_orders_lie_in_ranges_of_their_dates(spark, raw, tmp_path):
         F.min("order_date").alias("low"), F.max("order_date").alias("high")
     ).orderBy("low").collect()
     assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("name", MARTS)
+def test_any_mart_can_be_built_alone_on_a_new_root(spark, tmp_path, name):
+    root, source = str(tmp_path / "w"), ShopTables(spark, "/root/testdata/sf0.001")
+    built = build_all(spark, source, root, AS_OF, RUN, select=[name])
+    assert [m for m in MARTS if m in built] == [name]
+    assert built[name].count() > 0
+    tables = {r["model"] for r in check_all(built).collect()}
+    assert not (set(MARTS) - {name}) & tables
+
+
+def test_dashboard_bound_reaches_the_scan(spark):
+    import __spark_entry__ as spark_entry
+
+    df = spark_entry.queries()["dashboard_month_category"](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,2001-02-01" in plan
+
+
+def test_checks_read_every_stored_table_once(warehouse):
+    plan = check_all(warehouse[1])._jdf.queryExecution().optimizedPlan()
+    tables = re.findall(r"Relation \[([^\]#]+)#", plan.toString())
+    assert len(tables) == 8
+    assert len(warehouse[1]) == 9  # no check looks at the first-touch mart

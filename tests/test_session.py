@@ -1,8 +1,10 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from shoplens.session import scratch_path, settings_for, skew_risks
+from shoplens import session as session_module
+from shoplens.session import scratch_path, settings_for, sized_session, skew_risks
 
 
 def session(master, folder=None):
@@ -48,7 +50,36 @@ def test_settings_that_hide_hot_keys_are_named(spark):
         context = SimpleNamespace(getConf=lambda: core)
         return skew_risks(SimpleNamespace(conf=sql, sparkContext=context))
 
-    assert risks({"spark.sql.adaptive.enabled": "false"}, {}) == ["spark.sql.adaptive.enabled is off"]
+    unsized = "spark.sql.adaptive.coalescePartitions.initialPartitionNum is not sized for the input"
+    assert risks({}, {}) == [unsized]
+    assert risks({"spark.sql.adaptive.enabled": "false"}, {}) == [
+        "spark.sql.adaptive.enabled is off", unsized,
+    ]
     many = {"spark.sql.shuffle.partitions": "40000"}
     assert len(risks(many, {})) == 1
     assert risks(many, {"spark.shuffle.accurateBlockSkewedFactor": "5.0"}) == []
+
+
+def test_a_session_is_sized_by_its_input(spark, tmp_path):
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+             "spark.sql.files.maxPartitionBytes", "spark.sql.session.timeZone")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        (tmp_path / "x").write_bytes(b"x" * 1000)
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        builder = SimpleNamespace(getOrCreate=lambda: spark)
+        sized = sized_session(builder, [str(tmp_path), str(tmp_path / "missing")])
+        assert sized.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert skew_risks(sized) == []
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_scratch_tables_go_when_the_driver_ends(spark):
+    path = scratch_path(spark, "leftover")
+    spark.range(3).write.parquet(path)
+    assert Path(path).exists()
+    delete = session_module._delete_scratch
+    delete()
+    assert not Path(path).exists()
