@@ -1,7 +1,7 @@
 """Command line: load seeds, build the marts, run the checks.
 
     python -m shoplens seed --root R [--append] raw_products=products.csv ...
-    python -m shoplens run --root R [--as-of DAY] [--select MART ...] [--check-keys]
+    python -m shoplens run --root R [--as-of DAY] [--select MART ...] [--publish]
     python -m shoplens test --root R
 """
 
@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from shoplens.plans.build import MARTS, StoredRaw, build_all, check_all, read_all, table_path
+from shoplens.plans.catalog import publish
 from shoplens.session import sized_session
 from shoplens.sources import RAW_SCHEMAS, load_raw, read_csv
 
@@ -27,6 +28,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     run.add_argument("--select", nargs="+", choices=MARTS, default=MARTS)
     run.add_argument("--full-refresh", action="store_true")
     run.add_argument("--lookback-days", type=int, default=0)
+    run.add_argument("--publish", action="store_true", help="name the tables in the catalog")
     run.add_argument("--check-keys", action="store_true", help="refuse repeated dimension keys")
     test = commands.add_parser("test", help="print failed checks; status 1 if there are any")
     for command in (seed, run, test):
@@ -59,6 +61,8 @@ def main(argv: list[str] | None = None) -> int:
             lookback=dt.timedelta(args.lookback_days) or None, select=args.select,
             check_keys=args.check_keys,
         )
+        if args.publish:
+            publish(spark, args.root)
         return 0
     # one row per check
     counts = check_all(read_all(spark, raw, args.root, args.as_of)).collect()

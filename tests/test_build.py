@@ -10,6 +10,7 @@ import compare
 import expected_sql
 from shoplens.__main__ import main
 from shoplens.plans.build import MARTS, StoredRaw, build_all, check_all, table_path
+from shoplens.plans.catalog import publish
 from shoplens.plans.customers import customer_lookup
 from shoplens.plans.revenue import dashboard_month_category
 from shoplens.sources import LOADED_AT, RAW_SCHEMAS, load_raw, read_csv, read_parquet, read_table
@@ -280,3 +281,17 @@ def test_checks_read_every_stored_table_once(warehouse):
     tables = re.findall(r"Relation \[([^\]#]+)#", plan.toString())
     assert len(tables) == 8
     assert len(warehouse[1]) == 9  # no check looks at the first-touch mart
+
+
+def test_another_session_reads_published_tables_by_name(spark, warehouse):
+    root, built = warehouse
+    names = publish(spark, root)
+    assert set(names) == {f"raw.{t}" for t in RAW_SCHEMAS} | {f"marts.{m}" for m in MARTS}
+    assert publish(spark, root) == names
+    other = spark.newSession()
+    mart = other.table("marts.mart_revenue")
+    assert mart.count() == built["mart_revenue"].count()
+    recent = mart.filter("order_month >= date '2001-02-01'")
+    assert "PartitionFilters: [isnotnull(order_month" in final_plan(recent)
+    other.sql("drop table marts.mart_revenue")
+    assert built["mart_revenue"].count() > 0
