@@ -6,9 +6,7 @@ the shared folder and read again.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
 
 from shoplens.llm import decontaminate, language, minhash, packing, suffix_dedup
 from shoplens.session import scratch_path
@@ -24,12 +22,6 @@ CAPACITY = 4096
 ORACLE_SQL = None
 
 
-@F.pandas_udf(StringType())
-def _text(kept: pd.Series) -> pd.Series:
-    """The characters that are whole; a cut may have left the rest of one."""
-    return kept.map(lambda b: b.decode("utf-8", "ignore"))
-
-
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that ``lang`` names.
 
@@ -56,9 +48,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that documents of smaller id have in a row; emptied ones go."""
-    found = suffix_dedup.remove_repeats(docs, REPEATED_BYTES, keep=COLUMNS)
+    found = suffix_dedup.remove_repeats(docs, REPEATED_BYTES, keep=COLUMNS, with_text=True)
     changed = F.size("removed") > 0
-    cleaned = found.withColumn("text", F.when(changed, _text("kept")).otherwise(F.col("text")))
+    cleaned = found.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
     left = ~changed | (F.trim("text") != "")
     return cleaned.filter(left).withColumn(
         "n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars"))

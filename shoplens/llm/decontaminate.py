@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from shoplens.llm.memory import release
 from shoplens.llm.wavelet import WaveletMatrix
 
 WINDOW = 10
@@ -188,6 +189,7 @@ def _search(phrases, kept: list[str]):
                 rows = _search_shard(list(shard["text"]), phrases.value)
                 found = pd.DataFrame(rows, columns=FOUND.names)
                 yield pd.concat((shard[kept].reset_index(drop=True), found), axis=1)
+                release()
 
     return run
 

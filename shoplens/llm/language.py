@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from shoplens.llm.memory import release
+
 GRAM = 4
 PROBES = 3
 TRAINING_TEXTS = 4000
@@ -107,6 +109,7 @@ def _gram_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             own = np.concatenate([np.unique(grams(t)) for t in texts])
             codes, n = np.unique(own, return_counts=True)
             yield pd.DataFrame({"lang": lang, "gram": codes.astype(np.int64), "texts": n})
+        release()
 
 
 def fit(labelled: DataFrame, training_texts: int = TRAINING_TEXTS) -> Filters:
@@ -161,11 +164,13 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     """
     held = docs.sparkSession.sparkContext.broadcast(filters)
 
-    @F.pandas_udf(PREDICTION)
     def predict(texts: pd.Series) -> pd.DataFrame:
+        release()
         return pd.DataFrame(map(held.value.predict, texts), columns=["lang_pred", "score"])
 
     kept = [c for c in docs.columns if c not in PREDICTION.names]
     free = max(kept, key=len, default="") + "_found"
-    found = docs.select(*kept, predict(docs["text"]).alias(free))
+    # otherwise a filter on the result would predict once more
+    once = F.pandas_udf(predict, PREDICTION).asNondeterministic()
+    found = docs.select(*kept, once(docs["text"]).alias(free))
     return found.select(*kept, *[F.col(free)[c].alias(c) for c in PREDICTION.names])

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
 from shoplens.llm.components import components
+from shoplens.llm.memory import release
 from shoplens.llm.storage import Scratch
 from shoplens.llm.words import STEP, mixed, shingles
 
@@ -27,6 +28,7 @@ CENTRES = 2
 ROWS = 6
 UNIVERSE_BITS = 18
 SLICE = 2048
+PORTION_CHARS = 4 << 20
 SMALL_BUCKET = 32
 QUERY_ELEMENTS = 1 << 17
 ROW_ELEMENTS = 1 << 18
@@ -63,9 +65,18 @@ def bands(least: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+def _portions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches in parts of bounded text, so that what is made of them stays small too."""
+    for batch in batches:
+        sizes = np.cumsum([len(t) if t else 0 for t in batch["text"]]) // PORTION_CHARS
+        for _, portion in batch.groupby(sizes):
+            yield portion
+        release()
+
+
 def _sketches(n_words: int, n_bands: int, rows: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _portions(batches):
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 own = shingles(text, n_words)
@@ -78,7 +89,7 @@ def _sketches(n_words: int, n_bands: int, rows: int):
 
 def _sets(n_words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _portions(batches):
             own = [shingles(t, n_words).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "own": own})
 
@@ -147,6 +158,7 @@ def _compared(least: tuple[int, int]):
 
         first = matrix(queries["own"])
         n, component = queries["n_shingles"].to_numpy(), queries["component"].to_numpy()
+        release()
         out = []
         for k in range(0, len(rows), COMPARED_ROWS):
             some = rows.iloc[k : k + COMPARED_ROWS]

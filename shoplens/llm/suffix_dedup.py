@@ -25,11 +25,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    ArrayType, BinaryType, LongType, StructField, StructType,
+    ArrayType, BinaryType, LongType, StringType, StructField, StructType,
 )
 from xxhash import xxh3_64_intdigest
 
 from shoplens.llm.elias_fano import pack, unpack
+from shoplens.llm.memory import release, released
 from shoplens.llm.words import mixed
 
 WIDTH = 50
@@ -45,6 +46,7 @@ FOUND = StructType(
         StructField("kept", BinaryType()),
     ]
 )
+TEXT = StructField("kept_text", StringType())
 LAST = np.iinfo(np.int64).max
 BASE = 0x9E3779B97F4A7C15
 BYTE_HASHES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
@@ -282,7 +284,7 @@ WHOLE = pa.schema([("name", pa.int64()), ("texts", pa.binary()), ("rest", pa.bin
 
 def _report_keys(shards: int, width: int, kept: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for segment in _segments(batches, kept):
+        for segment in released(_segments(batches, kept)):
             keys = segment.keys(shards, width)
             key = keys.key[keys.dealt]
             yield _emit(
@@ -341,6 +343,8 @@ def _report_contexts(shards: int, width: int):
                 block = [a.key[own], a.context[own], c.ids[c.heads[low:high]],
                          a.more[own].astype(np.uint8), text]
                 out.append((row["name"], s, _compress(block)))
+            del segment, c, a, head, raw
+            release()
         return pd.DataFrame(out, columns=["name", "shard", "block"])
 
     return run
@@ -436,16 +440,19 @@ def _cleaned(shards: int, width: int, schema_names: list[str]):
     def run(segments: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         bits, masks = answers[~answers["windows"]], answers[answers["windows"]]
         out = [
-            _clean(Segment.from_row(row), bits, masks, shards, width)
+            _clean(Segment.from_row(row), bits, masks, shards, width, schema_names)
             for row in segments.to_dict("records")
         ]
+        release()
         found = pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=schema_names)
         return found[schema_names]
 
     return run
 
 
-def _clean(segment: Segment, bits, masks, shards: int, width: int) -> pd.DataFrame:
+def _clean(
+    segment: Segment, bits, masks, shards: int, width: int, names: list[str]
+) -> pd.DataFrame:
     c = segment.classes(bits, shards, width)
     answer = {s: _expand(b)[0] for s, b in zip(masks["shard"], masks["answer"], strict=True)}
     own = [answer[s] for s, _, _ in _by_shard(c.place)]
@@ -484,28 +491,32 @@ def _clean(segment: Segment, bits, masks, shards: int, width: int) -> pd.DataFra
     found["n_bytes"] = segment.ends - starts
     found["removed"] = [[{"start": a, "length": n} for a, n in spans] for spans in removed]
     found["kept"] = kept
+    if TEXT.name in names:
+        found[TEXT.name] = [b.decode("utf-8", "ignore") for b in kept]
     return found
 
 
 def remove_repeats(
     docs: DataFrame, width: int = WIDTH, keep: tuple[str, ...] = ("doc_id",),
-    shards: int | None = None,
+    shards: int | None = None, with_text: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of each row of ``docs`` with ``n_bytes, removed, kept`` of its text.
 
     Texts are UTF-8 bytes; NULL is empty. A byte is removed if it lies in a string of ``width``
     bytes that also starts in a document with a smaller ``doc_id``; strings are judged on the input
     and never run across documents. ``removed`` are the maximal runs removed (``start``, ``length``
-    in bytes), ``kept`` the other bytes, which may cut a character. Rows with the same ``doc_id``
+    in bytes), ``kept`` the other bytes, which may cut a character; ``with_text`` adds the whole
+    characters among them as ``kept_text``. Rows with the same ``doc_id``
     take nothing from each other; a NULL id comes last. ``keep`` must hold ``doc_id``; columns
     called like a result are replaced. ``shards`` follows ``spark.sql.shuffle.partitions``. The rows
     of ``docs`` are read three times and must come in the same order, as those of files do.
     """
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kept = [c for c in keep if c not in FOUND.names]
+    results = FOUND.fields + [TEXT] * with_text
+    kept = [c for c in keep if c not in [f.name for f in results]]
     own = docs.select(*dict.fromkeys((*kept, "doc_id", "text")))
-    schema = StructType([own.schema[c] for c in kept] + FOUND.fields)
+    schema = StructType([own.schema[c] for c in kept] + results)
     block, answer = "name long, shard int, block binary", "name long, shard int, answer binary"
 
     carried = list(dict.fromkeys((*kept, "doc_id")))

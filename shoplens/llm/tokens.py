@@ -10,6 +10,8 @@ from functools import cache
 
 import public_tokenizers
 
+from shoplens.llm.memory import on_release
+
 WORD_BPE = "word_bpe_49k.json"
 CACHED_WORDS = 1_000_000
 # words of lower-case letters of ASCII and Latin-1, which the tokenizer only has to split
@@ -91,4 +93,6 @@ BYTE_LEVEL = _byte_level()
 @cache
 def encoder(path: str | None = None) -> WordEncoder:
     """One encoder for each file and Python worker."""
-    return WordEncoder(path or public_tokenizers.path(WORD_BPE))
+    made = WordEncoder(path or public_tokenizers.path(WORD_BPE))
+    on_release(made.ids.clear)
+    return made
