@@ -75,6 +75,31 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, n_words=3, least=(85, 100))
 
 
+MINHASH_SQL = r"""
+with recursive doc_words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, w[k:k + 2] as shingle
+  from doc_words, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as t(k) where len(w) > 0
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+), links as (
+  select a, b from shared s join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * s.n >= 85 * (x.n + y.n - s.n)
+), reached as (
+  select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a
+), parts as (select a, least(a, min(b)) as component from reached group by a
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component, d.doc_id) as component_id,
+  d.doc_id = coalesce(component, d.doc_id) as kept
+from documents d left join sizes s on s.doc_id = d.doc_id left join parts on a = d.doc_id
+"""
+
+
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.9)
 
@@ -174,6 +199,40 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SUFFIX_SQL = """
+with bytes as (
+  select doc_id, encode(coalesce(text, '')) as b, octet_length(encode(coalesce(text, ''))) as n
+  from documents
+), windows as (
+  select doc_id, p, b[p:p + 49] as string
+  from bytes, unnest(range(1, n - 48)) as t(p)
+), firsts as (select string, min(doc_id) as doc_id from windows group by string
+), repeated as (
+  select w.doc_id, w.p,
+    coalesce(w.p > 50 + lag(w.p) over (partition by w.doc_id order by w.p), false) as apart
+  from windows w join firsts f on w.string = f.string and w.doc_id > f.doc_id
+), numbered as (
+  select doc_id, p, count_if(apart) over (partition by doc_id order by p) as run from repeated
+), spans as (
+  select doc_id, run, min(p) as low, max(p) + 49 as high from numbered group by doc_id, run
+), edges as (
+  select doc_id, low, coalesce(lag(high) over (partition by doc_id order by low), 0) + 1 as from_
+  from spans union all
+  select d.doc_id, d.n + 1, coalesce(max(high), 0) + 1 from bytes d left join spans s
+    on s.doc_id = d.doc_id group by d.doc_id, d.n
+), kept as (
+  select e.doc_id, string_agg(case when low > from_ then hex(b[from_:low - 1]) else '' end, ''
+                              order by from_) as digits
+  from edges e join bytes d on d.doc_id = e.doc_id group by e.doc_id
+), removed as (
+  select doc_id, sum(high - low + 1) as n_removed, count(*) as n_spans from spans group by doc_id
+)
+select d.doc_id, cast(d.n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  coalesce(n_spans, 0) as n_spans, sha256(from_hex(digits)) as kept_sha256
+from bytes d join kept k on k.doc_id = d.doc_id left join removed r on r.doc_id = d.doc_id
+"""
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_embedding_near_dedup": embedding_near_dedup,
@@ -191,4 +250,6 @@ ORACLES = {
     "op1_chat_formatting": CHAT_SQL,
     "op2_embedding_near_dedup": EMBEDDING_SQL,
     "op5_benchmark_decontamination": DECONTAMINATION_SQL,
+    "op9_suffix_array_dedup": SUFFIX_SQL,
+    "op10_minhash_near_dedup": MINHASH_SQL,
 }
