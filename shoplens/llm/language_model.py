@@ -21,11 +21,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from shoplens.llm.elias_fano import Trie, pack, unpack
+from shoplens.llm.memory import release, released
 from shoplens.llm.words import STEP, hashes, mixed, words
 
 MASS = 100.0
 SPLIT_SHARE = 0.25
-BATCH_CHARS = 16 << 20
+BATCH_CHARS = 8 << 20
 END, START = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0x57A2757A2757A271)
 MASK32 = np.uint64(0xFFFFFFFF)
 SCORED = "doc_id long, n_tokens long, n_known long, base_part double, score_part double"
@@ -47,7 +48,7 @@ def _tokens(text: str | None) -> np.ndarray:
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for texts in _portions(batch):
+        for texts in released(_portions(batch)):
             word, n = np.unique(
                 np.concatenate([_tokens(t) for t in texts["text"]]), return_counts=True
             )
@@ -104,7 +105,7 @@ def _occurrences(held, shards: int):
         frequent = np.array(sorted(held.value.frequent), np.uint64)
         packer, n = zstandard.ZstdCompressor(level=1), 0
         for batch in batches:
-            for portion in _portions(batch):
+            for portion in released(_portions(batch)):
                 own = [_tokens(t) for t in portion["text"]]
                 lengths = np.array([len(t) for t in own])
                 word = np.concatenate(own)
@@ -165,6 +166,7 @@ def _scores(held, mass: float):
         pair_key = (np.repeat(number, contexts_of).astype(np.uint64) << np.uint64(32)) | context
         key, pair = np.unique(pair_key, return_inverse=True)
         owner = (key >> np.uint64(32)).astype(np.int64)
+        del pair_key, number, context, contexts_of
 
         c_pair = np.zeros(len(key), np.int64)
         at = 0
@@ -211,6 +213,8 @@ def _scores(held, mass: float):
             ]
             sums[0] = sums[0].astype(np.int32)
             out.append((source, zstandard.compress(pack([*sums, *b[7:]]), 1)))
+        del blocks, pair, key, owner, value, base, follows, known_pair, trie
+        release()
         return pd.DataFrame(out, columns=["source", "sums"])
 
     return run
