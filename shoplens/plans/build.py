@@ -136,7 +136,7 @@ def build_all(
     read from their files; those neither selected nor stored before are left out. Marts that depend
     on customer 360 read the stored table where there is one, and compute it where there is none. A
     product or customer that occurs twice would double its orders; ``check_keys`` looks for that
-    first and raises.
+    first and raises. DataFrames read from a mart before it was replaced must be read anew.
     """
     for risk in skew_risks(spark):
         warnings.warn(f"hot keys will not be cut up: {risk}", stacklevel=2)
