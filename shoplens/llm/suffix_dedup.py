@@ -184,8 +184,8 @@ class Segment:
     @property
     def name(self) -> int:
         """From the content, so that a segment that is built again has the same name."""
-        lengths = self.ends.tobytes()
-        return xxh3_64_intdigest(self.ids.tobytes() + lengths) - (1 << 63)
+        rows = xxh3_64_intdigest(self.ids.tobytes() + self.ends.tobytes())
+        return xxh3_64_intdigest(self.raw.tobytes(), seed=rows) - (1 << 63)
 
     def to_row(self) -> dict:
         sink = io.BytesIO()
