@@ -21,6 +21,12 @@ from shoplens.llm.wavelet import WaveletMatrix, planes_of, values_of
 
 END_ID = 2
 CHUNK = 1 << 20
+# planes hardly shrink and never repeat
+FILE_OPTIONS = {
+    "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
+    "parquet.enable.dictionary": "false",
+}
 FILE_SCHEMA = (
     "shard int, chunk int, n_tokens long, n_bits int, planes array<binary>, doc_ids array<long>, "
     "lengths array<long>"
@@ -97,7 +103,7 @@ def write(
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
         .mapInPandas(_encoded(tokenizer, end_id, chunk), FILE_SCHEMA)
-        .write.option("compression", "zstd")
+        .write.options(**FILE_OPTIONS)
         .parquet(path)
     )
 

@@ -13,7 +13,7 @@ import public_tokenizers
 from shoplens.llm.memory import on_release
 
 WORD_BPE = "word_bpe_49k.json"
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_500_000
 # words of lower-case letters of ASCII and Latin-1, which the tokenizer only has to split
 PLAIN = re.compile(rb"[a-z]+")
 LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
