@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from shoplens.operators.layout import Layout
@@ -61,7 +61,9 @@ def upsert_table(
     of the key shows, and never none.
     """
     if target is None:
-        layout.replace(batch, path, lambda rows: _refuse_repeats(_summary(rows, key), key, path))
+        layout.replace(
+            batch, path, lambda rows: _refuse_repeats(_summary(rows, key).collect(), key, path)
+        )
         return
     staged: list[str] = []
 
@@ -89,12 +91,9 @@ def _summary(batch: DataFrame, key: str, partition: str | None = None) -> DataFr
     return keys.groupBy("place").agg(F.max("n").alias("n"))
 
 
-def _refuse_repeats(summary: DataFrame, key: str, path: str) -> set:
-    """The partitions; raises if a key occurs twice."""
-    found = summary.collect()
-    if any(r["n"] > 1 for r in found):
+def _refuse_repeats(summary: list[Row], key: str, path: str) -> None:
+    if any(r["n"] > 1 for r in summary):
         raise DuplicateKeys(f"{key} is not unique in the batch for {path}")
-    return {r["place"] for r in found}
 
 
 def _not_older(batch: DataFrame, target: DataFrame, key: str, newer: Sequence[str]) -> DataFrame:
@@ -111,13 +110,19 @@ def _put(
     key: str, layout: Layout,
 ) -> None:
     (partition,) = layout.partition_by
-    gaining = _refuse_repeats(_summary(batch, key, partition), key, path)
-
     target = _as_partitioned(spark, path, target, batch.schema[partition])
     keys = batch.select(key)
     if gone is not None:
         keys = keys.unionAll(gone)
-    holding = _partitions_holding(target, keys, key, partition)
+    # one query for all that is to be known
+    places = _summary(batch, key, partition).withColumn("gains", F.lit(True)).unionByName(
+        _partitions_holding(target, keys, key, partition).select(
+            "place", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("gains")
+        )
+    ).collect()
+    _refuse_repeats(places, key, path)
+    gaining = {r["place"] for r in places if r["gains"]}
+    holding = {r["place"] for r in places if not r["gains"]}
     emptied = holding - gaining
     if emptied:
         left = target.filter(_any_of(partition, emptied))
@@ -149,15 +154,15 @@ def _as_partitioned(
 
 def _partitions_holding(
     target: DataFrame, keys: DataFrame, key: str, partition: str
-) -> set:
-    """Partitions with rows of these keys.
+) -> DataFrame:
+    """Partitions (``place``) with rows of these keys.
 
     The whole key column is looked through, as a row may have moved from anywhere. Keys travel as
     64-bit hashes: a collision only rewrites a partition in vain.
     """
     hashed = F.xxhash64(key).alias("hashed")
     found = target.select(hashed, partition).join(keys.select(hashed), "hashed", "left_semi")
-    return _values(found, partition)
+    return found.select(F.col(partition).alias("place")).distinct()
 
 
 def _values(df: DataFrame, column: str) -> set:

@@ -95,6 +95,6 @@ def _met_by(orders: DataFrame, *dimensions: DataFrame) -> list[DataFrame]:
     """
     keys = ("product_id", "customer_id")
     return [
-        rows.join(orders.select(key).distinct(), key, "left_semi")
+        rows.join(orders.select(key), key, "left_semi")
         for key, rows in zip(keys, dimensions, strict=True)
     ]
