@@ -34,7 +34,7 @@ from shoplens.llm.memory import release, released
 from shoplens.llm.words import mixed
 
 WIDTH = 50
-SEGMENT_CHARS = 8 << 20
+SEGMENT_CHARS = 4 << 20
 PIECE = 1 << 15
 POSITION_BITS = 24
 BATCH_WINDOWS = 1 << 14
@@ -124,7 +124,8 @@ def find_anchors(raw: np.ndarray, ends: np.ndarray, width: int) -> Anchors:
     crossing = np.zeros(len(raw) + 1, np.int32)
     np.add.at(crossing, np.maximum(ends - width + 1, 0), 1)
     np.add.at(crossing, ends, -1)
-    inside = np.cumsum(crossing[:-1]) == 0
+    inside = np.cumsum(crossing[:-1], out=crossing[:-1]) == 0
+    del crossing
     place = np.arange(PIECE + width, dtype=np.uint64)
     parts = []
     for at in range(0, len(raw), PIECE):
@@ -145,11 +146,15 @@ def find_anchors(raw: np.ndarray, ends: np.ndarray, width: int) -> Anchors:
         more, least = last - first, least[begin]
         ahead = (least & POSITION).astype(np.int64) - first
         context = mixed(full[first] + mixed(full[last])) + (more * 64 + ahead).astype(np.uint64)
-        parts.append((first + at, more, ahead, least >> np.uint64(POSITION_BITS), mixed(context)))
+        parts.append((
+            (first + at).astype(np.int32), more.astype(np.uint8), ahead.astype(np.uint8),
+            least >> np.uint64(POSITION_BITS), mixed(context),
+        ))
     if not parts:
-        parts = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, "u8", "u8"))]
+        parts = [tuple(np.zeros(0, t) for t in (np.int32, np.uint8, np.uint8, "u8", "u8"))]
     first, more, ahead, key, context = (np.concatenate(x) for x in zip(*parts, strict=True))
-    doc = np.searchsorted(ends, first, side="right")
+    del parts
+    doc = np.searchsorted(ends, first, side="right").astype(np.int32)
     return Anchors(doc, first, more, ahead, key, context)
 
 
@@ -256,7 +261,7 @@ class Keys:
 class Classes:
     """Runs ordered by class and id: ``heads`` are the first of each class, of shard ``place``."""
 
-    anchors: Anchors
+    anchors: Anchors | None
     run: np.ndarray
     ids: np.ndarray
     number: np.ndarray
@@ -337,11 +342,11 @@ def _report_contexts(shards: int, width: int):
             raw = segment.raw
             for s, low, high in _by_shard(c.place):
                 own = head[low:high]
-                length = a.more[own] + width
+                length = a.more[own].astype(np.int64) + width
                 at = np.repeat(a.first[own] - np.cumsum(length) + length, length)
                 text = raw[at + np.arange(length.sum())]
                 block = [a.key[own], a.context[own], c.ids[c.heads[low:high]],
-                         a.more[own].astype(np.uint8), text]
+                         a.more[own], text]
                 out.append((row["name"], s, _compress(block)))
             del segment, c, a, head, raw
             release()
@@ -457,7 +462,8 @@ def _clean(
     answer = {s: _expand(b)[0] for s, b in zip(masks["shard"], masks["answer"], strict=True)}
     own = [answer[s] for s, _, _ in _by_shard(c.place)]
     mask = np.concatenate(own) if own else np.zeros(0, np.uint32)
-    first, more = c.anchors.first[c.run], c.anchors.more[c.run]
+    first, more = (x[c.run].astype(np.int64) for x in (c.anchors.first, c.anchors.more))
+    c.anchors = None
     whole = (1 << (more + 1)) - 1
     mask = np.where(c.ids > c.ids[c.heads][c.number], whole, mask[c.number].astype(np.int64))
     change = np.zeros(len(segment.raw) + 1, np.int32)
@@ -465,7 +471,8 @@ def _clean(
         at = first[(mask >> k) & 1 == 1] + k
         np.add.at(change, at, 1)
         np.add.at(change, at + width, -1)
-    gone = np.cumsum(change[:-1]) > 0
+    gone = np.cumsum(change[:-1], out=change[:-1]) > 0
+    del change
     # runs end where documents end
     starts = np.concatenate(([0], segment.ends[:-1]))
     stays = ~gone
