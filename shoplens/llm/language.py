@@ -1,7 +1,8 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
-Each slot of the filter holds one bit per language. The slots of an n-gram, combined with AND, name
-all languages that contain it. Per text and language the set bits are counted, the share that
+Each slot of a filter holds one bit per language, for up to 64 languages; more are dealt to several
+filters, by size. The slots of an n-gram, combined with AND, name all languages of the filter that
+contain it. Per text and language the set bits are counted, the share that
 false positives explain is taken off, and the largest count decides.
 """
 
@@ -23,6 +24,8 @@ PROBES = 3
 TRAINING_TEXTS = 4000
 SHARED_ABOVE = 0.25
 LEAST_TEXTS = 2
+FEW_TEXTS = 16
+WORD = 64
 BITS_PER_GRAM = 12
 UNKNOWN = "und"
 
@@ -52,10 +55,14 @@ def grams(text: str) -> np.ndarray:
 
 @dataclass
 class Filters:
-    """One word of language bits per slot, and each language's false positive rate."""
+    """One word of language bits per slot, and each language's false positive rate.
+
+    ``groups`` are the numbers of up to ``WORD`` languages, whose bits follow that order, and their
+    slots.
+    """
 
     languages: list[str]
-    slots: np.ndarray
+    groups: list[tuple[np.ndarray, np.ndarray]]
     false_positives: np.ndarray
     usual: int
 
@@ -68,26 +75,35 @@ class Filters:
     @classmethod
     def build(cls, members: pd.DataFrame, languages: list[str], usual: int) -> Filters:
         """``members``: the columns ``gram`` and ``language``, an index into ``languages``."""
-        if len(languages) > 64:
-            raise ValueError(f"{len(languages)} languages do not fit into 64 bits")
-        most = int(members.groupby("language").size().max()) if len(members) else 1
-        n_slots = 1 << max(10, (most * BITS_PER_GRAM).bit_length())
-        slots = np.zeros(n_slots, np.uint64)
         codes = members["gram"].to_numpy(np.int64).astype(np.uint32)
-        bits = np.uint64(1) << members["language"].to_numpy(np.uint64)
-        for at in cls._slots(codes, n_slots):
-            np.bitwise_or.at(slots, at, bits)
-        filled = [((slots >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))]
-        return cls(languages, slots, np.array(filled, np.float64) ** PROBES, usual)
+        numbers = members["language"].to_numpy(np.int64)
+        sizes = np.bincount(numbers, minlength=len(languages))
+        # languages of like size share a filter, so that many small ones take little room
+        by_size = np.argsort(-sizes, kind="stable")
+        groups, filled = [], np.zeros(len(languages))
+        for own in np.split(by_size, range(WORD, len(languages), WORD)):
+            n_slots = 1 << max(10, (int(sizes[own].max()) * BITS_PER_GRAM).bit_length())
+            slots = np.zeros(n_slots, np.uint64)
+            bit = np.full(len(languages), -1)
+            bit[own] = np.arange(len(own))
+            held = bit[numbers] >= 0
+            bits = np.uint64(1) << bit[numbers[held]].astype(np.uint64)
+            for at in cls._slots(codes[held], n_slots):
+                np.bitwise_or.at(slots, at, bits)
+            filled[own] = [
+                ((slots >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(own))
+            ]
+            groups.append((own, slots))
+        return cls(languages, groups, filled**PROBES, usual)
 
     def counts(self, codes: np.ndarray) -> np.ndarray:
         """Per language, the n-grams it contains, without those that chance explains."""
-        masks = ~np.zeros(len(codes), np.uint64)
-        for at in self._slots(codes, len(self.slots)):
-            masks &= self.slots[at]
-        hits = np.array(
-            [np.count_nonzero(masks & np.uint64(1 << k)) for k in range(len(self.languages))]
-        )
+        hits = np.zeros(len(self.languages), np.int64)
+        for own, slots in self.groups:
+            masks = ~np.zeros(len(codes), np.uint64)
+            for at in self._slots(codes, len(slots)):
+                masks &= slots[at]
+            hits[own] = [np.count_nonzero(masks & np.uint64(1 << k)) for k in range(len(own))]
         fp = self.false_positives
         return np.clip((hits - fp * len(codes)) / np.maximum(1 - fp, 1e-9), 0, len(codes))
 
@@ -118,38 +134,41 @@ def fit(labelled: DataFrame, training_texts: int = TRAINING_TEXTS) -> Filters:
     Of each language about ``training_texts`` texts are used, chosen by a hash of ``doc_id``; this
     bounds the n-grams that reach the driver. An n-gram belongs to a language if at least
     ``LEAST_TEXTS`` of these texts hold it and its share of them is at least ``SHARED_ABOVE`` times
-    the largest share any language has. Rows without text or ``lang`` teach nothing; without any
+    the largest share any language has. A language with fewer than ``FEW_TEXTS`` of them has the
+    n-grams of each, and its shares count as those of so many texts, so that a rare or mistaken
+    ``lang`` takes no n-gram from a well-known one. There may be any number of languages. Rows without text or ``lang`` teach nothing; without any
     rows there are no languages and everything is ``UNKNOWN``.
     """
     known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
-        return Filters([], np.zeros(1, np.uint64), np.zeros(0), 0)
+        return Filters([], [], np.zeros(0), 0)
     share = F.create_map(
         *[F.lit(x) for lang in languages for x in (lang, min(1.0, training_texts / sizes[lang]))]
     )
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
     chosen = known.filter(place < share[F.col("lang")]).select("lang", "text")
+    used = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
+    sizes_used = F.create_map(*[F.lit(x) for lang in used for x in (lang, float(used[lang]))])
+    n_used = sizes_used[F.col("lang")]
     found = (
         chosen.mapInPandas(_gram_texts, "lang string, gram long, texts long")
         .groupBy("gram", "lang")
         .agg(F.sum("texts").alias("texts"))
-        .filter(F.col("texts") >= LEAST_TEXTS)
+        .filter((F.col("texts") >= LEAST_TEXTS) | (n_used < FEW_TEXTS))
     )
-    used = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
-    sizes_used = F.create_map(*[F.lit(x) for lang in used for x in (lang, float(used[lang]))])
-    rates = found.withColumn("rate", F.col("texts") / sizes_used[F.col("lang")])
+    rates = found.withColumn("rate", F.col("texts") / F.greatest(n_used, F.lit(float(FEW_TEXTS))))
     by_gram = rates.groupBy("gram").agg(
         F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate")).alias("all")
     )
+    number = F.create_map(*[F.lit(x) for pair in enumerate(languages) for x in pair[::-1]])
     members = (
         by_gram.select("gram", "most", F.inline("all"))
         .filter(F.col("rate") >= SHARED_ABOVE * F.col("most"))
-        .select("gram", "lang")
+        .select("gram", number[F.col("lang")].alias("language"))
         .toPandas()
     )
-    members["language"] = members["lang"].map({x: k for k, x in enumerate(languages)})
     usual = max(range(len(languages)), key=lambda k: sizes[languages[k]])
     return Filters.build(members, languages, usual)
 

@@ -59,3 +59,18 @@ def test_counts_are_corrected_for_false_positives():
 def test_grams_are_those_of_lower_case_letters():
     assert (grams("A-b") == grams("a b")).all()
     assert len(grams("")) == 0
+
+
+def test_any_number_of_languages_and_languages_of_one_text(spark):
+    rng = np.random.default_rng(7)
+    words = {
+        f"l{k:03}": ["".join(map(chr, rng.integers(97, 123, 8))) for _ in range(30)] for k in range(150)
+    }
+    rows = [(lang, " ".join(own)) for lang, own in words.items() for _ in range(3)]
+    rows += [("one", "жили были дед да баба"), ("en", EN), ("xx", EN)] + [("en", f"{EN} {DE[:9]}")] * 40
+    docs = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(rows)], DOCS)
+    filters = fit(docs)
+    assert len(filters.languages) == 153
+    assert all(filters.predict(" ".join(own[5:15]))[0] == lang for lang, own in words.items())
+    assert filters.predict("дед да баба жили")[0] == "one"
+    assert filters.predict(EN)[0] == "en"
