@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,6 +19,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from shoplens.llm.memory import release
 from shoplens.llm.wavelet import WaveletMatrix
+from shoplens.session import scratch_path
 
 WINDOW = 10
 SAMPLING = 16
@@ -194,17 +194,19 @@ def _search(phrases, kept: list[str]):
     return run
 
 
-def _blocks(items: DataFrame, window: int, most: int) -> Iterator[Phrases]:
-    """The phrases of all items, so many at a time."""
+def _blocks(items: DataFrame, window: int, most: int) -> Iterator[tuple[Phrases, bool]]:
+    """The phrases of all items, at most so many at a time, and whether others follow."""
     held, n = [], 0
     for row in items.select("item_id", "text").filter("text is not null").toLocalIterator():
-        held.append((row["item_id"], phrases_of(row["text"], window)))
-        n += len(held[-1][1])
-        if n >= most:
-            yield Phrases.of(held)
-            held, n = [], 0
-    if held:
-        yield Phrases.of(held)
+        own = phrases_of(row["text"], window)
+        while own:
+            if n == most:
+                yield Phrases.of(held), True
+                held, n = [], 0
+            held.append((row["item_id"], own[: most - n]))
+            own = own[most - n :]
+            n += len(held[-1][1])
+    yield Phrases.of(held), False
 
 
 def _merge(found: pd.Series) -> pd.Series:
@@ -237,29 +239,46 @@ def find_leaks(
     Columns of ``docs`` that are called like a result are replaced by it.
 
     What is sent to the executors is bounded: phrases beyond ``most`` are searched in further
-    passes over the documents, whose spans are then merged by text and the columns ``keep``; rows
-    equal in all these are in that case reported once.
+    passes over the documents, one after the other, each stored. For that each row of ``docs`` gets
+    a number, by which its spans are merged.
     """
-    context = docs.sparkSession.sparkContext
-    blocks = [context.broadcast(b) for b in _blocks(items, window, most)]
-    blocks = blocks or [context.broadcast(Phrases({}, {}))]
+    spark = docs.sparkSession
     kept = [c for c in keep if c not in FOUND.names]
-    if len(blocks) > 1:
-        kept = list(dict.fromkeys((*kept, "text")))
     own = docs.select(*dict.fromkeys((*kept, "text")))
-    schema = StructType([own.schema[c] for c in kept] + FOUND.fields)
-    passes = [own.mapInPandas(_search(block, kept), schema) for block in blocks]
-    if len(passes) == 1:
-        return passes[0]
+    blocks = _blocks(items, window, most)
+    phrases, more = next(blocks)
+    if not more:
+        schema = StructType([own.schema[c] for c in kept] + FOUND.fields)
+        return own.mapInPandas(_search(spark.sparkContext.broadcast(phrases), kept), schema)
+
+    row = max(own.columns, key=len) + "_row"
+    numbered = own.withColumn(row, F.monotonically_increasing_id())
+    path = scratch_path(spark, "numbered")
+    numbered.write.parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path)
+    schema = StructType([StructField(row, LongType()), *FOUND.fields])
+    paths: list[str] = []
+    while True:
+        held = spark.sparkContext.broadcast(phrases)
+        found = stored.select(row, "text").mapInPandas(_search(held, [row]), schema)
+        if paths:
+            found = found.filter(F.size("spans") > 0)
+        paths.append(scratch_path(spark, "leaks"))
+        found.write.parquet(paths[-1])
+        held.destroy()
+        if not more:
+            break
+        del phrases
+        phrases, more = next(blocks)
     merge = F.pandas_udf(_merge, FOUND["spans"].dataType)
     merged = (
-        reduce(DataFrame.unionAll, passes)
-        .groupBy(*kept)
+        spark.read.schema(schema).parquet(*paths)
+        .groupBy(row)
         .agg(
-            F.first("n_words").alias("n_words"),
+            F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
         )
         .withColumn("spans", merge("spans"))
     )
-    return merged.select(*[c for c in keep if c in kept], *FOUND.names)
+    return stored.select(row, *kept).join(merged, row).select(*kept, *FOUND.names)

@@ -60,6 +60,22 @@ def test_spans_and_items_equal_brute_force(spark, seed, most):
     assert got == expected(docs, items, 5)
 
 
+@pytest.mark.parametrize("most", [10**6, 2])
+def test_repeated_rows_are_reported_each(spark, most):
+    docs = [(1, "a b c d"), (1, "a b c d"), (None, "x y"), (None, "x y"), (2, None), (2, None)]
+    items = spark.createDataFrame([(1, "a b"), (2, "c d e"), (3, "b c d z x y")], ITEMS)
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, DOCS), items, window=2, most=most)
+    got = sorted((r.doc_id or 0, r.n_words, [tuple(s) for s in r.spans], r.item_ids) for r in found.collect())
+    assert got == [(0, 2, [(0, 2)], [3])] * 2 + [(1, 4, [(0, 4)], [1, 2, 3])] * 2 + [(2, 0, [], [])] * 2
+
+
+def test_a_block_is_bounded_even_within_an_item(spark):
+    items = spark.createDataFrame([(1, " ".join(map(str, range(40)))), (2, "a b")], ITEMS)
+    blocks = list(decontaminate._blocks(items, 3, 10))
+    assert [more for _, more in blocks] == [True] * 3 + [False]
+    assert sum(len(own) for b, _ in blocks for own, _ in b.by_length.values()) == 39
+
+
 def test_no_items_or_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b")], DOCS)
     none = spark.createDataFrame([], ITEMS)
