@@ -4,10 +4,12 @@ Each node of a page gets its characters per tag, lowered by the share of link te
 density of Sun, Song and Liao, 2011). The node whose children's densities sum highest is the core
 of the page. Its ancestors belong to the content as long as they are as dense as the body-path
 threshold asks; what is left of menus, notices and the like inside is then dropped by its markup.
+Marked nodes that hold nearly all text of a page are its wrappers and are not dropped.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import math
 import re
@@ -44,6 +46,14 @@ BOILERPLATE_WORDS = frozenset(
     "contentinfo complementary search".split()
 )
 CONTENT_ROOTS = frozenset({"article", "main"})
+# tags that also stand around a whole page
+WRAPPER_TAGS = frozenset({"form", "fieldset"})
+# what readers wrote, however long it is
+TALK_WORDS = frozenset("comment comments disqus replies reply respond".split())
+MODIFIERS = frozenset("has no with without".split())
+# marks: a name that holds a boilerplate word may be a wrapper's, one that is such a word hardly
+LOOSE, NAMED, NEVER = 1, 2, 3
+WRAPPED = 9
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
@@ -59,24 +69,35 @@ SIBLINGS = {
 SCOPES = frozenset("ul ol dl table tbody thead tfoot select article section div body html".split())
 
 
+def _mark_of(name: str) -> int:
+    own = WORD.findall(name)
+    if BOILERPLATE_WORDS.isdisjoint(own):
+        return 0
+    talk = own[0] not in MODIFIERS and not TALK_WORDS.isdisjoint(own)
+    return NAMED if name in BOILERPLATE_WORDS or talk else LOOSE
+
+
 class Page:
     """The nodes of a page in page order, a parent before its children, and its pieces of text."""
 
     def __init__(self, source: str) -> None:
-        self.parent, self.tag, self.boilerplate = [-1], ["html"], [False]
+        self.parent, self.tag, self.mark = [-1], ["html"], [0]
         self.texts: list[tuple[int, str]] = []
         self._parse(source)
 
     def _add(self, parent: int, tag: str, attributes: str) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
-        drop = tag in BOILERPLATE_TAGS
-        if not drop and attributes and tag not in CONTENT_ROOTS and tag != "body":
+        mark = 0
+        if tag in BOILERPLATE_TAGS:
+            mark = LOOSE if tag in WRAPPER_TAGS else NEVER
+        if mark < NEVER and attributes and tag not in CONTENT_ROOTS and tag != "body":
             for _, *value in NAMES.findall(attributes):
-                if not BOILERPLATE_WORDS.isdisjoint(WORD.findall("".join(value).lower())):
-                    drop = True
-            drop = drop or bool(HIDDEN.search(attributes))
-        self.boilerplate.append(drop)
+                for name in "".join(value).lower().split():
+                    mark = max(mark, _mark_of(name))
+            if HIDDEN.search(attributes):
+                mark = NEVER
+        self.mark.append(mark)
         return len(self.tag) - 1
 
     def _parse(self, source: str) -> None:
@@ -152,6 +173,41 @@ def _densities(page: Page, own: list[int]) -> list[float]:
     return density
 
 
+def _unwrap(page: Page, mark: list[int], own: list[int]) -> None:
+    """Takes the marks off the nodes that are wrappers.
+
+    These are ``LOOSE`` ones that hold ``WRAPPED`` times the text left outside of marked nodes, and
+    ``NAMED`` ones if no text is left at all; text of links does not count.
+    """
+    n = len(page.tag)
+    owner, unseen, plain = [0] * n, [False] * n, [0] * n
+    inner: dict[int, list[int]] = {}
+    for k in range(n):
+        up = page.parent[k]
+        if k:
+            skipped = page.tag[k] == "a" or page.tag[k] in UNSEEN or mark[k] == NEVER
+            unseen[k], owner[k] = unseen[up] or skipped, owner[up]
+            if mark[k]:
+                inner.setdefault(owner[up], []).append(k)
+                owner[k] = k
+        if not unseen[k]:
+            plain[owner[k]] += own[k]
+    whole = plain[:]
+    for k in range(n - 1, 0, -1):
+        if mark[k]:
+            whole[owner[page.parent[k]]] += whole[k]
+    left = plain[0]
+    todo = [(mark[k], -whole[k], k) for k in inner.get(0, ())]
+    heapq.heapify(todo)
+    while todo:
+        kind, size, k = heapq.heappop(todo)
+        if -size > left * WRAPPED and (kind == LOOSE or kind == NAMED and not left):
+            mark[k] = 0
+            left += plain[k]
+            for inside in inner.get(k, ()):
+                heapq.heappush(todo, (mark[inside], -whole[inside], inside))
+
+
 def main_text(source: str | None) -> str:
     """The blocks of the main text of an HTML page, joined by spaces; empty if there is none."""
     if not source:
@@ -162,16 +218,20 @@ def main_text(source: str | None) -> str:
     for k in range(n - 1, 0, -1):
         holds_content[k] |= page.tag[k] in CONTENT_ROOTS
         holds_content[page.parent[k]] |= holds_content[k]
-    dropped = [False] * n
-    for k in range(1, n):
-        marked = page.boilerplate[k] and not (
-            holds_content[k] and page.tag[k] not in BOILERPLATE_TAGS
-        )
-        dropped[k] = dropped[page.parent[k]] or marked or page.tag[k] in UNSEEN
     own = [0] * n
     for node, text in page.texts:
         if page.tag[node] not in UNSEEN:
             own[node] += len(text.strip())
+    fixed = BOILERPLATE_TAGS - WRAPPER_TAGS
+    mark = [
+        0 if holds and tag not in fixed else m
+        for m, holds, tag in zip(page.mark, holds_content, page.tag, strict=True)
+    ]
+    if any(mark):
+        _unwrap(page, mark, own)
+    dropped = [False] * n
+    for k in range(1, n):
+        dropped[k] = dropped[page.parent[k]] or mark[k] > 0 or page.tag[k] in UNSEEN
     density = _densities(page, own)
     sums = [0.0] * n
     for k in range(1, n):

@@ -47,6 +47,35 @@ def test_odd_pages(page, text):
     assert main_text(page) == text
 
 
+PROSE = "".join(f"<p>{'plain words of a text ' * 12}{k}.</p>" for k in range(5))
+LINKS = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(20))
+
+
+@pytest.mark.parametrize(
+    "opening",
+    ["<div class='has-sidebar'>", "<div id=page class='site no-sidebar'>", "<div class=with-header>",
+     "<div class='search-page'>", "<form method=post>", "<div class=with-comments><div class=search>",
+     "<main><h1>T</h1><div class='has-sidebar'>"],
+)
+def test_wrappers_of_a_whole_page_are_not_dropped(opening):
+    talk = f"<div id=comments><p>{'I disagree strongly. ' * 200}</p></div>"
+    page = f"<body><nav>{LINKS}</nav><div class=banner>b</div>{opening}<div class=sidebar><ul>{LINKS}</ul></div>"
+    page += f"<div><div>{PROSE}</div></div><div class='cookie-notice'>We use cookies</div>{talk}"
+    text = main_text(page)
+    assert text.count("plain words") == 60
+    assert not any(x in text for x in ("link", "cookies", "disagree"))
+
+
+def test_a_form_around_an_article_is_not_dropped():
+    page = f"<body><form id=aspnetForm><div class=menu>menu</div>{ARTICLE}<input></form></body>"
+    assert main_text(page) == "Title First & second part. Te."
+
+
+def test_long_comments_below_a_short_text_are_dropped():
+    talk = f"<div class='comments-area'><p>{'I disagree strongly. ' * 200}</p></div>"
+    assert main_text(f"<body><div><p>A short text.</p><p>More.</p></div>{talk}") == "A short text. More."
+
+
 def test_very_long_and_broken_pages_stay_linear():
     assert main_text("<" * 300_000).startswith("<")
     assert len(main_text("<a b=\"" * 50_000)) <= 300_000
