@@ -11,6 +11,9 @@ size are merged.
 Documents travel as compressed segments of consecutive rows. A segment reports an anchor and an
 equal context once, however many of its documents have it, so that texts with very many copies cost
 a shard no more than one record for each segment.
+
+An anchor with very many contexts, such as that at the end of a header that all documents share, is
+hot. Its windows do not meet in the shard of the anchor but each in that of a hash of its own bytes.
 """
 
 from __future__ import annotations
@@ -38,6 +41,9 @@ SEGMENT_CHARS = 4 << 20
 PIECE = 1 << 15
 POSITION_BITS = 24
 BATCH_WINDOWS = 1 << 14
+# contexts of a key that are counted as they are, and those that make it hot
+FEW_CONTEXTS = 8
+HOT_CONTEXTS = 4096
 SPAN = StructType([StructField("start", LongType()), StructField("length", LongType())])
 FOUND = StructType(
     [
@@ -215,24 +221,31 @@ class Segment:
         shard = _shards_of(ordered[starts], shards).astype(np.uint32)
         return Keys(anchors, order, starts, ordered[starts], np.argsort(shard, kind="stable"), shard)
 
-    def classes(self, bits: pd.DataFrame, shards: int, width: int) -> Classes:
-        """The runs of windows whose anchors other documents have, equal ones as one class."""
+    def classes(self, bits: pd.DataFrame, shards: int, width: int) -> tuple[Classes, Classes]:
+        """The runs of windows whose anchors other documents have, equal ones as one class.
+
+        The second ones are those of hot anchors.
+        """
         keys = self.keys(shards, width)
         anchors = keys.anchors
         answers = dict(zip(bits["shard"], bits["answer"], strict=True))
-        answered = np.zeros(len(keys.key), bool)
+        answered = np.zeros((2, len(keys.key)), bool)
         for number, a, b in _by_shard(keys.shard[keys.dealt]):
-            (own,) = _expand(answers[number])
-            answered[a:b] = np.unpackbits(own, count=b - a)
-        repeated = np.zeros(len(keys.key), bool)
-        repeated[keys.dealt] = answered
+            for k, own in enumerate(_expand(answers[number])):
+                answered[k, a:b] = np.unpackbits(own, count=b - a)
+        repeated, hot = np.zeros((2, len(keys.key)), bool)
+        repeated[keys.dealt], hot[keys.dealt] = answered
         if len(keys.starts):
             docs = anchors.doc[keys.order]
             first = np.minimum.reduceat(docs, keys.starts)
             repeated |= first != np.maximum.reduceat(docs, keys.starts)
+        return self._classes(keys, repeated & ~hot), self._classes(keys, repeated & hot)
+
+    def _classes(self, keys: Keys, chosen: np.ndarray) -> Classes:
+        anchors = keys.anchors
         sizes = np.diff(keys.starts, append=len(keys.order))
-        run = keys.order[np.repeat(repeated, sizes)]
-        place = np.repeat(keys.shard[repeated], sizes[repeated])
+        run = keys.order[np.repeat(chosen, sizes)]
+        place = np.repeat(keys.shard[chosen], sizes[chosen])
         ids = self.ids[anchors.doc[run]]
         order = np.lexsort((ids, anchors.context[run], anchors.key[run], place))
         run, ids, place = run[order], ids[order], place[order]
@@ -240,6 +253,68 @@ class Segment:
         new |= np.diff(anchors.context[run], prepend=~anchors.context[run][:1]) != 0
         return Classes(anchors, run, ids, np.cumsum(new) - 1, np.flatnonzero(new), place[new])
 
+    def hot_windows(self, hot: Classes, shards: int, width: int) -> HotWindows:
+        """The different windows of hot classes, each once with its smallest id."""
+        head = hot.run[hot.heads]
+        n = hot.anchors.more[head].astype(np.int64) + 1
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(hot.anchors.first[head].astype(np.int64), n) + nth
+        ids = np.repeat(hot.ids[hot.heads], n)
+        windows = _windows(self.raw, start, width)
+        order = np.lexsort((ids, windows))
+        new = np.append(True, windows[order[1:]] != windows[order[:-1]])[: len(order)]
+        first = order[new]
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        key = np.zeros(len(first), np.uint64)
+        for k in range(0, len(first), PIECE):
+            text = self.raw[start[first[k : k + PIECE], None] + np.arange(width)]
+            for column in text.T:
+                key[k : k + PIECE] *= np.uint64(BASE)
+                key[k : k + PIECE] += BYTE_HASHES[column]
+        place = _shards_of(key, shards).astype(np.uint32)
+        dealt = np.argsort(place, kind="stable")
+        return HotWindows(start[first], ids[first], place, dealt, number, ids, nth)
+
+    def contexts_by_key(self, keys: Keys) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys have more than ``FEW_CONTEXTS`` runs, and how many contexts these have."""
+        sizes = np.diff(keys.starts, append=len(keys.order))
+        many = sizes > FEW_CONTEXTS
+        context = keys.anchors.context[keys.order[np.repeat(many, sizes)]]
+        key = np.repeat(np.flatnonzero(many), sizes[many])
+        order = np.lexsort((context, key))
+        context, key = context[order], key[order]
+        new = np.append(True, (context[1:] != context[:-1]) | (key[1:] != key[:-1]))[: len(key)]
+        counts = np.zeros(len(sizes), np.uint32)
+        counts += np.bincount(key[new], minlength=len(sizes)).astype(np.uint32)
+        return many, counts
+
+
+@dataclass
+class HotWindows:
+    """Windows from ``start`` on with their smallest id, and the ``shard`` in whose order ``dealt``.
+
+    For each window of each class, ``number`` is which of them it is, ``ids`` the id of its class
+    and ``nth`` its place there.
+    """
+
+    start: np.ndarray
+    least: np.ndarray
+    shard: np.ndarray
+    dealt: np.ndarray
+    number: np.ndarray
+    ids: np.ndarray
+    nth: np.ndarray
+
+    def masks(self, answers: list[np.ndarray]) -> np.ndarray:
+        """For each class, a bit for each of its windows that a smaller id has."""
+        known = np.zeros(len(self.start), bool)
+        known[self.dealt] = np.concatenate((*answers, np.zeros(0, bool)))
+        found = known[self.number] | (self.ids > self.least[self.number])
+        bits = found.astype(np.uint32) << self.nth.astype(np.uint32)
+        begins = np.flatnonzero(self.nth == 0)
+        return np.bitwise_or.reduceat(bits, begins) if len(begins) else bits
+
 
 @dataclass
 class Keys:
@@ -292,13 +367,13 @@ def _report_keys(shards: int, width: int, kept: list[str]):
         for segment in released(_segments(batches, kept)):
             keys = segment.keys(shards, width)
             key = keys.key[keys.dealt]
-            yield _emit(
-                [
-                    {"name": segment.name, "shard": s, "block": _compress([_narrow(key[a:b])])}
-                    for s, a, b in _by_shard(keys.shard[keys.dealt])
-                ],
-                BLOCKS,
-            )
+            many, counts = (x[keys.dealt] for x in segment.contexts_by_key(keys))
+            rows = []
+            for s, a, b in _by_shard(keys.shard[keys.dealt]):
+                at = np.flatnonzero(many[a:b]).astype(np.uint32)
+                block = _compress([_narrow(key[a:b]), at, counts[a:b][at]])
+                rows.append({"name": segment.name, "shard": s, "block": block})
+            yield _emit(rows, BLOCKS)
 
     return run
 
@@ -317,17 +392,41 @@ def _whole_segments(kept: list[str]):
 
 
 def _repeated_keys(group: pd.DataFrame) -> pd.DataFrame:
-    """For each segment's keys, which of them another segment has as well."""
-    own = [np.cumsum(_expand(b)[0].astype(np.uint64)) for b in group["block"]]
-    key = np.concatenate(own)
+    """For each segment's keys, which of them another segment has as well, and which are hot."""
+    sizes, keys, many, more = [], [], [], []
+    for block in group["block"]:
+        steps, at, counts = _expand(block)
+        keys.append(np.cumsum(steps.astype(np.uint64)))
+        sizes.append(len(steps))
+        many.append(keys[-1][at])
+        more.append(counts.astype(np.int64) - 1)
+    key = np.concatenate(keys)
+    del keys
     order = np.argsort(key)
     again = key[order[1:]] == key[order[:-1]]
     several = np.zeros(len(key), bool)
     several[order[1:][again]] = True
     several[order[:-1][again]] = True
-    ends = np.cumsum([len(k) for k in own])
+    hot = np.zeros(len(key), bool)
+    candidates, place = np.unique(np.concatenate(many), return_inverse=True)
+    excess = np.zeros(len(candidates), np.int64)
+    np.add.at(excess, place, np.concatenate(more))
+    if len(group) > HOT_CONTEXTS:
+        # so many segments may make a key hot with few contexts each
+        starts = np.flatnonzero(np.append(True, ~again))
+        often = starts[np.diff(starts, append=len(key)) > HOT_CONTEXTS]
+        candidates = np.append(candidates, key[order[often]])
+        excess = np.append(excess, np.full(len(often), HOT_CONTEXTS))
+    del again
+    # a key stands once in a segment at most
+    for k, n in zip(candidates, excess.tolist(), strict=True):
+        if n + len(group) > HOT_CONTEXTS:
+            low, high = (np.searchsorted(key, k, side, sorter=order) for side in ("left", "right"))
+            hot[order[low:high]] |= n + high - low > HOT_CONTEXTS
+    ends = np.cumsum(sizes)
     answers = [
-        _compress([np.packbits(several[e - len(k) : e])]) for k, e in zip(own, ends, strict=True)
+        _compress([np.packbits(x[e - n : e]) for x in (several, hot)])
+        for n, e in zip(sizes, ends, strict=True)
     ]
     return pd.DataFrame({"name": group["name"], "shard": group["shard"], "answer": answers})
 
@@ -337,18 +436,24 @@ def _report_contexts(shards: int, width: int):
         out = []
         for row in segments.to_dict("records"):
             segment = Segment.from_row(row)
-            c = segment.classes(bits, shards, width)
+            c, hot = segment.classes(bits, shards, width)
             a, head = c.anchors, c.run[c.heads]
             raw = segment.raw
-            for s, low, high in _by_shard(c.place):
+            w = segment.hot_windows(hot, shards, width)
+            cold = {s: (low, high) for s, low, high in _by_shard(c.place)}
+            dealt = {s: (low, high) for s, low, high in _by_shard(w.shard[w.dealt])}
+            for s in sorted(cold.keys() | dealt.keys()):
+                low, high = cold.get(s, (0, 0))
                 own = head[low:high]
                 length = a.more[own].astype(np.int64) + width
                 at = np.repeat(a.first[own] - np.cumsum(length) + length, length)
                 text = raw[at + np.arange(length.sum())]
                 block = [a.key[own], a.context[own], c.ids[c.heads[low:high]],
                          a.more[own], text]
+                mine = w.dealt[slice(*dealt.get(s, (0, 0)))]
+                block += [w.least[mine], raw[w.start[mine, None] + np.arange(width)].ravel()]
                 out.append((row["name"], s, _compress(block)))
-            del segment, c, a, head, raw
+            del segment, c, hot, a, head, raw, w
             release()
         return pd.DataFrame(out, columns=["name", "shard", "block"])
 
@@ -389,10 +494,14 @@ class Levels:
 
 
 def _removed_windows(width: int):
-    """For each context of a shard, a bit for each of its windows that a smaller id has."""
+    """For each context of a shard, a bit for each of its windows that a smaller id has.
+
+    For each window of a hot anchor, whether a smaller id has it.
+    """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         blocks = [_expand(b) for b in group["block"]]
+        hot = _found_windows([b[5] for b in blocks], [b[6] for b in blocks], width)
         key, context, ids, more, text = (
             np.concatenate([b[k] for b in blocks]) for k in range(5)
         )
@@ -420,25 +529,37 @@ def _removed_windows(width: int):
             n = more[part] + 1
             nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             start = np.repeat(begin[part], n) + nth
-            windows = text[start[:, None] + np.arange(width)].view(f"V{width}").ravel()
-            found = levels.add(_comparable(windows, width), np.repeat(ids[part], n))
+            found = levels.add(_windows(text, start, width), np.repeat(ids[part], n))
             bits = found.astype(np.uint64) << nth.astype(np.uint64)
             partial[part] = np.bitwise_or.reduceat(bits, np.cumsum(n) - n)
         # copies of a head, of the same id, share its answer
         mask[order[~later]] |= partial[head][number[~later]]
         at = np.cumsum([len(b[0]) for b in blocks])
         answers = [
-            _compress([mask[e - len(b[0]) : e].astype(np.uint32)])
-            for b, e in zip(blocks, at, strict=True)
+            _compress([mask[e - len(b[0]) : e].astype(np.uint32), np.packbits(h)])
+            for b, e, h in zip(blocks, at, hot, strict=True)
         ]
         return pd.DataFrame({"name": group["name"], "shard": group["shard"], "answer": answers})
 
     return run
 
 
-def _comparable(windows: np.ndarray, width: int) -> np.ndarray:
+def _found_windows(
+    ids: list[np.ndarray], texts: list[np.ndarray], width: int
+) -> list[np.ndarray]:
+    """For the windows of each block, whether a smaller id has them."""
+    own, text = np.concatenate(ids), np.concatenate(texts)
+    levels, found = Levels(), np.zeros(len(own), bool)
+    order = np.argsort(own, kind="stable")
+    for k in range(0, len(order), BATCH_WINDOWS):
+        part = order[k : k + BATCH_WINDOWS]
+        found[part] = levels.add(_windows(text, part * width, width), own[part])
+    return np.split(found, np.cumsum([len(x) for x in ids])[:-1])
+
+
+def _windows(text: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
     """Byte strings that numpy sorts; all have the same length, so padding cannot matter."""
-    return windows.view(f"S{width}")
+    return text[start[:, None] + np.arange(width)].view(f"S{width}").ravel()
 
 
 def _cleaned(shards: int, width: int, schema_names: list[str]):
@@ -458,19 +579,19 @@ def _cleaned(shards: int, width: int, schema_names: list[str]):
 def _clean(
     segment: Segment, bits, masks, shards: int, width: int, names: list[str]
 ) -> pd.DataFrame:
-    c = segment.classes(bits, shards, width)
-    answer = {s: _expand(b)[0] for s, b in zip(masks["shard"], masks["answer"], strict=True)}
-    own = [answer[s] for s, _, _ in _by_shard(c.place)]
+    c, hot = segment.classes(bits, shards, width)
+    answer = {s: _expand(b) for s, b in zip(masks["shard"], masks["answer"], strict=True)}
+    own = [answer[s][0] for s, _, _ in _by_shard(c.place)]
     mask = np.concatenate(own) if own else np.zeros(0, np.uint32)
-    first, more = (x[c.run].astype(np.int64) for x in (c.anchors.first, c.anchors.more))
-    c.anchors = None
-    whole = (1 << (more + 1)) - 1
-    mask = np.where(c.ids > c.ids[c.heads][c.number], whole, mask[c.number].astype(np.int64))
+    w = segment.hot_windows(hot, shards, width)
+    known = [
+        np.unpackbits(answer[s][1], count=b - a).astype(bool)
+        for s, a, b in _by_shard(w.shard[w.dealt])
+    ]
     change = np.zeros(len(segment.raw) + 1, np.int32)
-    for k in range(int(more.max(initial=-1)) + 1):
-        at = first[(mask >> k) & 1 == 1] + k
-        np.add.at(change, at, 1)
-        np.add.at(change, at + width, -1)
+    _mark_removed(change, c, mask, width)
+    _mark_removed(change, hot, w.masks(known), width)
+    del c, hot, w
     gone = np.cumsum(change[:-1], out=change[:-1]) > 0
     del change
     # runs end where documents end
@@ -503,6 +624,18 @@ def _clean(
     return found
 
 
+def _mark_removed(change: np.ndarray, c: Classes, mask: np.ndarray, width: int) -> None:
+    """Adds where removed windows begin, and takes off where they end; ``mask`` is by class."""
+    first, more = (x[c.run].astype(np.int64) for x in (c.anchors.first, c.anchors.more))
+    c.anchors = None
+    whole = (1 << (more + 1)) - 1
+    mask = np.where(c.ids > c.ids[c.heads][c.number], whole, mask[c.number].astype(np.int64))
+    for k in range(int(more.max(initial=-1)) + 1):
+        at = first[(mask >> k) & 1 == 1] + k
+        np.add.at(change, at, 1)
+        np.add.at(change, at + width, -1)
+
+
 def remove_repeats(
     docs: DataFrame, width: int = WIDTH, keep: tuple[str, ...] = ("doc_id",),
     shards: int | None = None, with_text: bool = False,

@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from shoplens.llm import suffix_dedup
@@ -68,6 +70,49 @@ def test_removed_bytes_equal_brute_force(spark, monkeypatch, seed, width):
     assert sorted(got, key=str) == expected(rows, width)
 
 
+@pytest.mark.parametrize("few", [0, 1])
+def test_hot_anchors_give_the_same_bytes(spark, monkeypatch, few):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT_CHARS", 300)
+    monkeypatch.setattr(suffix_dedup, "BATCH_WINDOWS", 16)
+    monkeypatch.setattr(suffix_dedup, "FEW_CONTEXTS", few)
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 2)
+    rows = random_case(4)
+    docs = spark.createDataFrame(rows, DOCS).coalesce(2)
+    found = suffix_dedup.remove_repeats(docs, 23, shards=3).collect()
+    got = [
+        (LAST if r.doc_id is None else r.doc_id, r.n_bytes,
+         [(s.start, s.length) for s in r.removed], bytes(r.kept))
+        for r in found
+    ]
+    assert sorted(got, key=str) == expected(rows, 23)
+
+
+def test_windows_of_a_hot_anchor_go_to_many_shards(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 100)
+    rng = random.Random(3)
+    header = "Licensed to whom it may concern, version two:"
+    texts = [header + "".join(rng.choice("abcdefgh") for _ in range(60)) for _ in range(600)]
+    rest = pa.table({"doc_id": list(range(600))})
+    segment = suffix_dedup.Segment([t.encode() for t in texts], rest)
+    keys, shards = segment.keys(16, 50), 16
+    many, counts = segment.contexts_by_key(keys)
+    key = keys.key[keys.dealt]
+    blocks = [
+        suffix_dedup._compress([suffix_dedup._narrow(key[a:b]),
+                                np.flatnonzero(many[keys.dealt][a:b]).astype(np.uint32),
+                                counts[keys.dealt][a:b][many[keys.dealt][a:b]]])
+        for _, a, b in suffix_dedup._by_shard(keys.shard[keys.dealt])
+    ]
+    shard = [s for s, _, _ in suffix_dedup._by_shard(keys.shard[keys.dealt])]
+    asked = pd.DataFrame({"name": 1, "shard": shard, "block": blocks})
+    bits = pd.concat([suffix_dedup._repeated_keys(asked[k : k + 1]) for k in range(len(asked))])
+    rows = pd.DataFrame([segment.to_row()])
+    told = suffix_dedup._report_contexts(shards, 50)(rows, bits)
+    contexts, windows = zip(*((len(x[0]), len(x[5])) for x in map(suffix_dedup._expand, told["block"])))
+    assert sum(windows) > 600 and max(windows) < 2 * sum(windows) / shards
+    assert max(contexts) <= 100
+
+
 def test_long_passages_and_runs_of_one_letter(spark):
     rng = random.Random(9)
     shared = "".join(rng.choice("abcdefghijklmnop ") for _ in range(5000))
