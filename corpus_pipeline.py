@@ -6,7 +6,7 @@ the shared folder and read again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.llm import decontaminate, language, minhash, packing, suffix_dedup
 from shoplens.session import scratch_path
@@ -17,6 +17,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = (4, 5)
 REPEATED_BYTES = 50
 LEAKED_WORDS = 10
+LEAKED_SHARE = 0.5
 CAPACITY = 4096
 
 ORACLE_SQL = None
@@ -58,10 +59,34 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no phrase of the benchmark occurs."""
+    """Documents without the words that lie in a phrase of the benchmark.
+
+    Phrases are ``LEAKED_WORDS`` consecutive words of an item; they are cut out of the text, and a
+    document goes if more than ``LEAKED_SHARE`` of its words lie in phrases. An item of fewer words
+    may be anyone's phrase and is left where it stands, but a document goes if such items make up
+    more than that share of it.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_leaks(docs, items, LEAKED_WORDS, keep=COLUMNS)
-    return found.filter(F.size("spans") == 0).select(*COLUMNS)
+    n_words = decontaminate.word_count("text")
+    found = decontaminate.find_leaks(
+        docs, items.filter(n_words >= LEAKED_WORDS), LEAKED_WORDS, keep=COLUMNS
+    )
+    found = found.filter(_in_spans() <= LEAKED_SHARE * F.col("n_words"))
+    found = found.select(*COLUMNS, F.col("spans").alias("leaked"))
+    short = items.filter(n_words.between(1, LEAKED_WORDS - 1))
+    if not short.isEmpty():
+        found = decontaminate.find_leaks(found, short, LEAKED_WORDS, keep=(*COLUMNS, "leaked"))
+        found = found.filter(_in_spans() <= LEAKED_SHARE * F.col("n_words"))
+    changed = F.size("leaked") > 0
+    left = decontaminate.without_spans(F.when(changed, F.col("text")), "leaked")
+    cleaned = found.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
+    return cleaned.withColumn(
+        "n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars"))
+    ).select(*COLUMNS)
+
+
+def _in_spans() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

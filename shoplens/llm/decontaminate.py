@@ -9,19 +9,23 @@ the words they cover merge into spans.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from shoplens.llm.memory import release
 from shoplens.llm.wavelet import WaveletMatrix
 from shoplens.session import scratch_path
 
 WINDOW = 10
+WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+# a word of its own, so that the words on both sides make up no phrase
+GAP = " […] "
 SAMPLING = 16
 SHARD_BYTES = 16 << 20
 PHRASES_PER_PASS = 500_000
@@ -44,6 +48,30 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().translate(FOLDED).split() if text else []
 
 
+@F.pandas_udf(LongType())
+def word_count(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda text: len(words(text)))
+
+
+def cut(text: str | None, spans) -> str | None:
+    """``text`` with a ``GAP`` in place of each span of its words and what lies between them."""
+    if text is None:
+        return None
+    raw = text.encode()
+    at = [m.span() for m in WORD.finditer(raw)]
+    parts, begin = [], 0
+    for span in spans:
+        first, length = span["start"], span["length"]
+        parts.append(raw[begin : at[first][0]])
+        begin = at[first + length - 1][1]
+    return GAP.join(part.decode().strip() for part in (*parts, raw[begin:])).strip()
+
+
+@F.pandas_udf(StringType())
+def without_spans(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series(list(map(cut, texts, spans)), dtype=object)
+
+
 class FmIndex:
     """Index of runs of numbers above 0, given as one array in which each run ends with a 0."""
 

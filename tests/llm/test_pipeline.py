@@ -56,6 +56,25 @@ def test_planted_documents(spark):
     assert texts[10_002] == own[1][1]
 
 
+def test_leaked_passages_are_cut_and_short_items_alone_cost_no_document(spark, tmp_path):
+    item = " ".join(f"q{k}" for k in range(12))
+    items = [(1, item), (2, "yes"), (3, "Paris, in 1900"), (4, None), (5, "...")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = " ".join(f"é{k}," for k in range(30))
+    own = [
+        (1, f"{plain} yes"), (2, f"{plain} ({item}) {plain}"), (3, f"so {item}"), (4, "Yes! Paris in 1900."),
+        (5, f"{item.upper()} {plain} {item}!"), (6, None), (7, plain),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", -1) for i, t in own + own[-1:]], DOCS)
+    found = corpus_pipeline.decontaminate_benchmark(spark, docs, str(tmp_path)).collect()
+    got = sorted((r.doc_id, r.text) for r in found)
+    assert got == [
+        (1, own[0][1]), (2, f"{plain} ( […] ) {plain}"), (5, f"[…] {plain} […] !"), (6, None),
+        (7, plain), (7, plain),
+    ]
+    assert all(r.n_chars == (len(r.text) if r.doc_id in (2, 5) else -1) for r in found)
+
+
 def test_stages_take_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     for name, stage in corpus_pipeline.STAGES:
