@@ -1,8 +1,8 @@
 """Token ids as files of wavelet matrices.
 
 A shard holds the ids of a range of documents in ascending ``doc_id`` order, as one or more wavelet
-matrices of about ``CHUNK`` ids: bit planes, from which single ids, counts and occurrences are
-read without decoding the rest. No document is cut. Each shard is a compressed Parquet file with a
+matrices of about ``CHUNK`` ids: bare bit planes. What answers access, rank and select is built from
+all planes of a matrix when it is read, and takes about 8 bytes a bit; it is not in the file. No document is cut. Each shard is a compressed Parquet file with a
 row per matrix, so that it can lie wherever Spark writes.
 """
 
