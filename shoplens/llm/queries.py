@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shoplens.llm import (
-    chat, decontaminate, embeddings, html_text, language, language_model, minhash, packing,
-    suffix_dedup, token_files,
+    chat, decontaminate, divergence, embeddings, html_text, importance, language, language_model,
+    minhash, packing, suffix_dedup, token_files, topk,
 )
 from shoplens.session import scratch_path
 
@@ -233,6 +233,138 @@ from bytes d join kept k on k.doc_id = d.doc_id left join removed r on r.doc_id
 """
 
 
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance.draw(docs, target).drop("n_words")
+
+
+IMPORTANCE_SQL = r"""
+with crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)) as t
+), texts as (
+  select 's' as part, row_number() over () as r, doc_id, text from documents
+  union all select 't', row_number() over (), null, text from benchmark
+), words as (
+  select part, r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts
+), features as (
+  select part, r, unnest(w) as feature from words
+  union all
+  select part, r, w[k] || ' ' || w[k + 1] from words, unnest(range(1, len(w))) as u(k)
+), hashed as (
+  select feature, xor(4294967295, list_reduce(
+    list_transform(range(1, octet_length(encode(feature)) + 1),
+                   lambda i: ('0x' || hex(encode(feature)[i:i]))::bigint),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]), 4294967295)) % 10000 as bucket
+  from (select distinct feature from features), crc_table
+), placed as (select part, r, bucket from features join hashed using (feature)
+), counts as (
+  select bucket, count_if(part = 's')::double as s, count_if(part = 't')::double as t
+  from placed group by bucket
+), totals as (select coalesce(sum(s), 0) as all_s, coalesce(sum(t), 0) as all_t from counts
+), gains as (
+  select bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::bigint
+    as gain
+  from counts, totals
+), weights as (
+  select r, count(*) as n_features, floor(sum(gain) / count(*))::bigint as weight
+  from placed join gains using (bucket) where part = 's' group by r
+), scored as (
+  select w.r, doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features,
+    coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((
+      ('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double)
+      / 4294967296)))::bigint as score
+  from words w left join weights x on x.r = w.r where part = 's'
+), ranked as (
+  select r, row_number() over (order by score desc, doc_id nulls last) as rank,
+    25 * count(*) over () // 100 as drawn
+  from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score, case when rank <= drawn then rank end as rank
+from scored left join ranked using (r)
+"""
+
+
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+TOP_K_SQL = """
+with usable as (
+  select row_number() over () as r, vec_id,
+    list_transform(embedding::double[], lambda x: floor(64 * x)) as t
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda v: v is null or isnan(v) or isinf(v))) = 0
+), width as (select coalesce(max(len(t)), 0) as n from usable
+), padded as (select r, vec_id, list_resize(t, n, 0) as t from usable, width
+), scored as (
+  select q.r, q.vec_id as query_id, c.vec_id,
+    cast(list_inner_product(q.t, c.t) as bigint) as score
+  from padded q join padded c on q.r <> c.r where q.vec_id % 20 = 0
+), ranked as (
+  select query_id, vec_id, score,
+    cast(row_number() over (partition by r order by score desc, vec_id) as int) as rank
+  from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least=3, ranks=200)
+
+
+DIVERGENCE_SQL = r"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), occurrences as (select r, lang, source, unnest(w) as term from docs
+), kept as (
+  select lang, term, count(*) as n from occurrences group by lang, term
+  having count(distinct r) >= 3
+), langs as (
+  select lang, count(*)::hugeint as v, sum(n)::hugeint as total from kept group by lang
+), groups as (select distinct lang, source from docs
+), held as (
+  select g.lang, g.source, k.term, k.n as lang_n, coalesce(o.n, 0) as n
+  from groups g join kept k on k.lang = g.lang
+  left join (select lang, source, term, count(*) as n from occurrences group by all) o
+    on o.lang = g.lang and o.source = g.source and o.term = k.term
+), totals as (
+  select lang, source, sum(n)::hugeint as total from held group by lang, source
+), shares as (
+  select h.lang, h.source, h.term, h.n,
+    1 + 1000000000 * (h.n + 1)::hugeint // (t.total + l.v) as p,
+    1 + 1000000000 * (h.lang_n + 1)::hugeint // (l.total + l.v) as q
+  from held h join totals t on t.lang = h.lang and t.source = h.source join langs l on l.lang = h.lang
+), found as (
+  select a.lang, a.source, 'pair' as part, b.source as item,
+    sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source
+  union all
+  select a.lang, a.source, 'pair', b.source, 0
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  where a.lang not in (select lang from langs)
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint
+  from shares where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (
+    partition by lang, source, part order by value desc, item) as int) as rank
+  from found
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 200
+"""
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_embedding_near_dedup": embedding_near_dedup,
@@ -244,6 +376,9 @@ QUERIES = {
     "op8_language_id": language_id,
     "op9_suffix_array_dedup": suffix_array_dedup,
     "op10_minhash_near_dedup": minhash_near_dedup,
+    "op11_importance_resampling": importance_resampling,
+    "op12_exact_top_k": exact_top_k,
+    "op13_source_divergence": source_divergence,
 }
 
 ORACLES = {
@@ -252,4 +387,7 @@ ORACLES = {
     "op5_benchmark_decontamination": DECONTAMINATION_SQL,
     "op9_suffix_array_dedup": SUFFIX_SQL,
     "op10_minhash_near_dedup": MINHASH_SQL,
+    "op11_importance_resampling": IMPORTANCE_SQL,
+    "op12_exact_top_k": TOP_K_SQL,
+    "op13_source_divergence": DIVERGENCE_SQL,
 }
