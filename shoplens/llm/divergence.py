@@ -12,15 +12,17 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shoplens.llm.memory import release
 from shoplens.llm.storage import Scratch
 
 LEAST_DOCUMENTS = 3
 TERM_RANKS = 200
 # entries a task holds before it hands them on
-HELD_TERMS = 200_000
+HELD_TERMS = 700_000
 # what shares are parts of, as a base and its number of digits in that base
 SHARE_BASE, SHARE_DIGITS = 1000, 3
 # A-Z become a-z, other ASCII is blank, all bytes of further characters stay
@@ -41,60 +43,79 @@ def terms(text: str | None) -> list[bytes]:
     return text.encode().translate(LETTERS).split() if text else []
 
 
+# one number holds the occurrences of a term in its low bits and its documents above them
+DOCUMENT = 1 << 48
+
+
 class _Sums:
     """Occurrences and documents of the terms of each group."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        self.groups: dict[tuple[str, str], dict[bytes, int]] = {}
         self.size = 0
 
     def add(self, group: tuple[str, str], document: Counter) -> None:
-        n, documents = self.groups.setdefault(group, (Counter(), Counter()))
-        before = len(n)
-        # in C, unlike the addition of counters
-        documents.update(document.keys())
-        known = n.get
+        held = self.groups.setdefault(group, {})
+        before = len(held)
+        known = held.get
         for term, times in document.items():
-            n[term] = known(term, 0) + times
-        self.size += len(n) - before
-
-    def rows(self) -> pa.RecordBatch:
-        columns: list[list] = [[] for _ in COUNTED]
-        for (lang, source), (n, documents) in self.groups.items():
-            found = list(n)
-            columns[0] += [lang] * (len(found) + 1)
-            columns[1] += [source] * (len(found) + 1)
-            # a row without a term says that the group occurs
-            columns[2] += [None, *(term.decode() for term in found)]
-            columns[3] += [0, *n.values()]
-            columns[4] += [0, *(documents[term] for term in found)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, COUNTED, strict=True)], schema=COUNTED
-        )
+            held[term] = known(term, 0) + times + DOCUMENT
+        self.size += len(held) - before
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """A batch for each group, whose terms are let go of."""
+        while self.groups:
+            (lang, source), held = self.groups.popitem()
+            n = len(held)
+            both = np.fromiter(held.values(), np.int64, n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * n), pa.array([source] * n),
+                    pa.array(list(held), pa.binary()).cast(pa.string()),
+                    pa.array(both % DOCUMENT), pa.array(both // DOCUMENT),
+                ],
+                schema=COUNTED,
+            )
+        self.size = 0
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = _Sums()
     for batch in batches:
-        columns = (batch.column(name) for name in ("lang", "source", "text"))
+        columns = (batch.column(name).to_pylist() for name in ("lang", "source", "text"))
         for lang, source, text in zip(*columns, strict=True):
-            sums.add((lang.as_py(), source.as_py()), Counter(terms(text.as_py())))
+            sums.add((lang, source), Counter(terms(text)))
             if sums.size >= HELD_TERMS:
-                yield sums.rows()
-                sums = _Sums()
-    yield sums.rows()
+                yield from sums.rows()
+                release()
+    yield from sums.rows()
+    release()
 
 
-def count_terms(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, n, documents``: what each group has, and a NULL term for each group."""
-    texts = docs.select(
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")),
         F.col("text").cast("string").alias("text"),
     )
+
+
+def kept_terms(docs: DataFrame, least: int) -> DataFrame:
+    """``lang, term, lang_n, sources``: the terms of ``least`` documents, and who has how many.
+
+    One shuffle serves the sums of each group and those of each language. Tasks have added up what
+    they read, so nothing is gained by adding up again before it.
+    """
+    counted = _texts(docs).mapInArrow(_counted, COUNTED_DDL).repartition("lang", "term")
+    groups = counted.groupBy("lang", "term", "source").agg(
+        F.sum("n").alias("n"), F.sum("documents").alias("documents")
+    )
     return (
-        texts.mapInArrow(_counted, COUNTED_DDL)
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+        groups.groupBy("lang", "term")
+        .agg(
+            F.sum("n").alias("lang_n"), F.sum("documents").alias("documents"),
+            F.collect_list(F.struct("source", "n")).alias("sources"),
+        )
+        .filter(F.col("documents") >= least).drop("documents")
     )
 
 
@@ -147,27 +168,20 @@ def audit(
     for up to 9 * 10^15 occurrences of kept terms in a language.
     """
     scratch = Scratch(docs.sparkSession)
-    counted = scratch.store(count_terms(docs), "terms")
-    kept = (
-        counted.filter("term is not null").groupBy("lang", "term")
-        .agg(F.sum("n").alias("lang_n"), F.sum("documents").alias("documents"))
-        .filter(F.col("documents") >= least).drop("documents")
-    )
-    kept = scratch.store(kept, "kept")
-    own = scratch.store(
-        counted.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "own"
-    )
-
+    kept = scratch.store(kept_terms(docs, least), "kept")
+    own = kept.select("lang", "term", "lang_n", F.inline("sources"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     sizes = own.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     zero = F.lit(0).cast("long")
+    counts = (F.coalesce(c, zero).alias(c) for c in ("total", "own", "v", "lang_total"))
     groups = (
-        counted.filter("term is null").select("lang", "source")
+        _texts(docs).select("lang", "source").distinct()
         .join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
-        .select("lang", "source", *(F.coalesce(c, zero).alias(c)
-                                    for c in ("total", "own", "v", "lang_total")))
+        .select("lang", "source", *counts)
     )
-    groups = scratch.store(groups, "groups")
+    # the share of a term that the group lacks; a language without kept terms has none
+    lacking = F.when(F.col("v") > 0, share(zero, F.col("total"), F.col("v")))
+    groups = scratch.store(groups.withColumn("least", lacking), "groups")
 
     shares = own.join(groups, ["lang", "source"]).withColumn(
         "p", share(F.col("n"), F.col("total"), F.col("v"))
@@ -187,9 +201,7 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     side had none of these terms, put right for the terms that both have. Only those are joined by
     term; a task adds up what it finds for a pair before the shuffle.
     """
-    # the share of a term that the group lacks; a language without kept terms has none
-    least = F.when(F.col("v") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("v")))
-    groups = groups.select("lang", "source", "own", "v", least.alias("least"))
+    groups = groups.select("lang", "source", "own", "v", "least")
     other = groups.select(
         "lang", F.col("source").alias("item"), F.col("own").alias("item_own"),
         F.col("least").alias("item_least"),
@@ -212,16 +224,14 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
         "lang", "source", "item", value.alias("value")
     )
 
-    with_least = shares.join(groups.select("lang", "source", "least"), ["lang", "source"]).select(
-        "lang", "term", "source", "p", "least"
-    )
-    opposite = with_least.select(
+    ours_with_least = shares.select("lang", "term", "source", "p", "least")
+    opposite = ours_with_least.select(
         "lang", "term", F.col("source").alias("item"), F.col("p").alias("q"),
         F.col("least").alias("item_least"),
     )
     p, q = F.col("p"), F.col("q")
     value = excess(p, q) - excess(p, q0) - excess(p0, q) + excess(p0, q0)
-    both = with_least.join(opposite, ["lang", "term"]).filter("source <> item").select(
+    both = ours_with_least.join(opposite, ["lang", "term"]).filter("source <> item").select(
         "lang", "source", "item", value.alias("value")
     )
     parts = [part.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
