@@ -1,12 +1,16 @@
 """Exact search for the rows with the largest inner products, by MaxScore.
 
-A vector's terms are its dimensions by sign. In a shard of candidates, a term's posting list holds
-those whose component has that sign, with the component. A query's component adds to the score of
-candidates of its own sign, at most by the query's component times the largest one of the list; it
-takes from all others. Lists whose bounds together cannot reach the k-th best score known are
-non-essential: a candidate that is only in these is out. The essential lists are traversed, and what
-they turn up is probed in the other dimensions, largest bound first, for as long as it can still
-compete. The shards' best are merged.
+A vector's terms are its dimensions. In a shard of candidates, a term's postings are the components
+of that dimension, positive and negative ones, in blocks of candidates; a block's bounds are its
+largest and smallest component. A query's component adds to a score at most its product with the
+bound of its own sign. Terms whose bounds together cannot reach the k-th best score known are
+non-essential: a candidate to which only these add is out. The essential postings are traversed, and
+what can still compete is probed in the other dimensions, largest bound first, until it no longer
+does. The bar rises from block to block; long vectors, which are likely to score high, come first.
+The shards' best are merged.
+
+Vectors are dense, so a block's postings are the columns of a matrix. Many queries traverse them at
+once as a product of matrices, in which each query's non-essential components are 0.
 
 Shards of candidates meet blocks of queries by number. Both are of bounded size.
 """
@@ -22,82 +26,106 @@ from shoplens.llm.storage import Scratch
 
 SCALE = 64
 TOP = 20
-SHARD_ROWS = 4096
-QUERY_ROWS = 4096
+SHARD_ROWS = 1 << 14
+QUERY_ROWS = 1024
 # components of this size or more are outside of what is compared; see ``search``
-LARGEST = 1 << 27
-# candidates with the largest norms, which a query is compared with first for a k-th best score
-FIRST_ROWS = 128
+LARGEST = 1 << 25
+# candidates of the first block, which gives a bar; later ones double up to the other size
+FIRST_ROWS, BLOCK_ROWS = 64, 1024
+# terms that are probed before a pair is looked at again
+PROBED = 6
+# the share of pairs beyond which they are probed as matrices
+MANY = 0.02
+# queries that traverse postings together
+TOGETHER = 256
 FOUND = "query long, query_row long, vec_id long, score long"
 
 
 class Postings:
-    """The candidates of a shard: a posting list for each dimension and sign, and all components."""
+    """The candidates of a shard, and for each block of them its bounds."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray) -> None:
-        # long vectors first: their scores are the likeliest to be large, and the bar is high early
         order = np.lexsort((ids, -np.square(vectors.astype(float)).sum(axis=1)))
         self.ids, self.rows, self.vectors = ids[order], rows[order], vectors[order]
-        self.columns = np.ascontiguousarray(self.vectors.T)
-        self.positive = [np.flatnonzero(c > 0) for c in self.columns]
-        self.negative = [np.flatnonzero(c < 0) for c in self.columns]
-        self.high = np.maximum(self.columns.max(axis=1, initial=0), 0)
-        self.low = np.minimum(self.columns.min(axis=1, initial=0), 0)
-
-    def top(self, query: np.ndarray, own_row: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and scores of the ``k`` best candidates but the row ``own_row``."""
-        best, scores, bar = self._first(query, own_row, k)
-        bounds = np.where(query > 0, query * self.high, query * self.low)
-        rising = np.argsort(bounds, kind="stable")
-        # what the lists up to each one can give together
-        reach = np.cumsum(bounds[rising])
-        split = 0 if bar is None else int(np.searchsorted(reach, bar))
-        if split == len(rising):
-            return best, scores
-        partial = np.zeros(len(self.ids), np.int64)
-        met = np.zeros(len(self.ids), bool)
-        essential, others = rising[split:], rising[:split]
-        for d in essential.tolist():
-            list_ = self.positive[d] if query[d] > 0 else self.negative[d]
-            partial[list_] += query[d] * self.columns[d, list_]
-            met[list_] = True
-        if bar is None or bar <= 0:
-            # candidates of no list may reach such a score as well
-            met[:] = True
-        met[: min(FIRST_ROWS, len(met))] = False
-        met[self.rows == own_row] = False
-        alive = np.flatnonzero(met)
-        left = int(reach[split - 1]) if split else 0
-        alive = self._competing(alive, partial, left, bar)
-        # components of the other sign, which only lower a score
-        for d in essential.tolist():
-            if not len(alive):
-                return best, scores
-            partial[alive] += np.minimum(query[d] * self.columns[d, alive], 0)
-        for d in others[::-1].tolist():
-            alive = self._competing(alive, partial, left, bar)
-            if not len(alive):
-                return best, scores
-            partial[alive] += query[d] * self.columns[d, alive]
-            left -= int(bounds[d])
-        alive = self._competing(alive, partial, 0, bar)
-        return self._best(np.append(best, alive), np.append(scores, partial[alive]), k)
-
-    def _first(self, query, own_row, k):
-        """The best among the first rows, and the score that others have to reach."""
-        at = np.arange(min(FIRST_ROWS, len(self.ids)))
-        at = at[self.rows[at] != own_row]
-        best, scores = self._best(at, self.vectors[at] @ query, k)
-        return best, scores, int(scores[-1]) if len(best) == k else None
+        self.blocks, at, size = [], 0, FIRST_ROWS
+        while at < len(ids):
+            self.blocks.append((at, min(at + size, len(ids))))
+            at, size = at + size, min(size * 2, BLOCK_ROWS)
+        self.high = [np.maximum(self.vectors[a:b].max(axis=0, initial=0), 0) for a, b in self.blocks]
+        self.low = [np.minimum(self.vectors[a:b].min(axis=0, initial=0), 0) for a, b in self.blocks]
+        self.largest = int(np.abs(self.vectors).max(initial=0))
+
+    def top(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """For several queries, ``query, position, score`` of their ``k`` best but the rows ``own``."""
+        reach = int(np.abs(queries).max(initial=0)) * self.largest * max(queries.shape[1], 1)
+        # doubles hold all sums exactly, and multiply much faster
+        kind = np.float64 if reach < 1 << 53 else np.int64
+        queries, vectors = queries.astype(kind), self.vectors.astype(kind, copy=False)
+        best = tuple(np.zeros(0, np.int64) for _ in range(3))
+        for (a, b), high, low in zip(self.blocks, self.high, self.low, strict=True):
+            block = self._competing(queries, vectors[a:b], high, low, self._bars(best, len(queries), k))
+            query, at, score = block
+            other = self.rows[at + a] != own[query]
+            best = self._best(best, (query[other], at[other] + a, score[other].astype(np.int64)), k)
+        return best
 
     @staticmethod
-    def _competing(alive, partial, left, bar):
-        # equal scores compete, as the smaller id wins
-        return alive if bar is None else alive[partial[alive] + left >= bar]
+    def _bars(best, n: int, k: int) -> np.ndarray:
+        """The k-th best score of each query; where there are fewer, anything may compete."""
+        query, _, score = best
+        bars = np.full(n, np.iinfo(np.int64).min // 2)
+        # they are ordered by query, best first
+        ends = np.cumsum(np.bincount(query, minlength=n))
+        full = np.bincount(query, minlength=n) == k
+        bars[full] = score[ends[full] - 1]
+        return bars
 
-    def _best(self, at, scores, k):
-        order = np.lexsort((self.ids[at], -scores))[:k]
-        return at[order], scores[order]
+    @staticmethod
+    def _competing(queries, vectors, high, low, bars):
+        """The candidates of a block that reach the bar, with their scores."""
+        bounds = np.where(queries > 0, queries * high, queries * low)
+        rising = np.argsort(bounds, axis=1, kind="stable")
+        # what the terms up to each one can give together
+        together = np.cumsum(np.take_along_axis(bounds, rising, axis=1), axis=1)
+        spare = (together < bars[:, None]).sum(axis=1)
+        rank = np.empty_like(rising)
+        np.put_along_axis(rank, rising, np.arange(rising.shape[1])[None, :], axis=1)
+
+        def reach_of(terms):
+            """What the first so many terms of each query can give."""
+            last = np.take_along_axis(together, np.maximum(terms - 1, 0)[:, None], axis=1)[:, 0]
+            return np.where(terms > 0, last, 0)
+
+        partial = (queries * (rank >= spare[:, None])) @ vectors.T
+        left = reach_of(spare)
+        # equal scores compete, as the smaller id wins
+        competing = partial >= (bars - left)[:, None]
+        if competing.mean() > MANY:
+            # so many pairs are probed together in all but the terms with the smallest bounds
+            few = np.minimum(spare, PROBED)
+            partial += (queries * ((rank >= few[:, None]) & (rank < spare[:, None]))) @ vectors.T
+            spare, left = few, reach_of(few)
+            competing = partial >= (bars - left)[:, None]
+        query, at = np.nonzero(competing)
+        score, rest = partial[query, at], left[query]
+        for step in range(0, int(spare.max(initial=0)), PROBED):
+            # the next terms of each pair's query, from that with the largest bound down
+            place = spare[query, None] - 1 - step - np.arange(PROBED)
+            term = np.take_along_axis(rising[query], np.maximum(place, 0), axis=1)
+            row = query[:, None]
+            score += np.where(place >= 0, queries[row, term] * vectors[at[:, None], term], 0).sum(1)
+            rest -= np.where(place >= 0, bounds[row, term], 0).sum(1)
+            stays = score + rest >= bars[query]
+            query, at, score, rest = (x[stays] for x in (query, at, score, rest))
+        return query, at, score
+
+    def _best(self, held, fresh, k: int):
+        query, at, score = (np.concatenate(x) for x in zip(held, fresh, strict=True))
+        order = np.lexsort((self.ids[at], -score, query))
+        query, at, score = query[order], at[order], score[order]
+        begins = np.searchsorted(query, query)
+        first = np.arange(len(query)) - begins < k
+        return query[first], at[first], score[first]
 
 
 def _matrix(group: pd.DataFrame, width: int) -> np.ndarray:
@@ -116,15 +144,18 @@ def _searched(width: int, k: int):
             shard["vec_id"].to_numpy(np.int64), shard["row"].to_numpy(np.int64),
             _matrix(shard, width),
         )
-        parts = []
         vectors = _matrix(queries, width)
-        for vec_id, row, vector in zip(
-            queries["vec_id"].tolist(), queries["row"].tolist(), vectors, strict=True
-        ):
-            at, scores = postings.top(vector, row, k)
+        ids, rows = (queries[c].to_numpy(np.int64) for c in ("vec_id", "row"))
+        parts = []
+        for a in range(0, len(queries), TOGETHER):
+            own = slice(a, a + TOGETHER)
+            query, at, scores = postings.top(vectors[own], rows[own], k)
             parts.append(
                 pd.DataFrame(
-                    {"query": vec_id, "query_row": row, "vec_id": postings.ids[at], "score": scores}
+                    {
+                        "query": ids[own][query], "query_row": rows[own][query],
+                        "vec_id": postings.ids[at], "score": scores,
+                    }
                 )
             )
         return pd.concat(parts, ignore_index=True)
@@ -156,8 +187,8 @@ def search(
     fewer rows. Components that a shorter vector lacks are 0, so an empty vector scores 0.
 
     A NULL vector and one with a NULL or non-finite component take no part, as do rows without
-    ``vec_id``, which could not be named, and components of 2^27 after scaling or more, whose
-    products might not fit 64 bits. Rows that repeat a ``vec_id`` are candidates and queries each,
+    ``vec_id``, which could not be named, and components of 2^25 after scaling or more, whose
+    sums might not fit 64 bits. Rows that repeat a ``vec_id`` are candidates and queries each,
     and a query leaves out its own row only. Other columns are ignored.
     """
     scratch = Scratch(vectors.sparkSession)
@@ -165,7 +196,7 @@ def search(
     rows = scratch.store(rows, "vectors")
     asked = F.col("vec_id") % every == 0
     n, n_asked, width = rows.agg(
-        F.count("*"), F.count_if(asked), F.coalesce(F.max(F.size("terms")), F.lit(0))
+        F.count("*"), F.count_if(asked), F.greatest(F.max(F.size("terms")), F.lit(1))
     ).first()
     shards, blocks = max(-(-n // shard_rows), 1), max(-(-n_asked // query_rows), 1)
 
