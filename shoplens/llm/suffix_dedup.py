@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
@@ -37,7 +38,9 @@ from shoplens.llm.memory import release, released
 from shoplens.llm.words import mixed
 
 WIDTH = 50
-SEGMENT_CHARS = 4 << 20
+SEGMENT_BYTES = 4 << 20
+# text whose anchors and windows meet in one shard
+SHARD_BYTES = 8 << 20
 PIECE = 1 << 15
 POSITION_BITS = 24
 BATCH_WINDOWS = 1 << 14
@@ -347,11 +350,13 @@ class Classes:
 def _segments(batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[Segment]:
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        texts = [t.encode() if t else b"" for t in table["text"].to_pylist()]
-        group = np.cumsum([len(t) for t in texts]) // SEGMENT_CHARS if texts else np.zeros(0)
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
+        group = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64) // SEGMENT_BYTES
         edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            yield Segment(texts[a:b], table.select(kept).slice(a, b - a))
+            part = table.slice(a, b - a)
+            texts = [t.encode() if t else b"" for t in part["text"].to_pylist()]
+            yield Segment(texts, part.select(kept))
 
 
 def _emit(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -505,6 +510,8 @@ def _removed_windows(width: int):
         key, context, ids, more, text = (
             np.concatenate([b[k] for b in blocks]) for k in range(5)
         )
+        sizes = [len(b[0]) for b in blocks]
+        del blocks
         more = more.astype(np.int64)
         begin = np.cumsum(more + width) - more - width
         everything = (np.uint64(2) << more.astype(np.uint64)) - np.uint64(1)
@@ -534,10 +541,9 @@ def _removed_windows(width: int):
             partial[part] = np.bitwise_or.reduceat(bits, np.cumsum(n) - n)
         # copies of a head, of the same id, share its answer
         mask[order[~later]] |= partial[head][number[~later]]
-        at = np.cumsum([len(b[0]) for b in blocks])
         answers = [
-            _compress([mask[e - len(b[0]) : e].astype(np.uint32), np.packbits(h)])
-            for b, e, h in zip(blocks, at, hot, strict=True)
+            _compress([mask[e - n : e].astype(np.uint32), np.packbits(h)])
+            for n, e, h in zip(sizes, np.cumsum(sizes), hot, strict=True)
         ]
         return pd.DataFrame({"name": group["name"], "shard": group["shard"], "answer": answers})
 
@@ -648,11 +654,14 @@ def remove_repeats(
     in bytes), ``kept`` the other bytes, which may cut a character; ``with_text`` adds the whole
     characters among them as ``kept_text``. Rows with the same ``doc_id``
     take nothing from each other; a NULL id comes last. ``keep`` must hold ``doc_id``; columns
-    called like a result are replaced. ``shards`` follows ``spark.sql.shuffle.partitions``. The rows
-    of ``docs`` are read three times and must come in the same order, as those of files do.
+    called like a result are replaced. There is a shard for each ``SHARD_BYTES`` of text, however
+    many tasks share them, unless ``shards`` says otherwise. The rows
+    of ``docs`` are read three times and must come in the same order, as those of files do; the
+    text is also measured first.
     """
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if shards is None:
+        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        shards = max(1, -(-size // SHARD_BYTES))
     results = FOUND.fields + [TEXT] * with_text
     kept = [c for c in keep if c not in [f.name for f in results]]
     own = docs.select(*dict.fromkeys((*kept, "doc_id", "text")))

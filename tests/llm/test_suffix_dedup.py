@@ -56,7 +56,7 @@ def random_case(seed):
 @pytest.mark.parametrize("width", [10, 23])
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_removed_bytes_equal_brute_force(spark, monkeypatch, seed, width):
-    monkeypatch.setattr(suffix_dedup, "SEGMENT_CHARS", 300)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT_BYTES", 300)
     monkeypatch.setattr(suffix_dedup, "PIECE", 64)
     monkeypatch.setattr(suffix_dedup, "BATCH_WINDOWS", 16)
     rows = random_case(seed)
@@ -72,7 +72,7 @@ def test_removed_bytes_equal_brute_force(spark, monkeypatch, seed, width):
 
 @pytest.mark.parametrize("few", [0, 1])
 def test_hot_anchors_give_the_same_bytes(spark, monkeypatch, few):
-    monkeypatch.setattr(suffix_dedup, "SEGMENT_CHARS", 300)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT_BYTES", 300)
     monkeypatch.setattr(suffix_dedup, "BATCH_WINDOWS", 16)
     monkeypatch.setattr(suffix_dedup, "FEW_CONTEXTS", few)
     monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", 2)
