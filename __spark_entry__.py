@@ -23,12 +23,20 @@ from shoplens.operators.quality import (
     Unique,
     missing_values,
     report,
+    union_all,
     value_failures,
 )
+from shoplens.operators.upsert import upsert_table
 from shoplens.plans import attribution, checks, customers, orders, retention, revenue
+from shoplens.plans.activity import CustomerActivity
 from shoplens.plans.build import Models
+from shoplens.plans.customer_state import CustomerState
+from shoplens.plans.maintained import MaintainedRevenue
+from shoplens.plans.visitors import PERIODS, ChannelVisitors
 from shoplens.session import scratch_path
-from shoplens.sources import LOADED_AT
+from shoplens.sources import LOADED_AT, load_raw, read_table
+from shoplens.sources.compaction import compact
+from shoplens.sources.quarantine import load_csv
 from shoplens.sources.shop_tables import ShopTables
 from shoplens.streaming.order_feed import latest_versions
 
@@ -36,6 +44,7 @@ FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF = dt.date.fromisoformat(expected_sql.AS_OF)
 FIRST_LOAD_BEFORE = dt.datetime.fromisoformat(expected_sql.FIRST_LOAD_BEFORE)
 LOOKBACK = dt.timedelta(days=31)
+LAST_MONTH = dt.datetime.fromisoformat(expected_sql.LAST_MONTH)
 DASHBOARD_SINCE = dt.date.fromisoformat(expected_sql.DASHBOARD_SINCE)
 
 
@@ -90,7 +99,162 @@ def _orders_merged(m: Models) -> DataFrame:
     orders.update_orders(
         spark, path, m.stg_orders, m.stg_products, m.stg_customers, lookback=LOOKBACK
     )
-    return spark.read.parquet(path).drop(orders.MART_LOADED_AT)
+    return read_table(spark, path).drop(orders.MART_LOADED_AT)
+
+
+def _orders_evolved(m: Models) -> DataFrame:
+    """A table that gains a column with one batch, loses one with the next, and a month again."""
+    spark = m.stg_orders.sparkSession
+    path = scratch_path(spark, "evolved")
+    columns = ("order_id", "customer_id", "order_date", "order_month", "status", "net_amount")
+    basket = F.when(F.col("quantity") > 3, "large").otherwise("small").alias("basket")
+    month, date = F.col("order_month"), F.col("order_date")
+    january = month == F.lit(FIRST_LOAD_BEFORE.date())
+    again = F.concat("status", F.lit(", seen again"))
+    for batch in (
+        m.stg_orders.filter(date < FIRST_LOAD_BEFORE).select(*columns, "quantity"),
+        m.stg_orders.filter(january).select(*columns, "quantity", basket),
+        m.stg_orders.filter((date >= FIRST_LOAD_BEFORE) & ~january).select(*columns, basket),
+        m.stg_orders.filter(january).withColumn("status", again).select(*columns, basket),
+    ):
+        upsert_table(
+            spark, path, read_table(spark, path), batch, "order_id", orders.BY_MONTH
+        )
+    return read_table(spark, path)
+
+
+def _orders_moved(m: Models) -> DataFrame:
+    """A table in which a part of the orders lay in other months before they were put in again."""
+    spark = m.stg_orders.sparkSession
+    path = scratch_path(spark, "moved")
+    enriched = _orders_full(m)
+    moved = F.col("order_id").cast("bigint") % 50 == 0
+    elsewhere = F.add_months("order_month", -(F.col("order_id").cast("bigint") % 7).cast("int"))
+    first = enriched.withColumn(
+        "order_month", F.when(moved, elsewhere).otherwise(F.col("order_month"))
+    )
+    for batch in (first, enriched.filter(moved)):
+        upsert_table(
+            spark, path, read_table(spark, path), batch, "order_id", orders.ORDERS_LAYOUT
+        )
+    return read_table(spark, path)
+
+
+def _orders_by_any(m: Models) -> DataFrame:
+    """Three lookups by one column each in a table that is laid out for all of them."""
+    spark = m.stg_orders.sparkSession
+    path = scratch_path(spark, "interleaved")
+    orders.ORDERS_BY_ANY.replace(m.stg_orders, path)
+    stored = spark.read.schema(m.stg_orders.schema).parquet(path)
+    lookups = {
+        "order_date": F.col("order_date") >= FIRST_LOAD_BEFORE,
+        "customer_id": F.col("customer_id") == expected_sql.LOOKUP_CUSTOMER,
+        "net_amount": F.col("net_amount") > 400,
+    }
+    return union_all(
+        stored.filter(found).select(F.lit(name).alias("lookup"), "order_id", "net_amount")
+        for name, found in lookups.items()
+    )
+
+
+def _raw_compacted(m: Models) -> DataFrame:
+    """Raw orders that came day by day in the last month, and in one go before it."""
+    spark = m.raw.orders.sparkSession
+    path = scratch_path(spark, "compacted")
+    last = F.col("order_date") >= LAST_MONTH
+    load_raw(m.raw.orders.filter(~last), "raw_orders", path, FIRST_LOAD_BEFORE)
+    tenth = F.pmod(F.xxhash64("order_date"), F.lit(10))
+    for k in range(10):
+        some = m.raw.orders.filter(last & (tenth == k))
+        load_raw(some, "raw_orders", path, FIRST_LOAD_BEFORE, append=True)
+    compact(spark, path, "order_date")
+    return spark.read.parquet(path).drop(LOADED_AT)
+
+
+def _csv_rejects(m: Models) -> DataFrame:
+    """Products written as CSV, some lines of which are spoilt, and loaded again."""
+    spark = m.raw.products.sparkSession
+    path, raw, rejected = (scratch_path(spark, name) for name in ("csv", "raw", "rejected"))
+    number = F.col("product_id").cast("bigint")
+    price = F.when(number % 50 == 0, "unknown").otherwise(F.lit("25.5"))
+    more = F.when(number % 61 == 0, ",left over").otherwise(F.lit(""))
+    line = F.concat("product_id", F.lit(",pen,office,pens,"), price, F.lit(",1.5"), more)
+    header = F.lit("product_id,product_name,category,sub_category,unit_price,cost_price")
+    named = m.raw.products.filter(number.isNotNull()).select(line.alias("line"))
+    # every file has its header first
+    head = spark.range(4).select(F.lit(0).alias("nth"), F.col("id").cast("int").alias("file"), header.alias("line"))
+    rows = named.select(
+        F.lit(1).alias("nth"), F.pmod(F.xxhash64("line"), F.lit(4)).cast("int").alias("file"), "line"
+    )
+    files = head.unionAll(rows).repartition(4, "file").sortWithinPartitions("file", "nth")
+    files.select("line", "file").write.partitionBy("file").text(path)
+    load_csv(
+        spark, f"{path}/*", "raw_products", raw, rejected, most_bad=0.05, run_ts=FIRST_LOAD_BEFORE
+    )
+    good = spark.read.parquet(raw).select("product_id", "unit_price", F.lit(None).alias("reason"))
+    lines = spark.read.parquet(rejected)
+    bad = lines.select(
+        F.split("_line", ",")[0].alias("product_id"), F.lit(None).alias("unit_price"),
+        F.col("_reason").alias("reason"),
+    )
+    return good.unionAll(bad)
+
+
+def _revenue_maintained(m: Models) -> DataFrame:
+    """A mart made before late orders, other statuses, categories and segments, then updated."""
+    spark = m.stg_orders.sparkSession
+    kept = MaintainedRevenue(spark, scratch_path(spark, "maintained"))
+    number = F.col("order_id").cast("bigint")
+    late = (number % 11 == 0) & (F.col("order_month") >= F.lit(DASHBOARD_SINCE))
+    open_ = (number % 13 == 0) & (F.col("order_month") == F.lit(FIRST_LOAD_BEFORE.date()))
+    early = m.stg_orders.filter(~late).withColumn("is_completed", F.col("is_completed") & ~open_)
+    odd = F.col("product_id").cast("bigint") % 997 == 5
+    products = m.stg_products.withColumn(
+        "category", F.when(odd, "Unsorted").otherwise(F.col("category"))
+    )
+    other = F.col("customer_id").cast("bigint") % 499 == 7
+    customers = m.stg_customers.withColumn(
+        "customer_segment", F.when(other, "New").otherwise(F.col("customer_segment"))
+    )
+    kept.update(early, products, customers)
+    kept.update(m.stg_orders, m.stg_products, m.stg_customers)
+    return kept.read()
+
+
+def _thirds(df: DataFrame, key: str) -> list[DataFrame]:
+    """The rows of a table in three batches."""
+    third = F.pmod(F.xxhash64(key), F.lit(3))
+    return [df.filter(third == k) for k in range(3)]
+
+
+def _from_state(m: Models) -> DataFrame:
+    """Customer 360 after three batches, of which the first two were added up."""
+    spark = m.stg_orders.sparkSession
+    state = CustomerState(spark, scratch_path(spark, "state"), most=1)
+    batches = zip(_thirds(m.stg_orders, "order_id"), _thirds(m.stg_sessions, "session_id"))
+    for k, (some_orders, some_sessions) in enumerate(batches):
+        state.add(f"batch {k}", some_orders, some_sessions)
+    return state.customer_360(m.stg_customers, AS_OF)
+
+
+def _channel_visitors(m: Models) -> DataFrame:
+    """Visitors of each day, week and month, from days stored in three batches."""
+    spark = m.stg_sessions.sparkSession
+    visitors = ChannelVisitors(spark, scratch_path(spark, "visitors"))
+    for k, some in enumerate(_thirds(m.stg_sessions, "session_id")):
+        visitors.add(str(k), some)
+    return union_all(
+        visitors.unique(period).select(F.lit(period).alias("period"), "*") for period in PERIODS
+    )
+
+
+def _retention_from_bits(m: Models) -> DataFrame:
+    """Retention after three batches of orders."""
+    spark = m.stg_orders.sparkSession
+    active = CustomerActivity(spark, scratch_path(spark, "activity"))
+    for k, some in enumerate(_thirds(m.stg_orders, "order_id")):
+        active.add_orders(str(k), some)
+    return active.retention()
 
 
 def _dashboard(m: Models) -> DataFrame:
@@ -166,6 +330,15 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "orders_incremental_full": _orders_full,
     "orders_incremental_batch": _orders_batch,
     "orders_incremental_merged": _orders_merged,
+    "orders_schema_evolution": _orders_evolved,
+    "orders_moved": _orders_moved,
+    "orders_interleaved": _orders_by_any,
+    "csv_quarantine": _csv_rejects,
+    "raw_orders_compacted": _raw_compacted,
+    "mart_revenue_maintained": _revenue_maintained,
+    "customer_360_from_state": _from_state,
+    "channel_visitors": _channel_visitors,
+    "cohort_retention_from_bits": _retention_from_bits,
     "order_versions": _order_versions,
     "customer_cohorts": lambda m: retention.customer_cohorts(m.stg_orders),
     "cohort_sizes": lambda m: retention.cohort_sizes(retention.customer_cohorts(m.stg_orders)),
@@ -216,7 +389,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         from shoplens.llm.queries import QUERIES
 
         found |= QUERIES
-    if _present("corpus_pipeline"):
+    if _present("shoplens.llm") and _present("corpus_pipeline"):
         import corpus_pipeline
 
         found["pipeline"] = corpus_pipeline.run
@@ -230,7 +403,7 @@ def oracle_sql() -> dict[str, str]:
         from shoplens.llm.queries import ORACLES
 
         found |= ORACLES
-    if _present("corpus_pipeline"):
+    if _present("shoplens.llm") and _present("corpus_pipeline"):
         import corpus_pipeline
 
         if corpus_pipeline.ORACLE_SQL:

@@ -11,6 +11,7 @@ import re
 
 AS_OF = "2001-08-02"
 FIRST_LOAD_BEFORE = "2001-01-01"
+LAST_MONTH = "2001-07-01"
 DASHBOARD_SINCE = "2001-02-01"
 LOOKUP_CUSTOMER = "8"
 
@@ -242,11 +243,18 @@ _IDS = {
 }
 
 
+def _row_text(columns: str) -> str:
+    written = [
+        rf"coalesce(replace(replace(cast({c.strip()} as varchar), '\', '\\'), '|', '\|'), '\N')"
+        for c in columns.split(",")
+    ]
+    return " || '|' || ".join(written)
+
+
 def _missing(table: str, column: str, rows: str) -> str:
-    ids = ", ".join(f"cast({c.strip()} as varchar)" for c in _IDS[table].split(","))
     return f"""
         select '{table}' model, '{column}' column_name, 'not_null' test,
-          concat_ws('|', {ids}) row_key from ({rows}) where {column} is null"""
+          {_row_text(_IDS[table])} row_key from ({rows}) where {column} is null"""
 
 
 def _outside(table: str, column: str, rows: str, accepted: str) -> str:
@@ -387,13 +395,50 @@ _QUERIES = {
         [_repeated(*u) for u in _UNIQUE[:6]] + [_repeated("lineitem", "line_key", _LINES)]
     ),
     "dq_not_null": " union all ".join(_missing(*check) for check in _NOT_NULL[:12]),
-    "order_versions": """
+    "orders_schema_evolution": """
+        select order_id, customer_id, order_date, order_month,
+          case when order_month = date '2001-01-01' then status || ', seen again'
+            else status end status,
+          cast(net as double) net_amount,
+          case when order_date >= timestamp '2001-01-01'
+            then case when quantity > 3 then 'large' else 'small' end end basket
+        from o""",
+    "orders_moved": _LOADED,
+    "orders_interleaved": f"""
+        select 'order_date' lookup, order_id, cast(net as double) net_amount from o
+        where order_date >= timestamp '{FIRST_LOAD_BEFORE}'
+        union all select 'customer_id', order_id, cast(net as double) from o
+        where customer_id = '{LOOKUP_CUSTOMER}'
+        union all select 'net_amount', order_id, cast(net as double) from o where net > 400""",
+    "csv_quarantine": """
+        select cast(p_partkey as varchar) product_id,
+          case when p_partkey % 50 <> 0 and p_partkey % 61 <> 0 then 25.5::double end unit_price,
+          case when p_partkey % 50 = 0 then 'unit_price is not of type double'
+            when p_partkey % 61 = 0 then 'wrong number of fields' end reason
+        from part where p_partkey % 71 <> 0""",
+    "raw_orders_compacted": """
+        select order_id, customer_id, order_date, raw_status status, cast(amount as double) amount,
+          cast(discount as double) discount, cast(shipping as double) shipping_cost, product_id,
+          quantity from orders_in""",
+    "mart_revenue_maintained": _REVENUE,
+    "customer_360_from_state": "select * exclude (net) from c360",
+    "channel_visitors": """
+        select period, cast(date_trunc(period, session_date) as date) period_start, channel,
+          channel_group, count(distinct customer_id) unique_visitors
+        from s, (values ('day'), ('week'), ('month')) p(period) group by all""",
+    "cohort_retention_from_bits": """
+        select cohort_month, cast(date_diff('month', cohort_month, order_date) as int)
+            months_since_cohort, count(distinct customer_id) active_customers, cohort_size,
+          round(count(distinct customer_id) * 100 / cohort_size, 1) retention_rate
+        from paid join cohorts using (customer_id) join sizes using (cohort_month)
+        group by 1, 2, cohort_size""",
+    "order_versions": f"""
         select * exclude (nth) from (
           select *, row_number() over (partition by order_id
                                        order by loaded_at desc nulls last, digest desc) nth
           from (
             select order_id, status, loaded_at,
-              md5(concat_ws('|', order_id, status, cast(order_date as varchar))) digest
+              md5({_row_text('order_id, status, order_date')}) digest
             from (
               select order_id, raw_status status, order_date, order_date loaded_at
                 from orders_in where o_orderkey % 4 <> 0

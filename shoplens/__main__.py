@@ -1,6 +1,6 @@
 """Command line: load seeds, build the marts, run the checks.
 
-    python -m shoplens seed --root R [--append] raw_products=products.csv ...
+    python -m shoplens seed --root R [--append] [--most-bad SHARE] raw_products=products.csv ...
     python -m shoplens run --root R [--as-of DAY] [--select MART ...] [--publish]
     python -m shoplens test --root R
 """
@@ -16,6 +16,7 @@ from shoplens.plans.build import MARTS, StoredRaw, build_all, check_all, read_al
 from shoplens.plans.catalog import publish
 from shoplens.session import sized_session
 from shoplens.sources import RAW_SCHEMAS, load_raw, read_csv
+from shoplens.sources.quarantine import load_csv
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -24,6 +25,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     seed = commands.add_parser("seed", help="load CSV files as raw tables")
     seed.add_argument("files", nargs="+", metavar="TABLE=CSV")
     seed.add_argument("--append", action="store_true", help="keep the rows that are there")
+    seed.add_argument(
+        "--most-bad", type=float, help="keep bad lines aside, up to this share; else they raise"
+    )
     run = commands.add_parser("run", help="build marts")
     run.add_argument("--select", nargs="+", choices=MARTS, default=MARTS)
     run.add_argument("--full-refresh", action="store_true")
@@ -51,8 +55,15 @@ def main(argv: list[str] | None = None) -> int:
             table, _, path = item.partition("=")
             if table not in RAW_SCHEMAS:
                 raise SystemExit(f"{table} is none of {', '.join(RAW_SCHEMAS)}")
-            rows = read_csv(spark, path, table)
-            load_raw(rows, table, table_path(args.root, "raw", table), append=args.append)
+            to = table_path(args.root, "raw", table)
+            if args.most_bad is None:
+                load_raw(read_csv(spark, path, table), table, to, append=args.append)
+                continue
+            rejected = table_path(args.root, "raw", f"{table}_rejected")
+            good, bad = load_csv(
+                spark, path, table, to, rejected, most_bad=args.most_bad, append=args.append
+            )
+            print(f"{table}: {good} lines loaded, {bad} rejected")
         return 0
     raw = StoredRaw(spark, args.root)
     if args.command == "run":

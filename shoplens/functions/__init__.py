@@ -23,11 +23,11 @@ from shoplens.functions.money import (
     percent,
     safe_divide,
 )
-from shoplens.functions.text import clean, title_case
+from shoplens.functions.text import clean, row_text, title_case
 
 __all__ = [
     "MONEY", "RAW_MONEY", "TOTAL", "as_of_date", "cents_to_dollars", "clean", "day_boundaries",
     "day_of_week", "decimal_mean", "exact_mean", "first_match", "money", "money_mean", "money_sum",
-    "month_boundaries", "month_start", "percent", "quarter_start", "safe_divide", "title_case",
-    "true_or_false", "week_start",
+    "month_boundaries", "month_start", "percent", "quarter_start", "row_text", "safe_divide",
+    "title_case", "true_or_false", "week_start",
 ]

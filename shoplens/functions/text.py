@@ -27,3 +27,16 @@ def title_case(c: Column) -> Column:
     spaced = F.regexp_replace(text, f"({_MISSED})", "$1" + _BREAK)
     punctuated = F.replace(F.initcap(spaced), F.lit(_BREAK), F.lit(""))
     return F.when(text.rlike(_MISSED), punctuated).otherwise(F.initcap(text))
+
+
+def row_text(*columns: Column | str) -> Column:
+    """Values joined by ``|``, so that different rows give different texts, NULL among them.
+
+    NULL is ``\\N``; backslashes and bars within a value follow a backslash.
+    """
+
+    def written(c: Column) -> Column:
+        text = F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+    return F.concat_ws("|", *[written(F.col(c) if isinstance(c, str) else c) for c in columns])

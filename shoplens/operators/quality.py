@@ -6,12 +6,14 @@ with one pass per table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shoplens.functions import row_text
+
 
 @dataclass(frozen=True)
 class RowCheck:
@@ -107,46 +109,75 @@ class Relationship:
 Check = RowCheck | Unique | Relationship
 
 
-def _label(df: DataFrame, check: Check, *columns: Column | str) -> DataFrame:
-    return df.select(
-        F.lit(check.table).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.name).alias("test"),
-        *columns,
-    )
-
-
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
 def value_failures(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing values of several checks and their number of rows."""
-    frames = []
-    for check in checks:
-        by_value = isinstance(check, AcceptedValues)
-        failing = check.failing_values(tables) if by_value else check.failing_rows(tables)
-        frames.append(_label(failing, check, F.col("value").cast("string").alias("value"), "rows"))
-    return union_all(frames)
+    """Failing values of several checks and their number of rows.
+
+    Every table is read once, and values of all checks meet in one aggregation.
+    """
+    checks = list(checks)
+    rows = _inlined(
+        _findings(checks, lambda value: [value.alias("value")], by_value=True), tables
+    )
+    values = rows.groupBy("number", "value").agg(
+        F.sum("child").alias("rows"), F.sum("parent").alias("parents")
+    )
+    once = F.col("number").isin([k for k, c in enumerate(checks) if isinstance(c, Unique)])
+    fails = F.when(once, F.col("rows") > 1).otherwise((F.col("rows") > 0) & (F.col("parents") == 0))
+    named = _label_of(checks, F.col("number"))
+    return values.filter(fails).select(
+        *(named[name].alias(name) for name in ("model", "column_name", "test")), "value", "rows"
+    )
 
 
 def missing_values(
     checks: Iterable[NotNull], tables: Mapping[str, DataFrame], row_keys: Mapping[str, Sequence[str]]
 ) -> DataFrame:
-    """The rows that fail ``NotNull`` checks, named by the columns that tell a table's rows apart."""
-    frames = []
+    """The rows that fail ``NotNull`` checks, named by the columns that tell a table's rows apart.
+
+    Every table is read once.
+    """
+    entries: dict[str, list[Column]] = {}
     for check in checks:
-        names = [F.col(c).cast("string") for c in row_keys[check.table]]
-        key = F.concat_ws("|", *names).alias("row_key")
-        frames.append(_label(check.failing_rows(tables), check, key))
-    return union_all(frames)
+        failure = F.struct(*_names(check), row_text(*row_keys[check.table]).alias("row_key"))
+        entries.setdefault(check.table, []).append(F.when(check.fails(), failure))
+    return _inlined(entries, tables)
+
+
+def _names(check: Check) -> list[Column]:
+    return [
+        F.lit(check.table).alias("model"), F.lit(check.column).alias("column_name"),
+        F.lit(check.name).alias("test"),
+    ]
+
+
+def _label_of(checks: Sequence[Check], number: Column) -> Column:
+    return F.array(*(F.struct(*_names(c)) for c in checks))[number]
 
 
-def _findings(checks: list[Check]) -> dict[str, list[Column]]:
+def _inlined(entries: Mapping[str, list[Column]], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The entries of each row of each table that are not NULL, as rows."""
+    return union_all(
+        tables[name].select(F.inline(F.filter(F.array(*own), lambda e: e.isNotNull())))
+        for name, own in entries.items()
+    )
+
+
+def _hashed(value: Column) -> list[Column]:
+    """128 bits of hash, which makes a collision as good as impossible."""
+    return [F.xxhash64(value).alias("high"), F.xxhash64(F.lit(1), value).alias("low")]
+
+
+def _findings(
+    checks: list[Check], shown: Callable[[Column], list[Column]] = _hashed, by_value: bool = False
+) -> dict[str, list[Column]]:
     """For each table what a row of it adds to each check; NULL where it adds nothing.
 
     ``child`` counts a failing row, a value, or a value that needs a parent, ``parent`` a parent.
-    Values travel as 128 bits of hash, which makes a collision as good as impossible.
+    Values travel as ``shown``; those that fail on their own only with ``by_value``.
     """
     found: dict[str, list[Column]] = {}
 
@@ -154,8 +185,7 @@ def _findings(checks: list[Check]) -> dict[str, list[Column]]:
         text = value.cast("string")
         entry = F.struct(
             F.lit(number).alias("number"),
-            F.xxhash64(text).alias("high"),
-            F.xxhash64(F.lit(1), text).alias("low"),
+            *shown(text),
             F.lit(int(not parent)).alias("child"),
             F.lit(int(parent)).alias("parent"),
         )
@@ -163,7 +193,8 @@ def _findings(checks: list[Check]) -> dict[str, list[Column]]:
 
     for number, check in enumerate(checks):
         if isinstance(check, RowCheck):
-            add(check.table, number, check.fails(), F.lit(None))
+            value = F.col(check.column) if by_value else F.lit(None)
+            add(check.table, number, check.fails(), value)
             continue
         value = F.col(check.column)
         add(check.table, number, value.isNotNull(), value)
@@ -180,10 +211,7 @@ def report(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFram
     of which each task first reduces its own rows.
     """
     checks = list(checks)
-    rows = union_all(
-        tables[name].select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
-        for name, entries in _findings(checks).items()
-    )
+    rows = _inlined(_findings(checks), tables)
     values = rows.groupBy("number", "high", "low").agg(
         F.sum("child").alias("child"), F.sum("parent").alias("parent")
     )
@@ -199,11 +227,7 @@ def report(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFram
     counted = values.groupBy("number").agg(F.sum(failures).alias("failures"))
     names = F.array(
         *[
-            F.struct(
-                F.lit(k).alias("number"), F.lit(c.table).alias("model"),
-                F.lit(c.column).alias("column_name"), F.lit(c.name).alias("test"),
-            )
-            for k, c in enumerate(checks)
+            F.struct(F.lit(k).alias("number"), *_names(c)) for k, c in enumerate(checks)
         ]
     )
     listed = rows.sparkSession.range(1).select(F.inline(names))

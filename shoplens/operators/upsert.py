@@ -1,7 +1,9 @@
 """Keeping a stored table current by key.
 
 Plain Parquet tables have no merge statement. The partitions a batch touches are rewritten from
-their surviving rows and the batch; all others keep their files.
+their surviving rows and the batch; all others keep their files, and are not opened either: a key
+table says where the batch's keys may lie. Columns that a batch adds or drops change the schema
+kept beside the table.
 """
 
 from __future__ import annotations
@@ -12,8 +14,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from shoplens.operators.layout import Layout
+from shoplens.operators.locator import KeyLocator
 from shoplens.session import scratch_path
 from shoplens.sources.storage import delete_folder, delete_partition
+from shoplens.sources.table_schema import TableSchema, store_schema, stored_schema
 
 
 class DuplicateKeys(ValueError):
@@ -54,6 +58,11 @@ def upsert_table(
     ``removed`` go. With ``newer``, columns that order the versions of a row (NULL comes first), a
     row gives way only to one that is not older.
 
+    Only partitions that may hold a key of the batch are opened, whichever month a row moves from.
+    Columns that the batch adds are NULL in older rows, those it lacks are dropped; neither touches
+    the files of other partitions. A column of another type, or one that had been dropped before,
+    has every partition rewritten.
+
     The batch is written to the shared scratch folder first: it is used several times, its size
     is then known to the planner, and a lost executor repeats a scan instead of the whole plan.
     Rewritten partitions replace the old ones when the job commits, one rename each. Partitions
@@ -64,6 +73,7 @@ def upsert_table(
         layout.replace(
             batch, path, lambda rows: _refuse_repeats(_summary(rows, key).collect(), key, path)
         )
+        store_schema(spark, path, TableSchema(batch.schema))
         return
     staged: list[str] = []
 
@@ -74,11 +84,18 @@ def upsert_table(
 
     try:
         batch = stage(batch)
+        gone = None if removed is None else stage(removed.select(key).distinct())
+        (partition,) = layout.partition_by
+        target = _as_partitioned(spark, path, target, batch.schema[partition])
+        keys = batch.select(key) if gone is None else batch.select(key).unionAll(gone)
+        locator = KeyLocator.of(target, path, key, batch.schema[partition])
+        # other partitions have no row that the batch concerns
+        near = target.filter(any_of(partition, locator.places(keys)))
         known = [c for c in newer if c in target.columns]
         if known:
-            batch = stage(_not_older(batch, target, key, known))
-        gone = None if removed is None else stage(removed.select(key).distinct())
-        _put(spark, path, target, batch, gone, key, layout)
+            batch = stage(_not_older(batch, near, key, known))
+            keys = batch.select(key) if gone is None else batch.select(key).unionAll(gone)
+        _put(spark, path, target, near, batch, keys, key, layout, locator)
     finally:
         for folder in staged:
             delete_folder(spark, folder)
@@ -106,17 +123,13 @@ def _not_older(batch: DataFrame, target: DataFrame, key: str, newer: Sequence[st
 
 
 def _put(
-    spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, gone: DataFrame | None,
-    key: str, layout: Layout,
+    spark: SparkSession, path: str, target: DataFrame, near: DataFrame, batch: DataFrame,
+    keys: DataFrame, key: str, layout: Layout, locator: KeyLocator,
 ) -> None:
     (partition,) = layout.partition_by
-    target = _as_partitioned(spark, path, target, batch.schema[partition])
-    keys = batch.select(key)
-    if gone is not None:
-        keys = keys.unionAll(gone)
     # one query for all that is to be known
     places = _summary(batch, key, partition).withColumn("gains", F.lit(True)).unionByName(
-        _partitions_holding(target, keys, key, partition).select(
+        _partitions_holding(near, keys, key, partition).select(
             "place", F.lit(1).cast("bigint").alias("n"), F.lit(False).alias("gains")
         )
     ).collect()
@@ -125,18 +138,22 @@ def _put(
     holding = {r["place"] for r in places if not r["gains"]}
     emptied = holding - gaining
     if emptied:
-        left = target.filter(_any_of(partition, emptied))
+        left = target.filter(any_of(partition, emptied))
         emptied -= _values(left.join(keys, key, "left_anti"), partition)
 
-    if _types(target) == _types(batch):
-        if not gaining and not holding:
-            return
-        target = target.filter(_any_of(partition, gaining | holding))
-    # with other columns than before, every partition is rewritten to the new ones
-    merged = align(target, batch).join(keys, key, "left_anti").unionByName(batch)
-    layout.replace_partitions(merged, path)
-    for value in emptied:
-        delete_partition(spark, path, partition, value)
+    before = stored_schema(spark, path) or TableSchema(target.schema)
+    now = before.after(batch.schema)
+    locator.add(batch)
+    if now is not None:
+        target = target.filter(any_of(partition, gaining | holding))
+    # otherwise old files cannot be read as the new columns, and every partition is rewritten
+    if now is None or gaining or holding:
+        merged = align(target, batch).join(keys, key, "left_anti").unionByName(batch)
+        layout.replace_partitions(merged, path)
+        for value in emptied:
+            delete_partition(spark, path, partition, value)
+    if now is None or now.dropped != before.dropped or _types(batch) != _types(target):
+        store_schema(spark, path, now or TableSchema(batch.schema))
 
 
 def _as_partitioned(
@@ -157,8 +174,7 @@ def _partitions_holding(
 ) -> DataFrame:
     """Partitions (``place``) with rows of these keys.
 
-    The whole key column is looked through, as a row may have moved from anywhere. Keys travel as
-    64-bit hashes: a collision only rewrites a partition in vain.
+    Keys travel as 64-bit hashes: a collision only rewrites a partition in vain.
     """
     hashed = F.xxhash64(key).alias("hashed")
     found = target.select(hashed, partition).join(keys.select(hashed), "hashed", "left_semi")
@@ -174,6 +190,7 @@ def _types(df: DataFrame) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema}
 
 
-def _any_of(name: str, values: set) -> Column:
+def any_of(name: str, values: set) -> Column:
+    """Whether a column has one of a few values, NULL among them if it is listed."""
     chosen = F.col(name).isin([v for v in values if v is not None])
     return chosen | F.col(name).isNull() if None in values else chosen

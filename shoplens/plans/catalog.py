@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from shoplens.plans.build import table_path
 from shoplens.sources.storage import folder_names
+from shoplens.sources.table_schema import stored_schema
 
 LAYERS = ("raw", "marts")
 MOVED = (".new-", ".old-")
@@ -26,8 +27,21 @@ def publish(spark: SparkSession, root: str) -> list[str]:
                 continue
             table, path = f"{layer}.{name}", table_path(root, layer, name)
             spark.sql(f"drop table if exists {table}")
-            spark.catalog.createTable(table, path=path, source="parquet")
+            _create(spark, table, path)
             if any(c.isPartition for c in spark.catalog.listColumns(table)):
                 spark.catalog.recoverPartitions(table)
             names.append(table)
     return names
+
+
+def _create(spark: SparkSession, table: str, path: str) -> None:
+    kept = stored_schema(spark, path)
+    if kept is None:
+        spark.catalog.createTable(table, path=path, source="parquet")
+        return
+    # folders of partitions are named after their column
+    names = {name.partition("=")[0] for name in folder_names(spark, path) if "=" in name}
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.columns)
+    parts = ", ".join(f"`{name}`" for name in sorted(names))
+    by = f"partitioned by ({parts}) " if parts else ""
+    spark.sql(f"create table {table} ({columns}) using parquet {by}location '{path}'")

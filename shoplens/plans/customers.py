@@ -91,12 +91,19 @@ def customer_360(
     as_of: dt.date | None = None,
 ) -> DataFrame:
     """One row per customer. Both sides are totalled before they are joined on the same key."""
+    return customer_view(customers, customer_orders(orders, as_of), customer_sessions(sessions))
+
+
+def customer_view(
+    customers: DataFrame, order_totals: DataFrame, session_totals: DataFrame
+) -> DataFrame:
+    """The 360 view from the totals of ``customer_orders`` and ``customer_sessions``."""
 
     def known(name: str, default: int = 0) -> Column:
         return F.coalesce(name, F.lit(default))
 
-    joined = customers.join(customer_orders(orders, as_of), "customer_id", "left").join(
-        customer_sessions(sessions), "customer_id", "left"
+    joined = customers.join(order_totals, "customer_id", "left").join(
+        session_totals, "customer_id", "left"
     )
     revenue = known("total_net_revenue")
     days_idle = known("days_since_last_order", NEVER_ORDERED_DAYS)

@@ -14,6 +14,9 @@ from shoplens.plans.revenue import PRODUCT_COLUMNS, with_dimensions
 from shoplens.sources import read_table
 from shoplens.sources.storage import partition_texts
 
+BY_MONTH = Layout(partition_by=("order_month",), cluster_by=("order_date",))
+# for readers that ask for a stretch of time, a customer or a price, each alone
+ORDERS_BY_ANY = Layout(interleave_by=("order_date", "customer_id", "net_amount"))
 ORDERS_LAYOUT = Layout(partition_by=("order_month",), cluster_by=("category",))
 
 

@@ -36,6 +36,11 @@ def cohort_retention(orders: DataFrame) -> DataFrame:
         .groupBy("cohort", month_boundaries(F.col("cohort"), F.col("month")).alias("later"))
         .agg(F.count("*").alias("active_customers"))
     )
+    return retention_grid(grid)
+
+
+def retention_grid(grid: DataFrame) -> DataFrame:
+    """Sizes and shares for ``cohort, later, active_customers``, in order."""
     # every member is active in the first month, which therefore counts the cohort
     members = F.max(F.when(F.col("later") == 0, F.col("active_customers")))
     size = members.over(Window.partitionBy("cohort"))

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from shoplens.sources.schemas import LOADED_AT, RAW_SCHEMAS
 from shoplens.sources.storage import replace_table
+from shoplens.sources.table_schema import stored_schema
 
 # raw rows lie in ranges of these columns, by which readers look for what is new
 ARRIVAL_ORDER = {"raw_orders": "order_date"}
@@ -32,7 +33,13 @@ def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stored table, or None where nothing has been written yet."""
+    """A stored table, or None where nothing has been written yet.
+
+    Its columns are those kept beside it; without these, those of its files.
+    """
+    kept = stored_schema(spark, path)
+    if kept:
+        return spark.read.schema(kept.columns).parquet(path)
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:

@@ -20,6 +20,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def delete_file(spark: SparkSession, path: str) -> None:
+    """Deletes a file if it is there."""
+    file, files = _folder(spark, path)
+    files.delete(file, False)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders inside one; none if it does not exist."""
     folder, files = _folder(spark, path)
@@ -28,6 +34,41 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right in a folder; none if it does not exist."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if s.isFile()]
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """How many files there are anywhere below a folder."""
+    folder, files = _folder(spark, path)
+    return files.getContentSummary(folder).getFileCount()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    file, files = _folder(spark, path)
+    stream = files.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, by_way_of: str) -> None:
+    """A small file, moved to ``path``, where nothing may lie yet, once it is written."""
+    file, files = _folder(spark, by_way_of)
+    stream = files.create(file, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    _rename(spark, by_way_of, path)
+
+
 def replace_table(
     spark: SparkSession,
     path: str,
@@ -61,6 +102,11 @@ def replace_table(
     delete_folder(spark, old)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Moves a folder or file to where nothing lies."""
+    _rename(spark, path, to)
+
+
 def _rename(spark: SparkSession, path: str, to: str) -> None:
     folder, files = _folder(spark, path)
     if not files.rename(folder, _folder(spark, to)[0]):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF
+from shoplens.operators import locator
 from shoplens.operators.layout import Layout
 from shoplens.operators.upsert import DuplicateKeys, upsert, upsert_table
 from shoplens.plans import orders, staging
@@ -88,16 +89,76 @@ def test_repeated_keys_in_a_batch_are_refused(table):
     assert table.rows() == [("1", "a", "x")]
 
 
-def test_columns_follow_the_batch(spark, table):
-    table([("1", "a", "x"), ("2", "b", "y")])
-    table([("2", "B", "y", 5)], "id string, v string, part string, extra int")
-    got = {r.id: (r.v, r.extra) for r in spark.read.parquet(table.path).collect()}
-    assert got == {"1": ("a", None), "2": ("B", 5)}
+def test_columns_follow_the_batch_and_other_partitions_keep_their_files(spark, table):
+    table([("1", "a", "x"), ("2", "b", "y"), ("4", "d", "z")])
+    untouched, others = files(table.path, "x"), files(table.path, "z")
+    wider = "id string, v string, part string, extra int"
+    table([("2", "B", "y", 5)], wider)
+    got = {r.id: (r.v, r.extra) for r in read_table(spark, table.path).collect()}
+    assert got == {"1": ("a", None), "2": ("B", 5), "4": ("d", None)}
     table([("3", "c", "y")])
-    assert set(spark.read.parquet(table.path).columns) == {"id", "v", "part"}
-    assert table.rows() == [("1", "a", "x"), ("2", "B", "y"), ("3", "c", "y")]
+    assert set(read_table(spark, table.path).columns) == {"id", "v", "part"}
+    assert table.rows() == [("1", "a", "x"), ("2", "B", "y"), ("3", "c", "y"), ("4", "d", "z")]
     table([], "id string, v string, part string, later int")
-    assert {f.name for f in spark.read.parquet(table.path).schema} == {"id", "v", "part", "later"}
+    assert set(read_table(spark, table.path).columns) == {"id", "v", "part", "later"}
+    assert files(table.path, "x") == untouched and files(table.path, "z") == others
+
+
+def test_a_column_that_comes_back_does_not_bring_its_old_values(spark, table):
+    wider = "id string, v string, part string, extra int"
+    table([("1", "a", "x", 1), ("2", "b", "y", 2)], wider)
+    table([("2", "b", "y")])
+    table([("3", "c", "y", 3)], wider)
+    got = {r.id: r.extra for r in read_table(spark, table.path).collect()}
+    assert got == {"1": None, "2": None, "3": 3}
+
+
+def test_a_column_of_another_type(spark, table):
+    table([("1", "7", "x"), ("2", "8", "y")])
+    table([("2", 9, "y")], "id string, v int, part string")
+    assert table.rows() == [("1", 7, "x"), ("2", 9, "y")]
+    table([("1", 5, "y")], "id string, v int, part string")
+    assert table.rows() == [("1", 5, "y"), ("2", 9, "y")]
+
+
+def spoil(path, part):
+    """Makes the files of a partition unreadable."""
+    for file in Path(path, f"part={part}").glob("*.parquet"):
+        file.write_bytes(b"x" * file.stat().st_size)
+        Path(path, f"part={part}", f".{file.name}.crc").unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_partitions_without_a_key_of_the_batch_are_not_opened(spark, table, monkeypatch, buckets):
+    monkeypatch.setattr(locator, "KEYS_PER_BUCKET", -(-6 // buckets))
+    monkeypatch.setattr(locator, "MOST_FILES", 2)
+    table([(str(k), "v", "xyz"[k // 2]) for k in range(6)])
+    table([("0", "w", "x")])
+    spoil(table.path, "z")
+    # moved, changed and new, and a key moved twice
+    table([("1", "m", "y"), ("2", "c", "y"), ("9", "n", "x")])
+    table([("1", "m", "x"), ("10", "n", "new")])
+    # the former place of a key is looked at in vain, others never
+    table([("1", "again", "x")])
+    left = read_table(spark, table.path).filter("part <> 'z'").collect()
+    assert sorted((r.id, r.v, r.part) for r in left) == [
+        ("0", "w", "x"), ("1", "again", "x"), ("10", "n", "new"), ("2", "c", "y"), ("3", "v", "y"),
+        ("9", "n", "x")]
+    # keys of the other partition are found there
+    with pytest.raises(Exception, match="not a Parquet file"):
+        table([("4", "v", "x")])
+
+
+def test_a_table_replaced_as_a_whole_gets_its_keys_anew(spark, table):
+    table([("1", "a", "x"), ("2", "b", "y")])
+    table([("1", "A", "x")])
+    upsert_table(
+        spark, table.path, None, spark.createDataFrame([("5", "e", "x"), ("6", "f", "y")],
+                                                       "id string, v string, part string"),
+        "id", LAYOUT,
+    )
+    table([("5", "E", "z"), ("1", "new", "y")])
+    assert table.rows() == [("1", "new", "y"), ("5", "E", "z"), ("6", "f", "y")]
 
 
 def test_upsert_of_frames(spark):
@@ -180,7 +241,7 @@ def test_removed_keys_go_and_older_versions_stay_out(spark, tmp_path):
             LAYOUT, newer=("at", "tie"),
             removed=spark.createDataFrame([(k,) for k in removed], "id string"),
         )
-        return sorted((r.id, r.v) for r in spark.read.parquet(path).collect())
+        return sorted((r.id, r.v) for r in read_table(spark, path).collect())
 
     assert put([("1", "a", "x", 5, "m"), ("2", "b", "y", None, "m")]) == [("1", "a"), ("2", "b")]
     assert put([("1", "old", "x", 4, "z"), ("2", "new", "y", 1, "a")]) == [("1", "a"), ("2", "new")]
