@@ -6,7 +6,7 @@ that can be read back, ``read_back`` does so. All of it is built-in Spark functi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 EVENT_COLUMNS = ("conv_id", "seq", "message_id", "kind", "role", "text")
 TURN_END = "</turn>\n"
@@ -31,35 +31,39 @@ def unescape(text: Column, codes=TEXT_CODES) -> Column:
     return text
 
 
-def _fold(event_list: Column) -> Column:
-    """The final state of one message from its sorted events."""
-
-    def step(state: Column, e: Column) -> Column:
-        kind, text = e["kind"], F.coalesce(e["text"], F.lit(""))
-        begins = kind == "message"
-        return F.struct(
-            F.least(state["start"], e["seq"]).alias("start"),
-            F.when(kind == "regenerate", e["seq"]).otherwise(state["redone"]).alias("redone"),
-            F.coalesce(F.when(begins, e["role"]), state["role"], e["role"]).alias("role"),
-            F.when(begins | kind.isin("edit", "regenerate"), F.array(text))
-            .when(kind == "delta", F.concat(state["parts"], F.array(text)))
-            .when(kind == "delete", F.array().cast("array<string>"))
-            .otherwise(state["parts"])
-            .alias("parts"),
-            F.when(kind == "delete", F.lit(False))
-            .when(kind.isin("message", "edit", "regenerate", "delta"), F.lit(True))
-            .otherwise(state["alive"])
-            .alias("alive"),
-        )
+BEGINS = ("message", "edit", "regenerate")
+
+
+def _fold(sorted_logs: DataFrame) -> DataFrame:
+    """``conv_id, start, redone, role, text`` of messages from their sorted events ``log``.
 
-    empty = F.struct(
-        F.lit(None).cast("long").alias("start"),
-        F.lit(None).cast("long").alias("redone"),
-        F.lit(None).cast("string").alias("role"),
-        F.array().cast("array<string>").alias("parts"),
-        F.lit(False).alias("alive"),
+    What came before the last event that sets the text anew has no part in it, so the log is looked
+    through a few times, however many deltas it has. A message without any text event is gone.
+    """
+    # from 1; nothing in a lambda refers to it, as it would be found anew for each event
+    last = F.array_max(
+        F.transform("log", lambda e, k: F.when(e["kind"].isin(*BEGINS, "delete"), k + 1))
+    )
+    tail = F.slice("log", F.coalesce(last, F.lit(1)), F.size("log"))
+    parts = F.filter(tail, lambda e: e["kind"].isin(*BEGINS, "delta"))
+    begun = F.filter("log", lambda e: (e["kind"] == "message") & e["role"].isNotNull())
+    named = F.filter("log", lambda e: e["role"].isNotNull())
+    redone = F.filter("log", lambda e: e["kind"] == "regenerate")
+    return (
+        sorted_logs.withColumn("parts", parts)
+        .filter(F.size("parts") > 0)
+        .select(
+            "conv_id",
+            F.array_min(F.col("log.seq")).alias("start"),
+            F.try_element_at(redone, F.lit(-1))["seq"].alias("redone"),
+            F.coalesce(
+                F.try_element_at(begun, F.lit(-1)), F.try_element_at(named, F.lit(1))
+            )["role"].alias("role"),
+            F.array_join(
+                F.transform("parts", lambda e: F.coalesce(e["text"], F.lit(""))), ""
+            ).alias("text"),
+        )
     )
-    return F.aggregate(event_list, empty, step)
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
@@ -80,29 +84,52 @@ def reconstruct(events: DataFrame) -> DataFrame:
     whole = events.filter(
         F.col("message_id").isNull() & F.coalesce(F.col("kind") == "message", F.lit(True))
     ).select("conv_id", "seq", "role", F.coalesce("text", F.lit("")).alias("text"))
-    folded = (
+    logs = (
         events.filter(F.col("message_id").isNotNull())
         .groupBy("conv_id", "message_id")
         .agg(F.sort_array(F.collect_list(F.struct("seq", "kind", "role", "text"))).alias("log"))
-        .select("conv_id", _fold(F.col("log")).alias("m"))
     )
-    messages = folded.filter("m.alive").select(
-        "conv_id", "m.start", "m.role", F.array_join("m.parts", "").alias("text")
+    regenerated = (
+        events.filter((F.col("kind") == "regenerate") & F.col("message_id").isNotNull())
+        .select("conv_id").distinct()
+    )
+    folded = _fold(logs)
+    whole = whole.select(
+        "conv_id", F.col("seq").alias("start"), F.lit(None).cast("long").alias("redone"), "role",
+        "text",
+    )
+    messages = folded.unionByName(whole)
+    discarded = _discarded(messages, regenerated)
+    gone = messages["conv_id"].eqNullSafe(discarded["gone_conv"]) & (
+        messages["start"] == discarded["gone_start"]
+    )
+    return messages.join(discarded, gone, "left_anti").select(
+        "conv_id", F.col("start").alias("seq"), "role", "text"
+    )
+
+
+def _discarded(messages: DataFrame, regenerated: DataFrame) -> DataFrame:
+    """``gone_conv, gone_start``: the places of messages that a regeneration discards.
+
+    They lie between a place where a message began and one where it was begun again. Only the
+    places of conversations with a regeneration are looked at, each once, in order: one is inside if
+    the furthest regeneration of all that began before it lies behind it.
+    """
+    # as a name of its own, since both sides come from the same events
+    regenerated = regenerated.select(F.col("conv_id").alias("again_conv"))
+    places = messages.select("conv_id", "start", "redone").join(
+        regenerated, F.col("conv_id").eqNullSafe(F.col("again_conv")), "left_semi"
     )
-    redone = (
-        folded.filter("m.redone is not null")
-        .groupBy("conv_id")
-        .agg(F.collect_set(F.struct("m.start", "m.redone")).alias("redone"))
+    places = places.filter("start is not null").groupBy("conv_id", "start").agg(
+        F.max("redone").alias("redone")
     )
-    messages = messages.unionByName(whole.withColumnRenamed("seq", "start"))
-    discarded = F.exists(
-        "redone", lambda r: (r["start"] < F.col("start")) & (F.col("start") < r["redone"])
+    before = Window.partitionBy("conv_id").orderBy("start").rowsBetween(
+        Window.unboundedPreceding, -1
     )
+    furthest = F.max("redone").over(before)
     return (
-        messages.join(redone.withColumnRenamed("conv_id", "redone_conv"),
-                      F.col("conv_id").eqNullSafe(F.col("redone_conv")), "left")
-        .filter(~F.coalesce(discarded, F.lit(False)))
-        .select("conv_id", F.col("start").alias("seq"), "role", "text")
+        places.withColumn("furthest", furthest).filter("start < furthest")
+        .select(F.col("conv_id").alias("gone_conv"), F.col("start").alias("gone_start"))
     )
 
 
@@ -121,7 +148,8 @@ def render(messages: DataFrame, learn_from: str = "assistant") -> DataFrame:
     learnt = F.when(role == learn_from, F.char_length(body)).otherwise(0)
     turns = messages.select(
         "conv_id",
-        F.floor(F.coalesce(F.col("seq"), F.lit(0)) / BLOCK).alias("block"),
+        # NULL is a block of its own, the first one
+        F.floor(F.col("seq") / BLOCK).alias("block"),
         F.struct(
             "seq", role.alias("role"), "text",
             F.concat(header, body, F.lit(TURN_END)).alias("turn"),
@@ -179,9 +207,10 @@ def read_back(rendered: DataFrame) -> DataFrame:
 
 
 def log_of_turns(turns: DataFrame) -> DataFrame:
-    """Rows ``conv_id, turn, role, text`` as a log in which each row is a whole message."""
+    """Rows ``conv_id, turn, role, text`` as a log in which each row begins a message of its own."""
     return turns.select(
-        "conv_id", F.col("turn").alias("seq"), F.lit(None).cast("string").alias("message_id"),
+        "conv_id", F.col("turn").alias("seq"),
+        F.monotonically_increasing_id().cast("string").alias("message_id"),
         F.lit("message").alias("kind"), "role", "text",
     )
 

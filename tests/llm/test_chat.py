@@ -43,6 +43,71 @@ def test_messages_without_an_id_are_whole_and_repeat(spark):
     assert rows.filter("conv_id is null").first().text == ""
 
 
+def by_hand(events):
+    """The same, event by event."""
+    order = lambda e: tuple((x is not None, x) for x in (e[1], *e[3:]))
+    convs = {}
+    for e in sorted((e for e in events if e[2] is not None), key=order):
+        convs.setdefault(e[0], {}).setdefault(e[2], []).append(e)
+    out = []
+    for conv, logs in convs.items():
+        found, redone = [], []
+        for log in logs.values():
+            role = text = again = None
+            for _, seq, _, kind, who, part in log:
+                part = part or ""
+                if kind == "message" and who is not None:
+                    role = who
+                role = who if role is None else role
+                if kind in ("message", "edit", "regenerate"):
+                    text = part
+                elif kind == "delta":
+                    text = (text or "") + part
+                elif kind == "delete":
+                    text = None
+                again = seq if kind == "regenerate" else again
+            start = min((e[1] for e in log if e[1] is not None), default=None)
+            if text is not None:
+                found.append((conv, start, role, text))
+                redone.append((start, again))
+        for m in found:
+            if not any(None not in (a, b, m[1]) and a < m[1] < b for a, b in redone):
+                out.append(m)
+    return out
+
+
+def test_random_logs_equal_a_fold_event_by_event(spark):
+    import random
+
+    rng = random.Random(4)
+    kinds = ["message", "delta", "delta", "delta", "edit", "regenerate", "delete", "other", None]
+    events = [
+        (rng.choice([None, 1, 2, 3]), rng.choice([None, *range(-20, 60)]), f"m{rng.randrange(25)}",
+         rng.choice(kinds), rng.choice([None, "user", "assistant"]), rng.choice([None, "", "a", "bc"]))
+        for _ in range(900)
+    ]
+    rows = chat.reconstruct(spark.createDataFrame(events, LOG).repartition(4)).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, rows), key=key) == sorted(by_hand(events), key=key)
+
+
+def test_a_message_of_very_many_deltas(spark):
+    n = 200_000
+    deltas = spark.range(n).selectExpr(
+        "1L as conv_id", "id as seq", "'m' as message_id",
+        "case when id % 50000 = 7 then 'edit' else 'delta' end as kind",
+        "'assistant' as role", "cast(id % 10 as string) as text",
+    )
+    (row,) = chat.reconstruct(deltas).collect()
+    assert row.text == "".join(str(k % 10) for k in range(150_007, n))
+
+
+def test_turns_without_a_number_come_first(spark):
+    turns = [(1, 3, "user", "c"), (1, None, "user", "a"), (1, -5, "user", "b"), (1, 2000, "user", "d")]
+    row = rendered(spark, turns).first()
+    assert [t.text for t in row.turns] == ["a", "b", "c", "d"]
+
+
 def rendered(spark, turns):
     log = chat.log_of_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
     return chat.read_back(chat.render(chat.reconstruct(log)))
