@@ -27,7 +27,7 @@ WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 # a word of its own, so that the words on both sides make up no phrase
 GAP = " […] "
 SAMPLING = 16
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 PHRASES_PER_PASS = 500_000
 FOLDED = bytes(
     b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32

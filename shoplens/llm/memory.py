@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from typing import TypeVar
 
+import pyarrow as pa
+
 T = TypeVar("T")
 
 
@@ -29,6 +31,7 @@ def release() -> None:
     """Empties caches and hands freed memory back to the system, where the C library can do so."""
     for drop in _caches:
         drop()
+    pa.default_memory_pool().release_unused()
     trim = _trim()
     if trim:
         trim(0)

@@ -22,6 +22,8 @@ CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 1 << 16
 REOPENED = 32
+# words whose ids a worker keeps, with some 200 bytes each
+CACHED_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECES}, bin long, offset long, reopened boolean"
 
@@ -32,7 +34,7 @@ def _pieces(path: str | None, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            texts = encoder(path).encode(list(batch["text"]))
+            texts = encoder(path, CACHED_WORDS).encode(list(batch["text"]))
             for doc_id, own in zip(batch["doc_id"], texts, strict=True):
                 ids = own + end
                 for k in range(0, len(ids), 4 * capacity):

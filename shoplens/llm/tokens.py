@@ -91,8 +91,8 @@ BYTE_LEVEL = _byte_level()
 
 
 @cache
-def encoder(path: str | None = None) -> WordEncoder:
-    """One encoder for each file and Python worker."""
-    made = WordEncoder(path or public_tokenizers.path(WORD_BPE))
+def encoder(path: str | None = None, cached: int = CACHED_WORDS) -> WordEncoder:
+    """One encoder for each file, size of its cache and Python worker."""
+    made = WordEncoder(path or public_tokenizers.path(WORD_BPE), cached)
     on_release(made.ids.clear)
     return made
