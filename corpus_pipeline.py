@@ -77,6 +77,10 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     if not short.isEmpty():
         found = decontaminate.find_leaks(found, short, LEAKED_WORDS, keep=(*COLUMNS, "leaked"))
         found = found.filter(_in_spans() <= LEAKED_SHARE * F.col("n_words"))
+    # stored, so that no task needs one Python worker to search and another one to cut
+    path = scratch_path(spark, "leaked")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
     changed = F.size("leaked") > 0
     left = decontaminate.without_spans(F.when(changed, F.col("text")), "leaked")
     cleaned = found.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
