@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import expected_sql
 from shoplens.functions import cents_to_dollars, safe_divide
 from shoplens.operators.calendar import calendar_between
+from shoplens.operators.layout import UPDATED_AT
 from shoplens.operators.quality import (
     AcceptedValues,
     Holds,
@@ -29,7 +30,7 @@ from shoplens.operators.quality import (
 from shoplens.operators.upsert import upsert_table
 from shoplens.plans import attribution, checks, customers, orders, retention, revenue
 from shoplens.plans.activity import CustomerActivity
-from shoplens.plans.build import Models
+from shoplens.plans.build import CUSTOMER_LAYOUT, Models, register_views
 from shoplens.plans.customer_state import CustomerState
 from shoplens.plans.maintained import MaintainedRevenue
 from shoplens.plans.visitors import PERIODS, ChannelVisitors
@@ -157,6 +158,22 @@ def _orders_by_any(m: Models) -> DataFrame:
     )
 
 
+def _staging_view(m: Models) -> DataFrame:
+    """Staged orders by the name of their view, with the time of the run."""
+    spark = m.stg_orders.sparkSession
+    register_views(m, FIRST_LOAD_BEFORE)
+    view = spark.sql("select * from stg_orders where is_completed")
+    return view.withColumn(UPDATED_AT, F.col(UPDATED_AT).cast("timestamp_ntz"))
+
+
+def _customer_360_stored(m: Models) -> DataFrame:
+    """The mart in the ranges of its layout, looked up by segment and churn risk."""
+    path = scratch_path(m.stg_orders.sparkSession, "customer_360")
+    CUSTOMER_LAYOUT.replace(m.mart_customer_360, path)
+    stored = read_table(m.stg_orders.sparkSession, path)
+    return stored.filter("customer_segment in ('Vip', 'New') and churn_risk = 'High Risk'")
+
+
 def _raw_compacted(m: Models) -> DataFrame:
     """Raw orders that came day by day in the last month, and in one go before it."""
     spark = m.raw.orders.sparkSession
@@ -333,6 +350,8 @@ MODELS: dict[str, Callable[[Models], DataFrame]] = {
     "orders_schema_evolution": _orders_evolved,
     "orders_moved": _orders_moved,
     "orders_interleaved": _orders_by_any,
+    "staging_view": _staging_view,
+    "customer_360_stored": _customer_360_stored,
     "csv_quarantine": _csv_rejects,
     "raw_orders_compacted": _raw_compacted,
     "mart_revenue_maintained": _revenue_maintained,

@@ -410,6 +410,10 @@ _QUERIES = {
         union all select 'customer_id', order_id, cast(net as double) from o
         where customer_id = '{LOOKUP_CUSTOMER}'
         union all select 'net_amount', order_id, cast(net as double) from o where net > 400""",
+    "staging_view": f"""select {_STAGED}, timestamp '{FIRST_LOAD_BEFORE}' dbt_updated_at
+        from o where is_completed""",
+    "customer_360_stored": """select * exclude (net) from c360
+        where customer_segment in ('Vip', 'New') and churn_risk = 'High Risk'""",
     "csv_quarantine": """
         select cast(p_partkey as varchar) product_id,
           case when p_partkey % 50 <> 0 and p_partkey % 61 <> 0 then 25.5::double end unit_price,
