@@ -16,25 +16,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from shoplens.llm.storage import Scratch
-from shoplens.llm.tokens import encoder
+from shoplens.llm.tokens import CACHED_WORDS, encoder
 
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 1 << 16
 REOPENED = 32
-# words whose ids a worker keeps, with some 200 bytes each
-CACHED_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECES}, bin long, offset long, reopened boolean"
 
 
-def _pieces(path: str | None, capacity: int, end_id: int, with_ids: bool):
+def _pieces(path: str | None, capacity: int, end_id: int, with_ids: bool, cached: int):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            texts = encoder(path, CACHED_WORDS).encode(list(batch["text"]))
+            texts = encoder(path, cached).encode(list(batch["text"]))
             for doc_id, own in zip(batch["doc_id"], texts, strict=True):
                 ids = own + end
                 for k in range(0, len(ids), 4 * capacity):
@@ -50,11 +48,11 @@ def _pieces(path: str | None, capacity: int, end_id: int, with_ids: bool):
 
 def pieces(
     docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-    tokenizer: str | None = None, with_ids: bool = False,
+    tokenizer: str | None = None, with_ids: bool = False, cached: int = CACHED_WORDS,
 ) -> DataFrame:
     """Documents as pieces of at most ``capacity`` ids, the end id included."""
     schema = PIECES + (", ids array<long>" if with_ids else "")
-    run = _pieces(tokenizer, capacity, end_id, with_ids)
+    run = _pieces(tokenizer, capacity, end_id, with_ids, cached)
     return docs.select("doc_id", "text").mapInPandas(run, schema)
 
 
@@ -103,7 +101,7 @@ def _packed(capacity: int, reopened: int):
 
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None,
-    group_pieces: int = GROUP_PIECES, reopened: int = REOPENED,
+    group_pieces: int = GROUP_PIECES, reopened: int = REOPENED, cached: int = CACHED_WORDS,
 ) -> DataFrame:
     """Where each piece of ``docs(doc_id, text)`` is placed.
 
@@ -111,10 +109,11 @@ def pack(
     each document; NULL and empty texts consist of it. Only documents of more than ``capacity`` ids
     are cut, and only their last piece may be shorter. Sequences are gapless from offset 0. Rows
     that repeat a ``doc_id`` are documents of their own; ties in length are ordered by ``doc_id``
-    and piece. Other columns are ignored, an empty table gives no rows.
+    and piece. Other columns are ignored, an empty table gives no rows. ``cached`` is how many words
+    a worker keeps the ids of, at some 200 bytes each; it changes no result.
     """
     scratch = Scratch(docs.sparkSession)
-    rest = scratch.store(pieces(docs, capacity, end_id, tokenizer), "pieces")
+    rest = scratch.store(pieces(docs, capacity, end_id, tokenizer, cached=cached), "pieces")
     n = rest.count()
     groups, level, done = max(1, -(-n // group_pieces)), 0, None
     while True:
