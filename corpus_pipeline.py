@@ -19,6 +19,8 @@ REPEATED_BYTES = 50
 LEAKED_WORDS = 10
 LEAKED_SHARE = 0.5
 CAPACITY = 4096
+# as the stages before leave an executor little memory
+CACHED_WORDS = 300_000
 
 ORACLE_SQL = None
 
@@ -95,7 +97,7 @@ def _in_spans() -> Column:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of ``CAPACITY`` tokens."""
-    return packing.pack(docs, CAPACITY)
+    return packing.pack(docs, CAPACITY, cached=CACHED_WORDS)
 
 
 STAGES = [
