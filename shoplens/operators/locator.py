@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from shoplens.sources.storage import count_files, folder_names, replace_table
+from shoplens.sources.storage import count_files, delete_folder, folder_names, replace_table
 
 PREFIX = "_keys_"
 KEYS_PER_BUCKET = 4_000_000
@@ -22,6 +22,10 @@ MOST_BUCKETS = 4096
 MOST_FILES = 32
 
 
+def _buckets_for(keys: int) -> int:
+    return min(max(math.ceil(keys / KEYS_PER_BUCKET), 1), MOST_BUCKETS)
+
+
 class KeyLocator:
     """The key table of the partitioned table at ``path``."""
 
@@ -42,16 +46,16 @@ class KeyLocator:
         found = cls(target.sparkSession, path, key, partition)
         if found._buckets() is None:
             n = found.spark.read.schema(target.schema).parquet(path).count()
-            buckets = min(max(math.ceil(n / KEYS_PER_BUCKET), 1), MOST_BUCKETS)
+            buckets = _buckets_for(n)
             found._write(found._entries(target, buckets).distinct(), buckets)
         return found
 
     def _buckets(self) -> int | None:
         own = f"{PREFIX}{self.key}_"
-        for name in folder_names(self.spark, self.root):
-            if name.startswith(own) and name.removeprefix(own).isdigit():
-                return int(name.removeprefix(own))
-        return None
+        names = [n for n in folder_names(self.spark, self.root) if n.startswith(own)]
+        counts = [int(n.removeprefix(own)) for n in names if n.removeprefix(own).isdigit()]
+        # where a run was cut off, the one with more buckets is the newer one
+        return max(counts, default=None)
 
     def _folder(self, buckets: int) -> str:
         return f"{self.root}/{PREFIX}{self.key}_{buckets}"
@@ -93,18 +97,26 @@ class KeyLocator:
         return {r[0] for r in found.select("place").distinct().collect()}
 
     def add(self, batch: DataFrame) -> None:
-        """Enters rows that are about to be stored."""
+        """Enters rows that are about to be stored.
+
+        What is known already is entered again: to look it up would cost more, and entries that
+        repeat go when the files of a bucket are made one.
+        """
         buckets = self._buckets()
-        entries = self._entries(batch, buckets).distinct()
-        known = self._for(entries, buckets).select(
-            F.col("hashed").alias("known"), F.col("place").alias("known_place")
-        )
-        same: Column = (F.col("hashed") == F.col("known")) & F.col("place").eqNullSafe(
-            F.col("known_place")
-        )
-        fresh = entries.join(known, same, "left_anti")
-        fresh.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(
-            self._folder(buckets)
-        )
+        entries = self._entries(batch, buckets)
+        if buckets > 1:
+            entries = entries.repartition("bucket")
+        else:
+            entries = entries.coalesce(1)
+        entries.write.mode("append").partitionBy("bucket").parquet(self._folder(buckets))
         if count_files(self.spark, self._folder(buckets)) > MOST_FILES * buckets:
-            self._write(self._table(buckets).distinct(), buckets)
+            self._rewrite(buckets)
+
+    def _rewrite(self, buckets: int) -> None:
+        """Makes the files of each bucket one, with more buckets if there are many more keys."""
+        entries = self._table(buckets).select("hashed", "place").distinct()
+        now = max(_buckets_for(entries.count()), buckets)
+        bucket = F.pmod("hashed", F.lit(now)).cast("int").alias("bucket")
+        self._write(entries.select("hashed", "place", bucket), now)
+        if now != buckets:
+            delete_folder(self.spark, self._folder(buckets))

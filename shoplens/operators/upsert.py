@@ -74,6 +74,9 @@ def upsert_table(
             batch, path, lambda rows: _refuse_repeats(_summary(rows, key).collect(), key, path)
         )
         store_schema(spark, path, TableSchema(batch.schema))
+        (partition,) = layout.partition_by
+        stored = spark.read.schema(batch.schema).parquet(path)
+        KeyLocator.of(stored, path, key, batch.schema[partition])
         return
     staged: list[str] = []
 

@@ -149,6 +149,18 @@ def test_partitions_without_a_key_of_the_batch_are_not_opened(spark, table, monk
         table([("4", "v", "x")])
 
 
+def test_the_key_table_grows_more_buckets(spark, table, monkeypatch):
+    monkeypatch.setattr(locator, "MOST_FILES", 1)
+    table([(str(k), "v", "x") for k in range(4)])
+    monkeypatch.setattr(locator, "KEYS_PER_BUCKET", 5)
+    table([(str(k), "w", "y") for k in range(4, 24)])
+    held = [p.name for p in Path(table.path).glob("_keys_*")]
+    assert held == ["_keys_id_5"]
+    table([("3", "moved", "z"), ("20", "moved", "x"), ("99", "new", "y")])
+    rows = {r[0]: r[1:] for r in table.rows()}
+    assert len(rows) == 25 and rows["3"] == ("moved", "z") and rows["20"] == ("moved", "x")
+
+
 def test_a_table_replaced_as_a_whole_gets_its_keys_anew(spark, table):
     table([("1", "a", "x"), ("2", "b", "y")])
     table([("1", "A", "x")])
