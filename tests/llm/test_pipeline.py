@@ -87,7 +87,7 @@ def test_every_query_is_registered():
 
     names = __spark_entry__.queries()
     assert {*QUERIES, "pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
