@@ -6,6 +6,9 @@ the shared folder and read again.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.llm import decontaminate, language, minhash, packing, suffix_dedup
@@ -22,9 +25,33 @@ CAPACITY = 4096
 # as the stages before leave an executor little memory
 CACHED_WORDS = 300_000
 
+# rows that are handed to a Python worker at once; whole texts come with them
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 ORACLE_SQL = None
 
 
+def small_batches(
+    stage: Callable[[SparkSession, DataFrame, str], DataFrame],
+) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with at most ``BATCH_ROWS`` rows in a batch, from now on in this session.
+
+    The stages share the memory of the same executors, which keep what one of them has needed. The
+    setting stays, as a stage's result is computed after the function has returned.
+    """
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows = int(spark.conf.get(BATCH_SETTING))
+        if rows <= 0 or rows > BATCH_ROWS:
+            spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@small_batches
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that ``lang`` names.
 
@@ -37,6 +64,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.filter(known).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
+@small_batches
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest ``doc_id``.
 
@@ -49,6 +77,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return staying.unionAll(docs.filter("doc_id is null")).select(*COLUMNS)
 
 
+@small_batches
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that documents of smaller id have in a row; emptied ones go."""
     found = suffix_dedup.remove_repeats(docs, REPEATED_BYTES, keep=COLUMNS, with_text=True)
@@ -60,6 +89,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     ).select(*COLUMNS)
 
 
+@small_batches
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that lie in a phrase of the benchmark.
 
@@ -95,6 +125,7 @@ def _in_spans() -> Column:
     return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
 
 
+@small_batches
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of ``CAPACITY`` tokens."""
     return packing.pack(docs, CAPACITY, cached=CACHED_WORDS)
