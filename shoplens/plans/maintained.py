@@ -4,17 +4,26 @@ Beside the mart lie digests of what it was made from: one for each month of orde
 product and customer. An update compares them with those of the present tables. Months whose orders
 differ, and months with an order of a product or customer that differs, are computed again and
 replace their partitions; all others keep their files.
+
+An update reads the present orders up to three times: for the digests of months, for orders of changed
+products and customers, where there are any, and for the months to compute. Digests and changed keys
+are computed once and stored, as several steps read them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.operators.layout import Layout
 from shoplens.operators.upsert import any_of
 from shoplens.plans.revenue import PRODUCT_COLUMNS, revenue_daily, with_dimensions
+from shoplens.session import scratch_path
 from shoplens.sources import read_table
-from shoplens.sources.storage import delete_partition, replace_table
+from shoplens.sources.storage import delete_folder, delete_partition, replace_table
 from shoplens.sources.table_schema import TableSchema, store_schema
 
 MONTH = "order_month"
@@ -24,6 +33,7 @@ ORDER_COLUMNS = (
     "net_amount", "discount_amount", "shipping_cost", "quantity",
 )
 CUSTOMER_COLUMNS = ("country", "customer_segment")
+KEYS = {"products": "product_id", "customers": "customer_id"}
 # folders of digests inside the mart's own, which its readers do not see
 DIGESTS = "_made_from_"
 
@@ -51,6 +61,21 @@ def key_digests(rows: DataFrame, key: str, columns: tuple[str, ...]) -> DataFram
     return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(*_digest(columns))
 
 
+@contextmanager
+def _stored_once(spark: SparkSession, **frames: DataFrame) -> Iterator[dict[str, DataFrame]]:
+    """Frames that are computed and read from their files from then on, until the block ends."""
+    folder = scratch_path(spark, "once")
+    try:
+        for name, df in frames.items():
+            df.write.parquet(f"{folder}/{name}")
+        yield {
+            name: spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+            for name, df in frames.items()
+        }
+    finally:
+        delete_folder(spark, folder)
+
+
 def _differing(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
     """Keys that came, went or changed."""
     columns = [c for c in now.columns if c != key]
@@ -61,6 +86,15 @@ def _differing(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
     return both.filter(differs).select(F.coalesce(own["k"], old["k"])[key].alias(key))
 
 
+def _none_of(months: set) -> Column:
+    """Whether an order is of none of the months; one without a month may be."""
+    return ~F.coalesce(any_of(MONTH, months), F.lit(False))
+
+
+def _months(rows: DataFrame) -> set:
+    return {r[0] for r in rows.select(MONTH).distinct().collect()}
+
+
 class MaintainedRevenue:
     """The mart ``mart_revenue`` at ``path``."""
 
@@ -86,48 +120,54 @@ class MaintainedRevenue:
         }
         stored = {name: self._stored(name) for name in ("months", *made_from)}
         first = read_table(self.spark, self.path) is None or None in stored.values()
-        if changed_orders is None or first:
-            made_from["months"] = month_digests(orders)
         if first:
             mart = self._revenue(orders, products, customers)
             LAYOUT.replace(mart, self.path)
             # a mart that loses all its months keeps its columns
             store_schema(self.spark, self.path, TableSchema(mart.schema))
-            self._keep(made_from)
-            return sorted(self._months(), key=str)
+            self._keep(made_from | {"months": month_digests(orders)})
+            return sorted(_months(self._stored("months")), key=str)
 
-        keys = {"products": "product_id", "customers": "customer_id"}
-        changed = {
-            name: self._differing(made_from[name], stored[name], key) for name, key in keys.items()
-        }
-        parts = [
-            orders.join(rows, keys[name], "left_semi").select(MONTH)
-            for name, rows in changed.items() if rows is not None
-        ]
         if changed_orders is None:
-            parts.append(_differing(made_from["months"], stored["months"], MONTH))
+            touched = set()
+            made_from["months"] = month_digests(orders)
         else:
-            parts.append(changed_orders.select(MONTH))
-            touched = {r[0] for r in changed_orders.select(MONTH).distinct().collect()}
-            made_from["months"] = stored["months"].filter(~any_of(MONTH, touched)).unionByName(
-                month_digests(orders.filter(any_of(MONTH, touched)))
-            )
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionAll(part)
-        months = {r[0] for r in rows.distinct().collect()}
-        if months:
-            affected = orders.filter(any_of(MONTH, months))
-            LAYOUT.replace_partitions(
-                self._revenue(affected, products, customers), self.path
-            )
-            present = {r[0] for r in affected.select(MONTH).distinct().collect()}
-            for month in months - present:
-                delete_partition(self.spark, self.path, MONTH, month)
-        if months or any(rows is not None for rows in changed.values()):
-            self._keep(made_from)
+            touched = _months(changed_orders)
+            of_others = stored["months"].filter(_none_of(touched))
+            own = month_digests(orders.filter(any_of(MONTH, touched)))
+            made_from["months"] = of_others.unionByName(own)
+        with _stored_once(self.spark, **made_from) as now:
+            if changed_orders is None:
+                touched = _months(_differing(now["months"], stored["months"], MONTH))
+            changed = {
+                name: _differing(now[name], stored[name], key) for name, key in KEYS.items()
+            }
+            with _stored_once(self.spark, **changed) as keys:
+                keys = {name: rows for name, rows in keys.items() if not rows.isEmpty()}
+                months = touched | self._months_of(orders, keys, touched)
+            if months:
+                affected = orders.filter(any_of(MONTH, months))
+                LAYOUT.replace_partitions(
+                    self._revenue(affected, products, customers), self.path
+                )
+                for month in touched - _months(now["months"]):
+                    delete_partition(self.spark, self.path, MONTH, month)
+            if months or keys:
+                self._keep(now)
         return sorted(months, key=str)
 
+    @staticmethod
+    def _months_of(orders: DataFrame, keys: dict[str, DataFrame], known: set) -> set:
+        """Months with an order of a changed product or customer, but for those ``known`` to differ.
+
+        Where no key changed, no order is searched.
+        """
+        others = orders.filter(_none_of(known))
+        parts = [
+            others.join(rows, KEYS[name], "left_semi").select(MONTH) for name, rows in keys.items()
+        ]
+        return _months(reduce(DataFrame.unionAll, parts)) if parts else set()
+
     def read(self) -> DataFrame | None:
         return read_table(self.spark, self.path)
 
@@ -142,15 +182,6 @@ class MaintainedRevenue:
     def _stored(self, name: str) -> DataFrame | None:
         return read_table(self.spark, self._folder(name))
 
-    @staticmethod
-    def _differing(now: DataFrame, before: DataFrame, key: str) -> DataFrame | None:
-        """Keys of changed rows; None where there is none, so that no order is searched for them."""
-        found = _differing(now, before, key)
-        return None if found.isEmpty() else found
-
-    def _months(self) -> set:
-        return {r[0] for r in self._stored("months").select(MONTH).collect()}
-
     def _keep(self, made_from: dict[str, DataFrame]) -> None:
         for name, rows in made_from.items():
             replace_table(self.spark, self._folder(name), rows.write.parquet)

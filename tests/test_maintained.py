@@ -96,3 +96,70 @@ def test_a_feed_of_changes(mart):
     assert mart(now, category="toys", feed=ORDERS[-1:]) == ([2, 3, 5], [4])
     # what the feed said is known to a scan
     assert mart(now, category="toys") == ([], [2, 3, 4, 5])
+
+
+def test_inputs_are_evaluated_a_few_times(spark, raw, tmp_path):
+    """Rows that pass a filter, which counts them, by the number of rows: passes over a table."""
+    kept = MaintainedRevenue(spark, str(tmp_path / "mart"))
+
+    def passes(rows, category):
+        staged = {
+            "orders": staging.stg_orders(raw("raw_orders", *rows)),
+            "products": staging.stg_products(
+                raw("raw_products", {"product_id": "p"}, {"product_id": "q", "category": category})
+            ),
+            "customers": staging.stg_customers(
+                raw("raw_customers", {"customer_id": "c"}, {"customer_id": "d"}), AS_OF
+            ),
+        }
+        seen = {name: spark.sparkContext.accumulator(0) for name in staged}
+
+        def counted(name):
+            count = seen[name]
+
+            @F.udf("boolean")
+            def passed(_):
+                count.add(1)
+                return True
+
+            df = staged[name]
+            return df.filter(passed.asNondeterministic()(df.columns[0]))
+
+        kept.update(*(counted(name) for name in staged))
+        return {name: seen[name].value / df.count() for name, df in staged.items()}
+
+    assert passes(ORDERS, "office") == {"orders": 2, "products": 2, "customers": 2}
+    # digests of months, orders of the changed product, months to compute
+    late = [*ORDERS, order("7", 1)]
+    assert passes(late, "toys") == {"orders": 3, "products": 2, "customers": 2}
+    assert passes(late, "toys") == {"orders": 1, "products": 1, "customers": 1}
+
+
+def test_orders_without_a_month(spark, raw, tmp_path):
+    kept = MaintainedRevenue(spark, str(tmp_path / "mart"))
+    dateless = {"order_id": "8", "order_date": None, "product_id": "q", "customer_id": "c"}
+
+    def update(rows, category="office", feed=None):
+        tables = (
+            staging.stg_orders(raw("raw_orders", *rows)),
+            staging.stg_products(
+                raw("raw_products", {"product_id": "p"}, {"product_id": "q", "category": category})
+            ),
+            staging.stg_customers(raw("raw_customers", {"customer_id": "c"}), AS_OF),
+        )
+        feed = None if feed is None else staging.stg_orders(raw("raw_orders", *feed))
+        months = kept.update(*tables, changed_orders=feed)
+        want = kept._revenue(*tables)
+        got = kept.read().select(*want.columns)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+        return [m and m.month for m in months]
+
+    rows = [order("1", 1), order("2", 2), dateless]
+    update(rows)
+    late = [*rows, order("3", 1)]
+    # of the product's orders, one has no month
+    assert update(late, "toys", feed=late[-1:]) == [1, None]
+    # a feed leaves the digest of other months as it was
+    assert update(late, "toys") == []
+    assert update(late[:2], "toys") == [1, None]
+    assert update(late, "pens") == [1, None]
